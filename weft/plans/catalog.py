@@ -46,6 +46,20 @@ TEST_DOMAIN_LABELS = {
 URL_HOST_SQL = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#]*@)?([^/:?#]*)"
 
 
+# Header lines of the two flat-file formats.
+FLIGHT_HEADER = ("Year,Month,DayofMonth,DayOfWeek,DepTime,CRSDepTime,ArrTime,CRSArrTime,UniqueCarrier,"
+                 "FlightNum,TailNum,ActualElapsedTime,CRSElapsedTime,AirTime,ArrDelay,DepDelay,Origin,Dest,"
+                 "Distance,TaxiIn,TaxiOut,Cancelled,CancellationCode,Diverted,CarrierDelay,WeatherDelay,"
+                 "NASDelay,SecurityDelay,LateAircraftDelay")
+AIRPORT_HEADER = '"iata","airport","city","state","country","lat","long"'
+
+
+def _with_header(spark: SparkSession, body: DataFrame, header: str) -> DataFrame:
+    """A header line followed by the body lines (the header row is a JVM-side
+    one-row relation, no Python worker)."""
+    return spark.range(0, 1, 1, 1).select(F.lit(header).alias("value")).unionByName(body)
+
+
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -321,12 +335,7 @@ def _flight_lines(spark, sf_dir) -> DataFrame:
         *[F.when(short, F.lit("")).otherwise(t) for t in tail],
     ]
     body = li.select(F.concat_ws(",", *fields).alias("value"))
-    header = spark.createDataFrame(
-        [("Year,Month,DayofMonth,DayOfWeek,DepTime,CRSDepTime,ArrTime,CRSArrTime,UniqueCarrier,"
-          "FlightNum,TailNum,ActualElapsedTime,CRSElapsedTime,AirTime,ArrDelay,DepDelay,Origin,Dest,"
-          "Distance,TaxiIn,TaxiOut,Cancelled,CancellationCode,Diverted,CarrierDelay,WeatherDelay,"
-          "NASDelay,SecurityDelay,LateAircraftDelay",)], "value string")
-    return header.unionByName(body)
+    return _with_header(spark, body, FLIGHT_HEADER)
 
 
 def _flat_flights(df: DataFrame) -> DataFrame:
@@ -412,8 +421,7 @@ def _airport_lines(spark, sf_dir) -> DataFrame:
               F.when(r0, F.lit("NA")).otherwise(q(F.concat(F.lit("S"), F.col("n_regionkey").cast("string")))),
               q(F.lit("Country")), lat, lng]
     body = n.select(F.concat_ws(",", *fields).alias("value"))
-    header = spark.createDataFrame([('"iata","airport","city","state","country","lat","long"',)], "value string")
-    return header.unionByName(body)
+    return _with_header(spark, body, AIRPORT_HEADER)
 
 
 def parse_quoted_regex(spark, sf_dir):

@@ -48,6 +48,30 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.text(path)
 
 
+SLICE = "_slice"
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin the rows over the cluster's default parallelism when the
+    input has fewer partitions than that (a small file or a single row group
+    would otherwise parse on one core). At scale the scan already has more
+    splits than cores and this is a no-op, so it adds no shuffle there.
+
+    When it does spread, a ``_slice`` column (the partition id) is added;
+    parsers reference it in their filters. Catalyst does not push a filter
+    below a non-deterministic projection, so the parse filter then runs
+    after the exchange, on all cores, instead of in the single scan task.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target).withColumn(SLICE, F.spark_partition_id())
+    return df
+
+
+def _after_spread(df: DataFrame, cond: Column) -> Column:
+    return ((F.col(SLICE) >= 0) & cond) if SLICE in df.columns else cond
+
+
 def _split_like_jvm(value: Column, sep: str, trailing: str) -> Column:
     """``String.split`` drops trailing empty fields; Spark's split keeps them."""
     return F.split(F.regexp_replace(value, trailing, ""), sep)
@@ -56,9 +80,9 @@ def _split_like_jvm(value: Column, sep: str, trailing: str) -> Column:
 def _finish(lines: DataFrame, reason: Column, rows: list[Column], skip: Column | None = None) -> Parsed:
     staged = lines.select("*", reason.alias("_reason"))
     if skip is not None:
-        staged = staged.filter(~skip)
-    ok = staged.filter(F.col("_reason").isNull()).select(*rows)
-    bad = staged.filter(F.col("_reason").isNotNull()).select(
+        staged = staged.filter(_after_spread(staged, ~skip))
+    ok = staged.filter(_after_spread(staged, F.col("_reason").isNull())).select(*rows)
+    bad = staged.filter(_after_spread(staged, F.col("_reason").isNotNull())).select(
         F.col("value"), F.col("_reason").alias("reason"))
     return Parsed(ok, bad)
 
@@ -73,6 +97,7 @@ def parse_visit_log(lines: DataFrame, order_col: str | None = "log_order") -> Pa
     v = F.col("value")
     if order_col:
         lines = lines.withColumn(order_col, F.monotonically_increasing_id())
+    lines = spread(lines)
     f = _split_like_jvm(v, LOG_SEPARATOR, r"\|+$")
     reason = F.when(F.size(f) < 5, F.lit("short_line"))
     rows = [F.get(f, i).alias(n) for i, n in enumerate(schemas.TRACKER_LOG.fieldNames())]
@@ -83,6 +108,7 @@ def parse_visit_log(lines: DataFrame, order_col: str | None = "log_order") -> Pa
 
 def parse_cookie_labels(lines: DataFrame) -> Parsed:
     """``cookie|label`` lines (B2); a line without a label is a reject."""
+    lines = spread(lines)
     f = _split_like_jvm(F.col("value"), LOG_SEPARATOR, r"\|+$")
     reason = F.when(F.size(f) < 2, F.lit("short_line"))
     return _finish(lines, reason, [F.get(f, 0).alias("cookie"), F.get(f, 1).alias("cookie_label")])
@@ -120,10 +146,13 @@ def parse_flights(lines: DataFrame) -> Parsed:
     trailing empties is a reject; integers are lenient (-1 when missing)."""
     v = F.col("value")
     f = _split_like_jvm(v, ",", r",+$")
-    header = F.lower(F.get(f, 0)).endswith("year")
+    first = F.get(f, 0)
+    header = F.lower(F.substring(first, -4, 4)) == "year"
     reason = (F.when(F.trim(v) == "", F.lit("blank_line"))
                .when(F.size(f) < FLIGHT_MIN_FIELDS, F.lit("short_line")))
-    staged = lines.select("value", f.alias("_f"))
+    spreaded = spread(lines)
+    keep = [SLICE] if SLICE in spreaded.columns else []
+    staged = spreaded.select("value", *keep, f.alias("_f"))
     p = _finish(staged, reason.otherwise(F.lit(None)), flight_columns(F.col("_f")), skip=header)
     return p
 
@@ -132,6 +161,7 @@ def parse_airports(lines: DataFrame) -> Parsed:
     """Quoted airport lines by pattern (B5): header skipped; fields trimmed;
     lat / lng go through float precision. A line that does not match, or
     whose coordinates are not numbers, is a reject."""
+    lines = spread(lines)
     v = F.col("value")
     g = [F.regexp_extract(v, AIRPORT_LINE_PATTERN, i) for i in range(1, 8)]
     lat = jvm_trim(g[5]).try_cast("float").cast("double")
@@ -146,6 +176,7 @@ def parse_airports(lines: DataFrame) -> Parsed:
 
 def parse_id_payload(lines: DataFrame) -> Parsed:
     """``id::payload`` lines (B6); the payload keeps any later ``::``."""
+    lines = spread(lines)
     v = F.col("value")
     f = F.split(v, ID_PAYLOAD_SEPARATOR, 2)
     rid = F.get(f, 0).try_cast("long")
