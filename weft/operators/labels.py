@@ -1,10 +1,12 @@
 """Label lookups: literal dimensions, left joins with a default, fan-out.
 
-Broadcasting is decided on a proven bound: a literal dimension is bounded by
-construction; a table-backed dimension is broadcast only after
-``limit(max_rows + 1).count()`` shows it has at most ``max_rows`` rows (that
-check reads at most ``max_rows + 1`` rows per task). Otherwise the join stays
-a shuffle join and AQE may still pick a broadcast from runtime sizes.
+Broadcasting is decided on a checked size only. A literal dimension is a map
+literal (bounded by construction, no join at all). A table-backed label side
+is left to Spark by default: it broadcasts only when the file statistics or,
+under AQE, the measured shuffle size is below the broadcast threshold, and
+otherwise keeps the shuffle join (with AQE skew splitting). Callers that want
+an explicit bound pass ``max_broadcast_rows``: the side is then broadcast only
+after ``limit(max_rows + 1).count()`` shows at most that many rows.
 """
 
 from __future__ import annotations
@@ -62,7 +64,7 @@ def map_lookup(c: str | Column, mapping: Mapping[str, str],
 
 def attach_label(df: DataFrame, labels: DataFrame, key: str, label: str,
                  label_key: str | None = None, default: str = MISSING_STRING,
-                 max_broadcast_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
+                 max_broadcast_rows: int | None = None) -> DataFrame:
     """Left outer join of ``df`` to ``labels`` on ``key``; unmatched rows get
     ``default``. Duplicate label keys fan out (one output row per match)."""
     lk = label_key or key
@@ -77,7 +79,7 @@ def attach_label(df: DataFrame, labels: DataFrame, key: str, label: str,
 
 def attach_unique_label(df: DataFrame, labels: DataFrame, key: str, label: str,
                         label_key: str | None = None, default: str = MISSING_STRING,
-                        max_broadcast_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
+                        max_broadcast_rows: int | None = None) -> DataFrame:
     """Like ``attach_label`` but with map semantics: one label per key
     (the greatest one when a key repeats), so no fan-out."""
     lk = label_key or key

@@ -133,36 +133,34 @@ def pageview_sessions(df: DataFrame, spec: SessionSpec) -> DataFrame:
     """Every page view opens a session; clicks before a visitor's first page
     view form one leading session of their own."""
     x = _prepare(df, spec)
-    # Balanced contiguous slices of the (visitor, time, id) order.
+    # Balanced contiguous slices of the (visitor, time, id) order: the range
+    # exchange splits even a single visitor across many slices.
     r = x.repartitionByRange("_u", "_us", "_rid").withColumn("_pid", F.spark_partition_id())
     w = (Window.partitionBy("_u", "_pid").orderBy("_us", "_rid")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    # Latest page view at or before the row inside the slice (order is total,
-    # so the running max of the struct is the latest one).
+    # Latest page view at or before the row inside the slice (the order is
+    # total, so the running max of the struct is the latest one).
     r = r.withColumn("_anchor", F.max(F.when(F.col("_pv"), _landing_struct(spec))).over(w))
     part = (r.groupBy("_u", "_pid", "_anchor")
              .agg(F.min(_first_struct(spec)).alias("_first"),
                   F.count_if(F.col("_pv")).alias("_npv"),
                   F.count_if(F.col("_ck")).alias("_nck")))
-    # Head fragments (no page view yet in the slice) belong to the visitor's
-    # last page view in an earlier slice, or to the leading session.
-    heads = part.filter(F.col("_anchor").isNull()).select(
-        "_u", "_pid", F.lit(None).cast(part.schema["_anchor"].dataType).alias("_tail"),
-        F.lit(0).alias("_k"))
-    tails = (part.filter(F.col("_anchor").isNotNull())
-                 .groupBy("_u", "_pid").agg(F.max("_anchor").alias("_tail"))
-                 .withColumn("_k", F.lit(1)))
-    wb = (Window.partitionBy("_u").orderBy("_pid", "_k")
-          .rowsBetween(Window.unboundedPreceding, -1))
-    resolved = (heads.unionByName(tails)
-                .withColumn("_prev", F.max("_tail").over(wb))
-                .filter(F.col("_k") == 0)
-                .select("_u", "_pid", "_prev"))
-    frag = (part.filter(F.col("_anchor").isNull())
-                .join(resolved, ["_u", "_pid"], "left")
-                .withColumn("_anchor", F.col("_prev"))
-                .drop("_prev"))
-    merged = part.filter(F.col("_anchor").isNotNull()).unionByName(frag)
+    # Rows at the head of a slice before its first page view (anchor null)
+    # continue the visitor's last page view in an earlier slice. Only the
+    # first visitor of a slice can have such an earlier page view, so the
+    # resolved table has at most one row per slice: a bound of the partition
+    # count, which makes its broadcast safe.
+    per_slice = (part.groupBy("_u", "_pid")
+                     .agg(F.max("_anchor").alias("_tail"),
+                          F.max(F.col("_anchor").isNull().cast("int")).alias("_head")))
+    wb = Window.partitionBy("_u").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (per_slice.withColumn("_prev", F.max("_tail").over(wb))
+                        .filter((F.col("_head") == 1) & F.col("_prev").isNotNull())
+                        .select(F.col("_u").alias("_cu"), F.col("_pid").alias("_cpid"), "_prev"))
+    merged = (part.join(F.broadcast(carried),
+                        (part["_u"] == carried["_cu"]) & (part["_pid"] == carried["_cpid"])
+                        & part["_anchor"].isNull(), "left")
+                  .withColumn("_anchor", F.coalesce(F.col("_anchor"), F.col("_prev"))))
     s = (merged.groupBy("_u", "_anchor")
                .agg(F.min("_first").alias("_lead"),
                     F.sum("_npv").alias("_npv"),

@@ -22,7 +22,7 @@ from weft import schemas
 from weft.functions.columns import (epoch_micros, exact_round_ratio, floor_div, lenient_int,
                                     session_hash_id, ts_text, url_host)
 from weft.operators import jsonops, stats
-from weft.operators.labels import attach_label, broadcast_if_small, map_lookup
+from weft.operators.labels import attach_label, map_lookup
 from weft.operators.sessions import SessionSpec, cut_sessions, gap_micros, with_session_id
 from weft.plans import devices, flights
 from weft.plans.session_cut import label_domains
@@ -88,7 +88,8 @@ def event_sessions(spark: SparkSession, sf_dir: str, strategy: str = "gap") -> D
     s = cut_sessions(_events_for_sessions(spark, sf_dir), EVENT_SPEC, strategy=strategy)
     s = with_session_id(s, "user_id")
     pages = _t(spark, sf_dir, "pages").select("page_id", F.col("url").alias("landing_url"))
-    s = s.join(broadcast_if_small(pages), s["landing_page"] == pages["page_id"], "left").drop("page_id")
+    # Spark broadcasts ``pages`` only when its measured size allows it.
+    s = s.join(pages, s["landing_page"] == pages["page_id"], "left").drop("page_id")
     s = label_domains(s, "landing_url", TEST_DOMAIN_LABELS)
     labels = _t(spark, sf_dir, "customer").select("c_custkey", F.col("c_mktsegment").alias("cookie_label"))
     s = attach_label(s, labels, "user_id", "cookie_label", label_key="c_custkey")
@@ -608,7 +609,7 @@ def _datacenter_json(spark, sf_dir) -> DataFrame:
     region 0 devices carry no ``geo``."""
     n = _t(spark, sf_dir, "nation")
     r = _t(spark, sf_dir, "region")
-    j = n.join(broadcast_if_small(r), n["n_regionkey"] == r["r_regionkey"])
+    j = n.join(r, n["n_regionkey"] == r["r_regionkey"])
     geo = F.when(F.col("n_regionkey") != 0, F.struct(
         (F.col("n_nationkey") * F.lit(1.5)).alias("lat"),
         (F.col("n_regionkey") * F.lit(-2.25)).alias("long")))
