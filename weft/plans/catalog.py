@@ -690,6 +690,40 @@ def parquet_sink_roundtrip(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+# --------------------------------------------------------------------------
+# Streaming form of gap sessions (bounded catch-up run over ``events``)
+# --------------------------------------------------------------------------
+
+def streaming_gap_sessions(spark, sf_dir):
+    """Gap sessions computed by a Structured Streaming query (watermark +
+    session window, state in the checkpoint folder), run to completion over
+    the available ``events`` file, then read back."""
+    from weft.streaming import sessions as streaming
+
+    schema = _t(spark, sf_dir, "events").schema
+    stream = streaming.file_stream(spark, sf_dir.rstrip("/"), schema, glob="events.parquet")
+    spec = SessionSpec(user="user_id", ts="ts", order="event_id", kind="event_type",
+                       pageview="view", click="click", first=("value",))
+    out, ck = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ck")
+    q = streaming.write_parquet(streaming.gap_sessions(stream, spec), out, ck, mode="complete",
+                                available_now=True)
+    q.awaitTermination()
+    return spark.read.parquet(out)
+
+
+STREAMING_GAP_SQL = f"""
+WITH e AS (SELECT * FROM events WHERE event_type IN ('view', 'click') AND ts IS NOT NULL AND user_id IS NOT NULL),
+f AS (SELECT *, {GAP_CUT_SQL} AS nw FROM e WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+g AS (SELECT *, sum(nw) OVER (PARTITION BY user_id ORDER BY ts, event_id
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS seq FROM f)
+SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end,
+       arg_min(event_id, (ts, event_id)) AS first_order, arg_min(value, (ts, event_id)) AS "value",
+       count(*) AS event_count,
+       CAST(count(*) FILTER (WHERE event_type = 'view') AS INTEGER) AS pageview_count,
+       CAST(count(*) FILTER (WHERE event_type = 'click') AS INTEGER) AS click_count
+FROM g GROUP BY user_id, seq"""
+
+
 # --------------------------------------------------------------------------
 
 QUERIES: dict[str, Query] = {
@@ -727,6 +761,7 @@ QUERIES: dict[str, Query] = {
     "csv_infer_noheader": csv_infer_noheader,
     "text_sink_roundtrip": text_sink_roundtrip,
     "parquet_sink_roundtrip": parquet_sink_roundtrip,
+    "streaming_gap_sessions": streaming_gap_sessions,
 }
 
 ORACLES: dict[str, str] = {
@@ -764,4 +799,5 @@ ORACLES: dict[str, str] = {
     "csv_infer_noheader": _LI_SQL,
     "text_sink_roundtrip": TEXT_SINK_SQL,
     "parquet_sink_roundtrip": ROUTE_COUNTS_SQL,
+    "streaming_gap_sessions": STREAMING_GAP_SQL,
 }
