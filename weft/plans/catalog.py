@@ -87,12 +87,14 @@ def event_sessions(spark: SparkSession, sf_dir: str, strategy: str = "gap") -> D
     domain label, counts, cookie label (F1-F4, E2-E4, G1, I8-I10, D1-D3)."""
     s = cut_sessions(_events_for_sessions(spark, sf_dir), EVENT_SPEC, strategy=strategy)
     s = with_session_id(s, "user_id")
-    pages = _t(spark, sf_dir, "pages").select("page_id", F.col("url").alias("landing_url"))
+    # Sessions leave the cut hash-partitioned by visitor: join the cookie
+    # labels first so only the label side moves, then the landing pages.
+    labels = _t(spark, sf_dir, "customer").select("c_custkey", F.col("c_mktsegment").alias("cookie_label"))
+    s = attach_label(s, labels, "user_id", "cookie_label", label_key="c_custkey")
     # Spark broadcasts ``pages`` only when its measured size allows it.
+    pages = _t(spark, sf_dir, "pages").select("page_id", F.col("url").alias("landing_url"))
     s = s.join(pages, s["landing_page"] == pages["page_id"], "left").drop("page_id")
     s = label_domains(s, "landing_url", TEST_DOMAIN_LABELS)
-    labels = _t(spark, sf_dir, "customer").select("c_custkey", F.col("c_mktsegment").alias("cookie_label"))
-    s = attach_label(s, labels, "user_id", "cookie_label", label_key="c_custkey")
     return s.select("session_id", "user_id", "session_start",
                     F.col("first_order").alias("first_event_id"),
                     F.col("value").alias("first_value"),
