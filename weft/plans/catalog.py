@@ -28,8 +28,8 @@ from weft.plans import devices, flights
 from weft.plans.session_cut import label_domains
 from weft.session import scratch_path
 from weft.sinks.writers import read_text_records, write_csv, write_parquet, write_text
-from weft.sources.formats import (parse_airports, parse_flights, parse_id_payload,
-                                  parse_visit_log, read_csv)
+from weft.sources.formats import (SLICE, parse_airports, parse_flights, parse_id_payload,
+                                  parse_visit_log, read_csv, spread)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,11 +57,35 @@ AIRPORT_HEADER = '"iata","airport","city","state","country","lat","long"'
 def _with_header(spark: SparkSession, body: DataFrame, header: str) -> DataFrame:
     """A header line followed by the body lines (the header row is a JVM-side
     one-row relation, no Python worker)."""
-    return spark.range(0, 1, 1, 1).select(F.lit(header).alias("value")).unionByName(body)
+    head = spark.range(0, 1, 1, 1).select(F.lit(header).alias("value"))
+    if SLICE in body.columns:
+        head = head.withColumn(SLICE, F.lit(0))
+    return head.unionByName(body)
+
+
+def _spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose rows are packed into text lines: spread first, so the
+    packing itself runs on all cores when the file is a single row group
+    (the ``_slice`` column keeps the later parse filter after the exchange)."""
+    return spread(_t(spark, sf_dir, name))
+
+
+def _lines_of(df: DataFrame, line) -> DataFrame:
+    keep = [SLICE] if SLICE in df.columns else []
+    return df.select(line.alias("value"), *keep)
+
+
+_TABLES: dict[tuple[int, str], DataFrame] = {}
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A test table; the DataFrame is reused per session and path, so its
+    Parquet schema is read once rather than once per query."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark._jsparkSession), path)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(path)
+    return _TABLES[key]
 
 
 def _sql_values(mapping: dict[str, str]) -> str:
@@ -284,7 +308,7 @@ LEFT JOIN orders o ON o.o_custkey = s.user_id"""
 def _visit_log_lines(spark, sf_dir) -> DataFrame:
     """Events as pipe lines; ``error`` events become ``#`` comment lines and
     ``signup`` events lose their last two fields (short lines)."""
-    ev = _t(spark, sf_dir, "events")
+    ev = _spread_table(spark, sf_dir, "events")
     full = F.concat_ws("|", "event_type", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"),
                        F.col("user_id").cast("string"), F.col("event_id").cast("string"), "props")
     short = F.concat_ws("|", "event_type", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"),
@@ -292,7 +316,7 @@ def _visit_log_lines(spark, sf_dir) -> DataFrame:
     line = (F.when(F.col("event_type") == "error", F.concat(F.lit("#"), full))
              .when(F.col("event_type") == "signup", short)
              .otherwise(full))
-    return ev.select(line.alias("value"))
+    return _lines_of(ev, line)
 
 
 def parse_pipe_line(spark, sf_dir):
@@ -320,7 +344,7 @@ PARSE_ID_PAYLOAD_SQL = "SELECT event_id AS id, props AS device FROM events"
 def _flight_lines(spark, sf_dir) -> DataFrame:
     """Lineitem rows as 29-field flight lines with ``NA``, blanks, signs and
     padding in integer positions; ``R`` rows end in empty fields (short)."""
-    li = _t(spark, sf_dir, "lineitem")
+    li = _spread_table(spark, sf_dir, "lineitem")
     s = lambda c: F.col(c).cast("string")
     ln = s("l_linenumber")
     qty = F.col("l_quantity").cast("int").cast("string")
@@ -337,7 +361,7 @@ def _flight_lines(spark, sf_dir) -> DataFrame:
         F.col("l_returnflag"), F.lit("0"),
         *[F.when(short, F.lit("")).otherwise(t) for t in tail],
     ]
-    body = li.select(F.concat_ws(",", *fields).alias("value"))
+    body = _lines_of(li, F.concat_ws(",", *fields))
     return _with_header(spark, body, FLIGHT_HEADER)
 
 

@@ -52,7 +52,7 @@ SLICE = "_slice"
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin the rows over the cluster's default parallelism when the
+    """Spread the rows over the cluster's default parallelism when the
     input has fewer partitions than that (a small file or a single row group
     would otherwise parse on one core). At scale the scan already has more
     splits than cores and this is a no-op, so it adds no shuffle there.
@@ -62,9 +62,15 @@ def spread(df: DataFrame) -> DataFrame:
     below a non-deterministic projection, so the parse filter then runs
     after the exchange, on all cores, instead of in the single scan task.
     """
+    if SLICE in df.columns:          # already spread upstream
+        return df
+    # Partition count of a plain scan is known without running anything
+    # (call this on source lines, not on plans that already shuffle).
     target = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < target:
-        return df.repartition(target).withColumn(SLICE, F.spark_partition_id())
+        # Hash of the whole row: deterministic under task retries without
+        # the local sort a round-robin repartition needs.
+        return df.repartition(target, *df.columns).withColumn(SLICE, F.spark_partition_id())
     return df
 
 
