@@ -251,3 +251,32 @@ def test_pageview_plan_has_no_per_visitor_exchange(spark):
     # First exchange is on (visitor, cell) after a partial aggregate.
     assert "hashpartitioning(_u#" in gplan and "_cell" in gplan and "partial_" in gplan
     assert F is not None
+
+
+def test_click_runs_spanning_whole_slices(spark, many_slices):
+    """Leading clicks over several slices form one session; a long click run
+    after a page view attaches to it across slices with no page view."""
+    base = dt.datetime(2024, 1, 1)
+    ev, i = [], 0
+    def add(kind, n):
+        nonlocal i
+        for _ in range(n):
+            ev.append((1, base + dt.timedelta(seconds=i), i, kind, "ip", f"u{i}"))
+            i += 1
+    add("click", 700)
+    add("pageview", 1)
+    add("click", 1500)
+    add("pageview", 1)
+    add("click", 300)
+    got = _run(spark, ev, "pageview")
+    assert got == _brute(ev, "pageview")
+    assert sorted((pv, ck) for *_, pv, ck in got) == [(0, 700), (1, 300), (1, 1500)]
+
+
+def test_preview_and_schema_print(spark, capsys):
+    from weft.sinks.writers import preview, print_schema
+    df = spark.createDataFrame([(i,) for i in range(30)], "x int")
+    preview(df.orderBy(F.col("x").desc()), 3)
+    print_schema(df)
+    out = capsys.readouterr().out
+    assert "only showing top 3 rows" in out and "|-- x: integer" in out

@@ -54,3 +54,14 @@ def read_text_records(spark, path: str, schema) -> DataFrame:
     lines = spark.read.text(path)
     body = F.regexp_extract(F.col("value"), r"^\(null,(.*)\)$", 1)
     return lines.select(F.from_json(body, schema, JSON_OPTIONS).alias("r")).select("r.*")
+
+
+def preview(df: DataFrame, n: int = 20, truncate: bool | int = True) -> None:
+    """Console preview of the first ``n`` rows (G7). Only ``n`` rows reach
+    the driver; after an ``orderBy`` Spark plans it as a top-n."""
+    df.show(n, truncate)
+
+
+def print_schema(df: DataFrame) -> None:
+    """Print the schema tree (L8); ``df.schema`` is the programmatic form."""
+    df.printSchema()
