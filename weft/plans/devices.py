@@ -68,3 +68,17 @@ def datacenter_devices(dc: DataFrame) -> DataFrame:
                     F.col("key").alias("deviceType"),
                     jsonops.nested("value", "description").alias("description"),
                     jsonops.nested("value", "geo", "lat").alias("lat"))
+
+
+def device_analysis(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """All device reports from one ``id::json`` file, as DataFrames."""
+    d = load_devices(spark, path).rows
+    return {"fields": device_fields(d), "active": active_devices(d), "country": country_devices(d),
+            "json": devices_as_json(d), "casts": cast_columns(d), "co2_ratio": co2_ratio(d)}
+
+
+def datacenter_analysis(spark: SparkSession, path: str, multiline: bool = False) -> dict[str, DataFrame]:
+    """The nested data-center file: as read, exploded, and device fields."""
+    dc = load_datacenters(spark, path, multiline)
+    return {"datacenters": dc, "exploded": jsonops.explode_map(dc, "source", keep=("dc_id",)),
+            "devices": datacenter_devices(dc)}

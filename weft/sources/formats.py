@@ -79,8 +79,9 @@ def _after_spread(df: DataFrame, cond: Column) -> Column:
 
 
 def _split_like_jvm(value: Column, sep: str, trailing: str) -> Column:
-    """``String.split`` drops trailing empty fields; Spark's split keeps them."""
-    return F.split(F.regexp_replace(value, trailing, ""), sep)
+    """``String.split`` drops trailing empty fields; Spark's split keeps them.
+    Trailing separators are cut with a character trim (no regex)."""
+    return F.split(F.rtrim(value, F.lit(trailing)), sep)
 
 
 def _finish(lines: DataFrame, reason: Column, rows: list[Column], skip: Column | None = None) -> Parsed:
@@ -104,7 +105,7 @@ def parse_visit_log(lines: DataFrame, order_col: str | None = "log_order") -> Pa
     if order_col:
         lines = lines.withColumn(order_col, F.monotonically_increasing_id())
     lines = spread(lines)
-    f = _split_like_jvm(v, LOG_SEPARATOR, r"\|+$")
+    f = _split_like_jvm(v, LOG_SEPARATOR, "|")
     reason = F.when(F.size(f) < 5, F.lit("short_line"))
     rows = [F.get(f, i).alias(n) for i, n in enumerate(schemas.TRACKER_LOG.fieldNames())]
     if order_col:
@@ -115,7 +116,7 @@ def parse_visit_log(lines: DataFrame, order_col: str | None = "log_order") -> Pa
 def parse_cookie_labels(lines: DataFrame) -> Parsed:
     """``cookie|label`` lines (B2); a line without a label is a reject."""
     lines = spread(lines)
-    f = _split_like_jvm(F.col("value"), LOG_SEPARATOR, r"\|+$")
+    f = _split_like_jvm(F.col("value"), LOG_SEPARATOR, "|")
     reason = F.when(F.size(f) < 2, F.lit("short_line"))
     return _finish(lines, reason, [F.get(f, 0).alias("cookie"), F.get(f, 1).alias("cookie_label")])
 
@@ -151,7 +152,7 @@ def parse_flights(lines: DataFrame) -> Parsed:
     ``year``, any case) is skipped; fewer than 29 fields after dropping
     trailing empties is a reject; integers are lenient (-1 when missing)."""
     v = F.col("value")
-    f = _split_like_jvm(v, ",", r",+$")
+    f = _split_like_jvm(v, ",", ",")
     first = F.get(f, 0)
     header = F.lower(F.substring(first, -4, 4)) == "year"
     reason = (F.when(F.trim(v) == "", F.lit("blank_line"))
