@@ -61,3 +61,12 @@ def test_entry_smoke(spark):
     rows = df.collect()
     assert len(rows) > 0
     assert df.columns[:3] == ["session_id", "user_id", "session_start"]
+
+
+def test_session_scan_prunes_columns_and_pushes_the_type_filter(spark):
+    from weft.plans import catalog
+    df = catalog._core_sessions(spark, SF, "gap")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [" in plan and "In(event_type" in plan
+    scan = [ln for ln in plan.splitlines() if "FileScan parquet" in ln][0]
+    assert "props" not in scan and "value" not in scan

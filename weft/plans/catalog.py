@@ -75,17 +75,18 @@ def _lines_of(df: DataFrame, line) -> DataFrame:
     return df.select(line.alias("value"), *keep)
 
 
-_TABLES: dict[tuple[int, str], DataFrame] = {}
+_TABLES: dict[tuple[str, str], DataFrame] = {}
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table; the DataFrame is reused per session and path, so its
-    Parquet schema is read once rather than once per query."""
+    """A test table; the DataFrame is reused per application, session and
+    path, so its Parquet schema is read once rather than once per query."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark._jsparkSession), path)
-    if key not in _TABLES:
-        _TABLES[key] = spark.read.parquet(path)
-    return _TABLES[key]
+    key = (spark.sparkContext.applicationId, path)
+    df = _TABLES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _TABLES[key] = spark.read.parquet(path)
+    return df
 
 
 def _sql_values(mapping: dict[str, str]) -> str:
