@@ -101,3 +101,17 @@ def test_csv_reader_infers_and_uses_schema(spark, tmp_path):
     assert dict(df.dtypes) == {"a": "int", "b": "string"}
     df2 = read_csv(spark, str(p), header=True, schema="a long, b string")
     assert df2.agg(F.sum("a")).first()[0] == 3
+
+
+def test_persisted_parse_serves_rows_and_rejects_from_one_cache(spark):
+    from weft.plans.session_cut import clean_log
+    lines = _lines(spark, ["pageview|2017-01-01 10:00:00|u|ip|http://a.com/", "short|x",
+                           "click|2017-99-01 10:00:00|u|ip|http://a.com/"])
+    p = clean_log(lines).persist()
+    try:
+        for df in (p.rows, p.rejects):
+            assert "InMemoryRelation" in df._jdf.queryExecution().optimizedPlan().toString()
+        assert p.rows.count() == 1
+        assert sorted(r.reason for r in p.rejects.collect()) == ["bad_time", "short_line"]
+    finally:
+        p.unpersist()

@@ -33,15 +33,18 @@ def clean_log(lines: DataFrame, types: tuple[str, ...] = LOG_TYPES) -> Parsed:
     """Parse visit-log lines and keep only the given log types.
 
     Rows of a kept type whose time does not parse become rejects
-    (``bad_time``); rows of other types are dropped, not rejected.
+    (``bad_time``); rows of other types are dropped, not rejected. The
+    result can be ``persist()``-ed as one staged projection.
     """
-    p = parse_visit_log(lines)
-    typed = p.rows.filter(F.col("log_type").isin(*types)).withColumn(
-        "ts", parse_log_time("log_server_time"))
-    bad_time = typed.filter(F.col("ts").isNull()).select(
-        F.concat_ws("|", *schemas.TRACKER_LOG.fieldNames()).alias("value"),
-        F.lit("bad_time").alias("reason"))
-    return Parsed(typed.filter(F.col("ts").isNotNull()), p.rejects.unionByName(bad_time))
+    def typed_step(rows: DataFrame, rejects: DataFrame) -> tuple[DataFrame, DataFrame]:
+        typed = rows.filter(F.col("log_type").isin(*types)).withColumn(
+            "ts", parse_log_time("log_server_time"))
+        bad_time = typed.filter(F.col("ts").isNull()).select(
+            F.concat_ws("|", *schemas.TRACKER_LOG.fieldNames()).alias("value"),
+            F.lit("bad_time").alias("reason"))
+        return typed.filter(F.col("ts").isNotNull()), rejects.unionByName(bad_time)
+
+    return parse_visit_log(lines).derive(typed_step)
 
 
 def log_spec(first: tuple[str, ...] = ("ip", "log_server_time")) -> SessionSpec:
@@ -106,8 +109,11 @@ def session_cut_etl(spark: SparkSession, visit_log_path: str | None = None,
     output_path = (output_path or conf.get("spark.sessioncut.baseOutputPath", DEFAULT_OUTPUT)).rstrip("/")
     write = select_sink(sink)
 
-    parsed = clean_log(read_lines(spark, visit_log_path))
-    log = parsed.rows.persist(StorageLevel.MEMORY_AND_DISK)
+    # One pass over the raw log feeds the cleaned log, the sessions and the
+    # rejects: the staged parse is cached (spilling to disk as needed; lost
+    # blocks are recomputed from the source files).
+    parsed = clean_log(read_lines(spark, visit_log_path)).persist(StorageLevel.MEMORY_AND_DISK)
+    log = parsed.rows
     labels = parse_cookie_labels(read_lines(spark, cookie_label_path))
     try:
         log_obs = Observation("log")
@@ -126,4 +132,4 @@ def session_cut_etl(spark: SparkSession, visit_log_path: str | None = None,
         rejects.write.mode("overwrite").parquet(f"{output_path}/rejects")
         return {**log_obs.get, **sess_obs.get, **rej_obs.get}
     finally:
-        log.unpersist()
+        parsed.unpersist()

@@ -9,8 +9,10 @@ Malformed records are kept as rejects instead of aborting the job; pass
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,10 +32,40 @@ AIRPORT_LINE_PATTERN = (r'^\s*"([^"]+)"\s*,\s*"([^"]+)"\s*,\s*"?([^"]+)"?\s*,\s*
 
 @dataclass(frozen=True)
 class Parsed:
-    """Typed rows and rejected lines from one pass over the same input."""
+    """Typed rows and rejected lines from one pass over the same input.
+
+    Both come from one staged projection (each line with its parse result and
+    reject reason). ``persist()`` caches that projection, so a job that writes
+    rows and rejects reads its input once.
+    """
 
     rows: DataFrame
     rejects: DataFrame
+    staged: DataFrame | None = None
+    build: Callable[[DataFrame], tuple[DataFrame, DataFrame]] | None = None
+
+    def persist(self, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> "Parsed":
+        if self.staged is None or self.build is None:
+            return self
+        st = self.staged.persist(level)
+        rows, rejects = self.build(st)
+        return Parsed(rows, rejects, st, self.build)
+
+    def unpersist(self) -> None:
+        if self.staged is not None:
+            self.staged.unpersist()
+
+    def derive(self, fn: Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]]) -> "Parsed":
+        """A follow-up step over (rows, rejects) that stays tied to the same
+        staged projection (and so to its cache after ``persist``)."""
+        build = self.build
+        if build is None:
+            rows, rejects = fn(self.rows, self.rejects)
+            return Parsed(rows, rejects)
+        def chained(st: DataFrame) -> tuple[DataFrame, DataFrame]:
+            return fn(*build(st))
+        rows, rejects = fn(self.rows, self.rejects)
+        return Parsed(rows, rejects, self.staged, chained)
 
     def rows_or_fail(self) -> DataFrame:
         """FAILFAST: raise when any line was rejected, else the rows."""
@@ -88,10 +120,15 @@ def _finish(lines: DataFrame, reason: Column, rows: list[Column], skip: Column |
     staged = lines.select("*", reason.alias("_reason"))
     if skip is not None:
         staged = staged.filter(_after_spread(staged, ~skip))
-    ok = staged.filter(_after_spread(staged, F.col("_reason").isNull())).select(*rows)
-    bad = staged.filter(_after_spread(staged, F.col("_reason").isNotNull())).select(
-        F.col("value"), F.col("_reason").alias("reason"))
-    return Parsed(ok, bad)
+
+    def build(st: DataFrame) -> tuple[DataFrame, DataFrame]:
+        ok = st.filter(_after_spread(st, F.col("_reason").isNull())).select(*rows)
+        bad = st.filter(_after_spread(st, F.col("_reason").isNotNull())).select(
+            F.col("value"), F.col("_reason").alias("reason"))
+        return ok, bad
+
+    ok, bad = build(staged)
+    return Parsed(ok, bad, staged, build)
 
 
 def parse_visit_log(lines: DataFrame, order_col: str | None = "log_order") -> Parsed:
