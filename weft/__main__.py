@@ -39,11 +39,15 @@ def main(argv: list[str] | None = None) -> None:
         from weft.plans.session_cut import session_cut_etl
         print(json.dumps(session_cut_etl(spark, sink=a.sink, strategy=a.strategy, gap=a.gap)))
     elif a.job == "flights":
-        from weft.plans.flights import flight_analysis
+        from weft.plans.flights import flight_analysis, load_flights
         from weft.sinks.writers import preview
-        for name, df in flight_analysis(spark, a.flights, routes_out=a.routes_out).items():
-            print(name)
-            preview(df, 1000)
+        parsed = load_flights(spark, a.flights).persist()   # one pass over the input
+        try:
+            for name, df in flight_analysis(spark, routes_out=a.routes_out, parsed=parsed).items():
+                print(name)
+                preview(df, 1000)
+        finally:
+            parsed.unpersist()
     else:
         from weft.plans.devices import datacenter_analysis, device_analysis
         from weft.sinks.writers import preview

@@ -42,18 +42,24 @@ def route_cube(flights: DataFrame) -> DataFrame:
         order_by="avg_distance")
 
 
-def flight_analysis(spark: SparkSession, flights_path: str = DEFAULT_FLIGHTS,
-                    routes_out: str | None = None) -> dict[str, DataFrame]:
-    """All questions of the flight job as DataFrames; ``routes_out`` also
-    writes the route counts as header-less CSV (L5)."""
-    flights = load_flights(spark, flights_path).rows
-    out = {
+def flight_reports(flights: DataFrame) -> dict[str, DataFrame]:
+    """All questions of the flight job over parsed flight rows."""
+    return {
         "cancelled_by_month": stats.cancelled_by_month(flights),
         "route_counts": stats.route_counts(flights),
         "route_cube_count": stats.cube_count(flights.select("origin", "dest"), "origin", "dest"),
         "route_cube": route_cube(flights),
         "elapsed_summary": elapsed_summary(flights),
     }
+
+
+def flight_analysis(spark: SparkSession, flights_path: str = DEFAULT_FLIGHTS,
+                    routes_out: str | None = None, parsed: Parsed | None = None) -> dict[str, DataFrame]:
+    """All questions of the flight job as DataFrames; ``routes_out`` also
+    writes the route counts as header-less CSV (L5). Pass a ``persist()``-ed
+    ``parsed`` to answer every question from one pass over the input."""
+    parsed = parsed or load_flights(spark, flights_path)
+    out = flight_reports(parsed.rows)
     if routes_out:
         write_csv(out["route_counts"], routes_out)
     return out
