@@ -82,7 +82,11 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A test table; the DataFrame is reused per application, session and
     path, so its Parquet schema is read once rather than once per query."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # Spark Connect
+        app = str(id(spark))
+    key = (app, path)
     df = _TABLES.get(key)
     if df is None or df.sparkSession is not spark:
         df = _TABLES[key] = spark.read.parquet(path)

@@ -50,11 +50,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     fresh private folder is created and registered, so lineage cuts and
     round-trip writes always land in the folder the cluster names.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext on the client
+        sc = None
+    if sc is not None:
+        current = sc.getCheckpointDir()
+        if current:
+            return current
+    configured = sc.getConf().get("spark.checkpoint.dir", None) if sc is not None else None
     if not configured:
         try:
             configured = spark.conf.get("spark.checkpoint.dir")
@@ -62,6 +66,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
             configured = None
     if not configured:
         configured = tempfile.mkdtemp(prefix="weft-ckpt-")
+    if sc is None:
+        return configured
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
