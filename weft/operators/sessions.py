@@ -26,7 +26,6 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from weft.functions.columns import epoch_micros, floor_div, session_hash_id, ts_text
 
