@@ -14,9 +14,11 @@ large share of all rows does not serialise the job:
   the cell summaries, whose count per visitor is bounded by time span / gap,
   not by the number of rows.
 * page view: a range exchange on (visitor, time, id) cuts even one visitor
-  into balanced slices. Each slice is scanned with a window; the rows at the
-  head of a slice that precede its first page view are resolved against the
-  previous slices through a table of at most two rows per (visitor, slice).
+  into balanced slices. Each (visitor, slice) is scanned with a window; the
+  rows at the head of a slice that precede its first page view continue the
+  visitor's last page view in an earlier slice. Only a slice's first visitor
+  can be in that position, so the carry table holds at most one row per
+  slice and is broadcast on that bound.
 """
 
 from __future__ import annotations
