@@ -115,3 +115,19 @@ def test_persisted_parse_serves_rows_and_rejects_from_one_cache(spark):
         assert sorted(r.reason for r in p.rejects.collect()) == ["bad_time", "short_line"]
     finally:
         p.unpersist()
+
+
+def test_cube_with_map_style_aggregates(spark):
+    def f(origin, dest, elapsed, dist):
+        v = list(GOOD)
+        v[16], v[17], v[11], v[18] = origin, dest, elapsed, str(dist)
+        return _flight(v)
+    fl = parse_flights(_lines(spark, [f("A", "B", "100", 500), f("A", "C", "60", 900)])).rows
+    out = stats.cube_agg_map(fl, ["origin", "dest"],
+                             {"*": "count", "times.actualElapsedTime": "avg", "distance": "avg"},
+                             order_by="avg(distance)")
+    assert "avg(distance)" in out.columns and "count(1)" in out.columns
+    rows = out.collect()
+    assert rows[0]["avg(distance)"] == 900.0
+    assert {(r.origin, r.dest) for r in rows if r["avg(distance)"] == 900.0} == {("A", "C"), (None, "C")}
+    assert len(out.collect()) == 1 + 1 + 2 + 2

@@ -73,3 +73,16 @@ def cube_agg(df: DataFrame, keys: Sequence[str], aggs: dict[str, Column],
         o = F.col(order_by)
         out = out.orderBy(o.desc() if descending else o.asc())
     return out
+
+
+def cube_agg_map(df: DataFrame, keys: Sequence[str], aggs: dict[str, str],
+                 order_by: str | None = None, descending: bool = True) -> DataFrame:
+    """Cube with the map form of ``agg`` (E9): ``{"*": "count",
+    "times.actualElapsedTime": "avg", "distance": "avg"}``. Output columns
+    get Spark's generated names (``count(1)``, ``avg(distance)``, ...), so a
+    sort can name one of them (G6)."""
+    out = df.cube(*keys).agg(dict(aggs))
+    if order_by:
+        o = F.col(f"`{order_by}`")
+        out = out.orderBy(o.desc() if descending else o.asc())
+    return out
