@@ -243,9 +243,14 @@ def test_random_events_match_sequential_cut(spark, many_slices, seed, n, hot):
 def test_pageview_plan_has_no_per_visitor_exchange(spark):
     """The raw rows are never hash-partitioned by the visitor alone."""
     df = spark.createDataFrame(_events(3, 50, 0.5), "u long, t timestamp_ntz, o long, k string, ip string, url string")
-    s = cut_sessions(df, SessionSpec("u", "t", "o", "k"), strategy="pageview")
+    s = cut_sessions(df, SessionSpec("u", "t", "o", "k"), strategy="pageview", checkpoint=False)
     plan = s._jdf.queryExecution().executedPlan().toString()
     assert "rangepartitioning(_u" in plan
+    # by default the per-slice partials are checkpointed once and both
+    # branches read them back instead of recomputing the scan and shuffles
+    c = cut_sessions(df, SessionSpec("u", "t", "o", "k"), strategy="pageview")
+    cplan = c._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in cplan and "Scan ExistingRDD" in cplan
     g = cut_sessions(df, SessionSpec("u", "t", "o", "k"), strategy="gap")
     gplan = g._jdf.queryExecution().executedPlan().toString()
     # First exchange is on (visitor, cell) after a partial aggregate.

@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weft.functions.columns import epoch_micros, floor_div, session_hash_id, ts_text
+from weft.session import checkpoint_dir
 
 # Fixed values of the reference's session cutting.
 DEFAULT_GAP = "30 minutes"
@@ -130,9 +131,12 @@ def gap_sessions(df: DataFrame, spec: SessionSpec, gap: str | int = DEFAULT_GAP)
     return _finish(s, spec, "_first", "_land")
 
 
-def pageview_sessions(df: DataFrame, spec: SessionSpec) -> DataFrame:
+def pageview_sessions(df: DataFrame, spec: SessionSpec, checkpoint: bool = True) -> DataFrame:
     """Every page view opens a session; clicks before a visitor's first page
-    view form one leading session of their own."""
+    view form one leading session of their own.
+
+    With ``checkpoint`` (default) the per-slice partial sessions are written
+    once to the checkpoint folder when the plan is built (an eager job)."""
     x = _prepare(df, spec)
     # Balanced contiguous slices of the (visitor, time, id) order: the range
     # exchange splits even a single visitor across many slices.
@@ -146,6 +150,14 @@ def pageview_sessions(df: DataFrame, spec: SessionSpec) -> DataFrame:
              .agg(F.min(_first_struct(spec)).alias("_first"),
                   F.count_if(F.col("_pv")).alias("_npv"),
                   F.count_if(F.col("_ck")).alias("_nck")))
+    # ``part`` feeds two branches (the sessions and the carry table). Column
+    # pruning makes their plans differ, so Spark would not reuse the
+    # exchanges and would run the scan, range sampling and both shuffles
+    # twice. A reliable checkpoint (in the session's checkpoint folder) cuts
+    # the lineage once; ``part`` is session-level, far smaller than the rows.
+    if checkpoint:
+        checkpoint_dir(df.sparkSession)
+        part = part.checkpoint(eager=True)
     # Rows at the head of a slice before its first page view (anchor null)
     # continue the visitor's last page view in an earlier slice. Only the
     # first visitor of a slice can have such an earlier page view, so the
@@ -177,13 +189,13 @@ STRATEGIES = {"gap": gap_sessions, "pageview": pageview_sessions}
 
 
 def cut_sessions(df: DataFrame, spec: SessionSpec, strategy: str = "gap",
-                 gap: str | int = DEFAULT_GAP) -> DataFrame:
+                 gap: str | int = DEFAULT_GAP, checkpoint: bool = True) -> DataFrame:
     """Pluggable cutting strategy: ``'gap'`` or ``'pageview'``."""
     key = strategy.lower().replace("_", "").replace("-", "")
     if key in ("gap", "time", "inactivity"):
         return gap_sessions(df, spec, gap)
     if key in ("pageview", "pv", "page"):
-        return pageview_sessions(df, spec)
+        return pageview_sessions(df, spec, checkpoint=checkpoint)
     raise ValueError(f"unknown session strategy {strategy!r}; use 'gap' or 'pageview'")
 
 
