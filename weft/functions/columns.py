@@ -69,9 +69,10 @@ def parse_log_time(c: str | Column) -> Column:
     with the session time zone.
     """
     s = col(c)
-    parts = [F.regexp_extract(s, LOG_TIME_PATTERN, i) for i in range(1, 7)]
-    ok = s.rlike(LOG_TIME_PATTERN)
-    return F.when(ok, F.try_make_timestamp_ntz(*[p.cast("int") for p in parts]))
+    # Fixed-width fields: one shape test, then plain substrings (all digits,
+    # so the casts cannot fail); impossible dates give null.
+    parts = [F.substring(s, pos, n).cast("int") for pos, n in ((1, 4), (6, 2), (9, 2), (12, 2), (15, 2), (18, 2))]
+    return F.when(s.rlike(LOG_TIME_PATTERN), F.try_make_timestamp_ntz(*parts))
 
 
 def epoch_micros(ts: str | Column, dtype: T.DataType | None = None) -> Column:

@@ -1,10 +1,10 @@
 """Line-format readers: each turns a ``value`` text column into typed rows
 plus a rejects output (``value``, ``reason``).
 
-Parsing is one projection over the lines (split / regex / lenient casts), so
-it stays narrow: no shuffle, and work grows linearly with the input.
-Malformed records are kept as rejects instead of aborting the job; pass
-``mode='FAILFAST'`` to ``Parsed.rows_or_fail`` to restore aborting.
+Parsing is one projection over the lines (split / trims / lenient casts),
+so it stays narrow: no shuffle, and work grows linearly with the input.
+Malformed records are kept as rejects instead of aborting the job;
+``Parsed.rows_or_fail()`` restores abort-on-error (FAILFAST).
 """
 
 from __future__ import annotations
