@@ -285,3 +285,11 @@ def test_preview_and_schema_print(spark, capsys):
     print_schema(df)
     out = capsys.readouterr().out
     assert "only showing top 3 rows" in out and "|-- x: integer" in out
+
+
+@pytest.mark.parametrize("strategy", ["gap", "pageview"])
+def test_one_event_visitor(spark, strategy):
+    rows = [("pageview", "2017-01-01 10:00:00", "solo", "ip9", "http://x.com/p")]
+    (r,) = _sessions(spark, _log(rows), labels=["solo|L"], strategy=strategy).collect()
+    assert (r.cookie, r.cookie_label, r.ip, r.landing_url, r.domain, r.pageview_count, r.click_count) == \
+        ("solo", "L", "ip9", "http://x.com/p", "x.com", 1, 0)
