@@ -15,6 +15,10 @@ from pyspark.sql import SparkSession
 
 # Defaults applied only where the session has no value yet.
 _DEFAULTS = {
+    # Wide projections (29 parsed fields) compile to methods above HotSpot's
+    # 8 KB JIT limit; without this flag they run in the bytecode interpreter.
+    "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+    "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
