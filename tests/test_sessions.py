@@ -163,6 +163,10 @@ def test_unknown_strategy_rejected(spark):
     with pytest.raises(ValueError):
         cut_sessions(df, SessionSpec("u", "t", "o", "k"), strategy="weekly")
     assert gap_micros("30 minutes") == 1_800_000_000 and gap_micros(5) == 300_000_000
+    assert gap_micros("1 hour") == 3_600_000_000 and gap_micros("90 seconds") == 90_000_000
+    for bad in ("0 minutes", 0, "soon"):
+        with pytest.raises(ValueError):
+            gap_micros(bad)
 
 
 # ---------------------------------------------------------------------------

@@ -59,11 +59,15 @@ _UNITS = {"microsecond": 1, "millisecond": 1000, "second": 1_000_000,
 def gap_micros(gap: str | int) -> int:
     """``'30 minutes'`` / ``'1 hour'`` / minutes as int -> microseconds."""
     if isinstance(gap, int):
-        return gap * _UNITS["minute"]
-    m = re.fullmatch(r"\s*(\d+)\s*([a-z]+?)s?\s*", gap.lower())
-    if not m or m.group(2) not in _UNITS:
-        raise ValueError(f"unsupported gap: {gap!r}")
-    return int(m.group(1)) * _UNITS[m.group(2)]
+        micros = gap * _UNITS["minute"]
+    else:
+        m = re.fullmatch(r"\s*(\d+)\s*([a-z]+?)s?\s*", gap.lower())
+        if not m or m.group(2) not in _UNITS:
+            raise ValueError(f"unsupported gap: {gap!r}")
+        micros = int(m.group(1)) * _UNITS[m.group(2)]
+    if micros <= 0:
+        raise ValueError(f"gap must be positive: {gap!r}")
+    return micros
 
 
 def _prepare(df: DataFrame, spec: SessionSpec) -> DataFrame:
