@@ -42,3 +42,17 @@ def test_domain_labels_from_a_table(spark):
     one = attach_unique_label(spark.createDataFrame([("jd.com",)], "domain string"), dup, "domain", "domain_label")
     assert [r.domain_label for r in one.collect()] == ["level9"]
     assert broadcast_if_small(dim, 10) is not dim and broadcast_if_small(dim, 2) is dim
+
+
+def test_command_line_devices_and_flights(spark, tmp_path, capsys):
+    from conftest import DEVICE_LINES
+    from weft.__main__ import main
+    dev = write_lines(tmp_path / "device_info.txt", DEVICE_LINES)
+    main(["devices", dev])
+    out = capsys.readouterr().out
+    assert "co2_ratio" in out and "76.22" in out
+    fl = write_lines(tmp_path / "f.csv", [_line("ANC", "SEA", 1, 0), _line("OGG", "ANC", 2, 1)])
+    main(["flights", fl, "--routes-out", str(tmp_path / "routes")])
+    out = capsys.readouterr().out
+    assert "route_counts" in out and "ANC" in out
+    assert spark.read.csv(str(tmp_path / "routes")).count() == 2
