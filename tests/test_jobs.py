@@ -56,3 +56,13 @@ def test_command_line_devices_and_flights(spark, tmp_path, capsys):
     out = capsys.readouterr().out
     assert "route_counts" in out and "ANC" in out
     assert spark.read.csv(str(tmp_path / "routes")).count() == 2
+
+
+def test_salted_left_join_equals_plain_left_join(spark):
+    from weft.operators.labels import attach_label, salted_left_join
+    left = spark.createDataFrame([(k, i) for i, k in enumerate([1, 1, 2, 3, 4, 4, 4])], "k long, i long")
+    labels = spark.createDataFrame([(1, f"a{j % 3}") for j in range(40)] + [(2, "b"), (2, "b"), (5, "z")],
+                                   "k long, lab string")
+    plain = sorted(tuple(r) for r in attach_label(left, labels, "k", "lab").collect())
+    salted = sorted(tuple(r) for r in salted_left_join(left, labels, "k", "lab", hot_rows=5, salts=7).collect())
+    assert salted == plain and len(plain) == 2 * 40 + 2 + 1 + 3

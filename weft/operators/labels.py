@@ -85,3 +85,37 @@ def attach_unique_label(df: DataFrame, labels: DataFrame, key: str, label: str,
     lk = label_key or key
     uniq = labels.groupBy(F.col(lk).alias(lk)).agg(F.max(label).alias(label))
     return attach_label(df, uniq, key, label, lk, default, max_broadcast_rows)
+
+
+def salted_left_join(df: DataFrame, labels: DataFrame, key: str, label: str,
+                     label_key: str | None = None, default: str = MISSING_STRING,
+                     hot_rows: int = 1_000_000, salts: int = 64) -> DataFrame:
+    """Left join with fan-out whose label side may hold a hot key.
+
+    AQE can split the left side of a left join, not the right, so one label
+    key with millions of rows would put its whole fan-out in one task. Keys
+    with more than ``hot_rows`` label rows are found with one aggregate (at
+    most ``rows / hot_rows`` of them: a proven bound, so they are broadcast);
+    their label rows get a deterministic salt ``0..salts-1`` and their left
+    rows are repeated once per salt. A hot key always has matches, so copies
+    that meet an empty salt bucket are dropped. Same rows as the plain left
+    join, with the hot fan-out spread over ``salts`` tasks.
+    """
+    lk = label_key or key
+    hot = (labels.groupBy(F.col(lk).alias("__hk")).count()
+                 .filter(F.col("count") > hot_rows).select("__hk", F.lit(True).alias("__hot")))
+    hot = F.broadcast(hot)
+    right = (labels.select(F.col(lk).alias("__lk"), F.col(label).alias("__lv"))
+                   .join(hot, F.col("__lk") == F.col("__hk"), "left")
+                   .select("__lk", "__lv",
+                           F.when(F.col("__hot"), F.pmod(F.xxhash64("__lk", "__lv", F.monotonically_increasing_id()), F.lit(salts)))
+                            .otherwise(F.lit(0)).cast("int").alias("__rs")))
+    out = df.drop(label) if label in df.columns else df
+    left = (out.join(hot, out[key] == F.col("__hk"), "left")
+               .withColumn("__ls", F.explode(F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
+                                             .otherwise(F.array(F.lit(0)))))
+               .drop("__hk"))
+    joined = left.join(right, (left[key] == right["__lk"]) & (left["__ls"] == right["__rs"]), "left")
+    joined = joined.filter(~(F.coalesce(F.col("__hot"), F.lit(False)) & F.col("__lk").isNull()))
+    return (joined.withColumn(label, F.coalesce(F.col("__lv"), F.lit(default)))
+                  .drop("__lk", "__lv", "__rs", "__ls", "__hot"))

@@ -22,7 +22,7 @@ from weft import schemas
 from weft.functions.columns import (epoch_micros, exact_round_ratio, floor_div, lenient_int,
                                     session_hash_id, ts_text, url_host)
 from weft.operators import jsonops, stats
-from weft.operators.labels import attach_label, map_lookup
+from weft.operators.labels import attach_label, map_lookup, salted_left_join
 from weft.operators.sessions import SessionSpec, cut_sessions, gap_micros, with_session_id
 from weft.plans import devices, flights
 from weft.plans.session_cut import label_domains
@@ -294,10 +294,11 @@ LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) c ON c.c_custkey = s.user
 
 
 def label_fanout(spark, sf_dir):
-    """A label side with repeated keys multiplies rows, as a left join does."""
+    """A label side with repeated keys multiplies rows, as a left join does
+    (D1). Label keys with very many rows are salted (``salted_left_join``)."""
     s = _core_sessions(spark, sf_dir, "gap").select("user_id", "session_start")
     labels = _t(spark, sf_dir, "orders").select("o_custkey", F.col("o_orderpriority").alias("cookie_label"))
-    return attach_label(s, labels, "user_id", "cookie_label", label_key="o_custkey")
+    return salted_left_join(s, labels, "user_id", "cookie_label", label_key="o_custkey")
 
 
 LABEL_FANOUT_SQL = f"""
