@@ -48,6 +48,11 @@ def test_lenient_int_table(spark):
     df = spark.createDataFrame([(k,) for k in cases], "s string")
     got = {r.s: r.n for r in df.select("s", lenient_int("s").alias("n")).collect()}
     assert got == cases
+    from weft.functions.columns import jvm_trim_sql, lenient_int_sql
+    got_sql = {r.s: r.n for r in df.select("s", F.expr(lenient_int_sql("`s`")).alias("n")).collect()}
+    assert got_sql == cases
+    t = spark.createDataFrame([("\t\n x \x01",)], "s string").select(F.expr(jvm_trim_sql("s")).alias("t"))
+    assert t.first().t == "x"
 
 
 def test_jvm_trim_removes_control_chars(spark):

@@ -33,6 +33,28 @@ def jvm_trim(c: str | Column) -> Column:
     return F.btrim(col(c), F.lit(JVM_WHITESPACE))
 
 
+def _sql_string(text: str) -> str:
+    """A Spark SQL string literal for ``text`` (control chars as \\u escapes)."""
+    out = []
+    for ch in text:
+        if ch in ("'", "\\") or ord(ch) < 0x20:
+            out.append(f"\\u{ord(ch):04x}")
+        else:
+            out.append(ch)
+    return "'" + "".join(out) + "'"
+
+
+def lenient_int_sql(expr: str, default: int = MISSING_INT) -> str:
+    """SQL text of ``lenient_int`` over the SQL expression ``expr``."""
+    return (f"CASE WHEN {expr} RLIKE {_sql_string(INT_TEXT_PATTERN)} "
+            f"THEN coalesce(try_cast({expr} AS INT), {default}) ELSE {default} END")
+
+
+def jvm_trim_sql(expr: str) -> str:
+    """SQL text of ``jvm_trim`` over the SQL expression ``expr``."""
+    return f"btrim({expr}, {_sql_string(JVM_WHITESPACE)})"
+
+
 def lenient_int(c: str | Column, default: int = MISSING_INT) -> Column:
     """Integer with a default for blank, ``...NA`` and non-numeric text.
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weft import schemas
-from weft.functions.columns import jvm_trim, lenient_int
+from weft.functions.columns import jvm_trim, jvm_trim_sql, lenient_int_sql
 
 # Fixed values of the line formats.
 LOG_COMMENT_PREFIX = "#"
@@ -174,18 +174,22 @@ FLIGHT_TOP_FIELDS = [("uniqueCarrier", 8, "str"), ("flightNum", 9, "int"), ("tai
                      ("securityDelay", 27, "int"), ("lateAircraftDelay", 28, "int")]
 
 
-def flight_columns(fields: Column) -> list[Column]:
-    """Nested flight record from an array of raw fields."""
-    def num(i: int) -> Column:
-        return lenient_int(F.get(fields, i))
+def flight_columns(fields: str) -> list[Column]:
+    """Nested flight record from the array column ``fields`` of raw fields
+    (A10, B4, C9). Built as SQL text: one expression per output column
+    instead of a few hundred client-side Column calls."""
+    def num(i: int) -> str:
+        return lenient_int_sql(f"get(`{fields}`, {i})")
 
-    def text(i: int) -> Column:
-        return jvm_trim(F.get(fields, i))
+    def text(i: int) -> str:
+        return jvm_trim_sql(f"get(`{fields}`, {i})")
 
-    date = F.struct(*[num(i).alias(n) for n, i in FLIGHT_DATE_FIELDS.items()])
-    times = F.struct(*[num(i).alias(n) for n, i in FLIGHT_TIME_FIELDS.items()])
-    top = [(num(i) if k == "int" else text(i)).alias(n) for n, i, k in FLIGHT_TOP_FIELDS]
-    return [date.alias("date"), times.alias("times"), *top]
+    def struct(spec: dict[str, int]) -> str:
+        return "named_struct(" + ", ".join(f"'{n}', {num(i)}" for n, i in spec.items()) + ")"
+
+    top = [F.expr(num(i) if k == "int" else text(i)).alias(n) for n, i, k in FLIGHT_TOP_FIELDS]
+    return [F.expr(struct(FLIGHT_DATE_FIELDS)).alias("date"),
+            F.expr(struct(FLIGHT_TIME_FIELDS)).alias("times"), *top]
 
 
 def parse_flights(lines: DataFrame) -> Parsed:
@@ -201,7 +205,7 @@ def parse_flights(lines: DataFrame) -> Parsed:
     spreaded = spread(lines)
     keep = [SLICE] if SLICE in spreaded.columns else []
     staged = spreaded.select("value", *keep, f.alias("_f"))
-    p = _finish(staged, reason.otherwise(F.lit(None)), flight_columns(F.col("_f")), skip=header)
+    p = _finish(staged, reason.otherwise(F.lit(None)), flight_columns("_f"), skip=header)
     return p
 
 
