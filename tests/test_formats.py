@@ -136,3 +136,13 @@ def test_cube_with_map_style_aggregates(spark):
     assert rows[0]["avg(distance)"] == 900.0
     assert {(r.origin, r.dest) for r in rows if r["avg(distance)"] == 900.0} == {("A", "C"), (None, "C")}
     assert len(out.collect()) == 1 + 1 + 2 + 2
+
+
+def test_spread_keeps_the_parse_filter_after_the_exchange(spark):
+    one = spark.range(0, 2000, 1, 1).select(F.concat_ws(",", *[F.col("id").cast("string")] * 29).alias("value"))
+    plan = parse_flights(one).rows._jdf.queryExecution().executedPlan().toString()
+    lines = plan.splitlines()
+    filt = next(i for i, ln in enumerate(lines) if "Filter" in ln)
+    exch = next(i for i, ln in enumerate(lines) if "Exchange" in ln)
+    assert filt < exch            # printed top-down: the filter runs after the shuffle
+    assert "hashpartitioning" in plan
