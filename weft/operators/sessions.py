@@ -93,9 +93,12 @@ def _first_struct(spec: SessionSpec) -> Column:
                     *[F.col(c) for c in spec.first])
 
 
-def _landing_struct(spec: SessionSpec) -> Column:
+def _landing_struct(spec: SessionSpec, with_first: bool = True) -> Column:
+    # The page-view anchor also opens its session, so it carries the first-row
+    # columns; the gap strategy only needs the landing columns.
+    cols = [*spec.first, *spec.landing] if with_first else list(spec.landing)
     return F.struct(F.col("_us"), F.col("_rid"), F.col("_t"),
-                    *[F.col(c) for c in dict.fromkeys([*spec.first, *spec.landing])])
+                    *[F.col(c) for c in dict.fromkeys(cols)])
 
 
 def _finish(s: DataFrame, spec: SessionSpec, first: str, land: str) -> DataFrame:
@@ -118,7 +121,7 @@ def gap_sessions(df: DataFrame, spec: SessionSpec, gap: str | int = DEFAULT_GAP)
               .agg(F.min("_us").alias("_lo"),
                    F.max("_us").alias("_hi"),
                    F.min(_first_struct(spec)).alias("_first"),
-                   F.min(F.when(F.col("_pv"), _landing_struct(spec))).alias("_land"),
+                   F.min(F.when(F.col("_pv"), _landing_struct(spec, with_first=False))).alias("_land"),
                    F.count_if(F.col("_pv")).alias("_npv"),
                    F.count_if(F.col("_ck")).alias("_nck")))
     w = Window.partitionBy("_u").orderBy("_cell")
