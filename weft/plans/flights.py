@@ -54,10 +54,15 @@ def flight_reports(flights: DataFrame) -> dict[str, DataFrame]:
 
 
 def flight_analysis(spark: SparkSession, flights_path: str = DEFAULT_FLIGHTS,
-                    routes_out: str | None = None, parsed: Parsed | None = None) -> dict[str, DataFrame]:
+                    routes_out: str | None = None, parsed: Parsed | None = None,
+                    shuffle_partitions: int | None = None) -> dict[str, DataFrame]:
     """All questions of the flight job as DataFrames; ``routes_out`` also
     writes the route counts as header-less CSV (L5). Pass a ``persist()``-ed
-    ``parsed`` to answer every question from one pass over the input."""
+    ``parsed`` to answer every question from one pass over the input.
+    ``shuffle_partitions`` sets the session's shuffle partition count (L7);
+    by default it is left to the cluster setting and AQE coalescing."""
+    if shuffle_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
     parsed = parsed or load_flights(spark, flights_path)
     out = flight_reports(parsed.rows)
     if routes_out:
