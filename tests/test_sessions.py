@@ -297,3 +297,15 @@ def test_one_event_visitor(spark, strategy):
     (r,) = _sessions(spark, _log(rows), labels=["solo|L"], strategy=strategy).collect()
     assert (r.cookie, r.cookie_label, r.ip, r.landing_url, r.domain, r.pageview_count, r.click_count) == \
         ("solo", "L", "ip9", "http://x.com/p", "x.com", 1, 0)
+
+
+def test_job_pageview_strategy_with_bad_label_line(spark, tmp_path):
+    log = write_lines(tmp_path / "visit_log.txt", VISIT_LOG + ["pageview|2017-09-04 12:00:00|cookie9|ip"])
+    lab = write_lines(tmp_path / "cookie_label.txt", COOKIE_LABELS + ["nolabel"])
+    out = str(tmp_path / "out")
+    counts = session_cut_etl(spark, log, lab, out, sink="parquet", strategy="pageview")
+    assert counts == {"log_rows": 10, "session_count": 5, "reject_count": 2}
+    got = {(r.cookie, r.session_server_time, r.landing_url, r.pageview_count, r.click_count)
+           for r in spark.read.parquet(f"{out}/trackerSession").collect()}
+    assert got == GOLDEN_PAGEVIEW
+    assert sorted(r.reason for r in spark.read.parquet(f"{out}/rejects").collect()) == ["short_line", "short_line"]
