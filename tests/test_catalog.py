@@ -70,3 +70,12 @@ def test_session_scan_prunes_columns_and_pushes_the_type_filter(spark):
     assert "PushedFilters: [" in plan and "In(event_type" in plan
     scan = [ln for ln in plan.splitlines() if "FileScan parquet" in ln][0]
     assert "props" not in scan and "value" not in scan
+
+
+def test_no_registered_query_caps_rows_except_the_top_k_report(spark):
+    limited = set()
+    for name, fn in E.queries().items():
+        plan = fn(spark, SF)._jdf.queryExecution().executedPlan().toString()
+        if any(op in plan for op in ("GlobalLimit", "LocalLimit", "CollectLimit", "TakeOrderedAndProject")):
+            limited.add(name)
+    assert limited == {"route_top20"}
