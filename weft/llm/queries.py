@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 from weft.llm.bpe import op4_byte_bpe
+from weft.llm.langid import op6_language_id
 from weft.llm.ppm import op2_ppm_scores
+from weft.llm.rules import op9_rule_quality
+from weft.llm.simhash_golay import op5_simhash_golay
 from weft.llm.token_files import op1_token_files
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op2_ppm_scores, op4_byte_bpe)}
+QUERIES = {f.__name__: f for f in (
+    op1_token_files, op2_ppm_scores, op4_byte_bpe, op5_simhash_golay, op6_language_id, op9_rule_quality)}
 ORACLES: dict[str, str] = {}
