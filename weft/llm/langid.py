@@ -162,51 +162,70 @@ def sample(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
     return [bytes(r["excerpt"]) for r in found], [r["lang"] for r in found]
 
 
+def classify(model: ByteCNN | None, texts: Iterable[bytes | None]) -> tuple[list[str], list[float]]:
+    """Language and score of each text."""
+    import regex
+
+    letter = regex.compile(r"\p{L}").search
+    langs: list[str] = []
+    scores: list[float] = []
+    rows, parts, sizes, held = [], [], [], 0
+
+    def flush() -> None:
+        chances = predict_windows(model, np.concatenate(parts))
+        at = 0
+        for row, part, size in zip(rows, parts, sizes, strict=True):
+            weight = np.full(len(part), WINDOW, np.float64)
+            weight[-1] = size - WINDOW * (len(part) - 1)
+            mean = (chances[at:at + len(part)] * weight[:, None]).sum(axis=0) / weight.sum()
+            at += len(part)
+            best = int(mean.argmax())
+            langs[row], scores[row] = model.labels[best], min(1.0, float(mean[best]))
+
+    for text in texts:
+        langs.append(UNKNOWN)
+        scores.append(0.0)
+        if model is None or not text or not letter(text.decode("utf-8", "replace")):
+            continue
+        rows.append(len(langs) - 1)
+        parts.append(as_windows(text))
+        sizes.append(len(text))
+        held += len(parts[-1])
+        if held >= 4096:
+            flush()
+            rows, parts, sizes, held = [], [], [], 0
+    if rows:
+        flush()
+    return langs, scores
+
+
 def predict(docs: DataFrame, model: ByteCNN | None, id_col: str = "doc_id", text_col: str = "text",
             keep: Iterable[str] = ()) -> DataFrame:
-    """doc_id, lang_pred, score of every text; ``keep`` names input columns to keep beside them."""
-    keep = list(keep)
+    """doc_id, the columns of ``keep``, lang_pred and score of every text."""
+    rows = docs.select(F.col(id_col).alias("doc_id"), *keep, F.col(text_col).cast("binary").alias("__text"))
 
     def run(found: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import regex
-
-        letter = regex.compile(r"\p{L}").search
         for batch in found:
-            column = batch.column("__text")
-            langs, scores = [UNKNOWN] * len(batch), [0.0] * len(batch)
-
-            def flush(rows: list[int], parts: list[np.ndarray], sizes: list[int]) -> None:
-                chances = predict_windows(model, np.concatenate(parts))
-                at = 0
-                for row, part, size in zip(rows, parts, sizes, strict=True):
-                    weight = np.full(len(part), WINDOW, np.float64)
-                    weight[-1] = size - WINDOW * (len(part) - 1)
-                    mean = (chances[at:at + len(part)] * weight[:, None]).sum(axis=0) / weight.sum()
-                    at += len(part)
-                    best = int(mean.argmax())
-                    langs[row], scores[row] = model.labels[best], min(1.0, float(mean[best]))
-
-            rows, parts, sizes, held = [], [], [], 0
-            for row in range(len(batch) if model is not None else 0):
-                text = column[row].as_py()
-                if not text or not letter(text.decode("utf-8", "replace")):
-                    continue
-                rows.append(row)
-                parts.append(as_windows(text))
-                sizes.append(len(text))
-                held += len(parts[-1])
-                if held >= 4096:
-                    flush(rows, parts, sizes)
-                    rows, parts, sizes, held = [], [], [], 0
-            if rows:
-                flush(rows, parts, sizes)
+            langs, scores = classify(model, (t.as_py() for t in batch.column("__text")))
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in range(len(batch.schema) - 1)), pa.array(langs), pa.array(scores)],
+                [*(batch.column(i) for i in range(len(batch.schema) - 1)), pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
                 [*batch.schema.names[:-1], "lang_pred", "score"])
 
-    kept = docs.select(F.col(id_col).alias("doc_id"), *keep, F.col(text_col).cast("binary").alias("__text"))
-    schema = kept.drop("__text").schema.add("lang_pred", "string").add("score", "double")
-    return kept.mapInArrow(run, schema)
+    schema = rows.drop("__text").schema.add("lang_pred", "string").add("score", "double")
+    return rows.mapInArrow(run, schema)
+
+
+def keep_known(docs: DataFrame, least: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The documents whose language is recognised with a score of at least ``least``, with all their columns."""
+    model = train(*sample(docs, ~F.coalesce(third_held_out(), F.lit(False))))
+    place = docs.columns.index(text_col)
+
+    def run(found: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in found:
+            langs, scores = classify(model, ((t.as_py() or "").encode() for t in batch.column(place)))
+            yield batch.filter(pa.array([x != UNKNOWN and s >= least for x, s in zip(langs, scores, strict=True)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def identify(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text",

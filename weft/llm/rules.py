@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm.common import materialise, table
+from weft.llm.common import table
 
 SAMPLE_ROWS = 20_000
 TREES = 24
@@ -40,6 +40,9 @@ SYMBOLS = b"#$%&*+<=>@[\\]^_`{|}~"
 STATISTICS = ["bytes", "words", "lines", "upper", "symbols", "marks", "pipes", "digits", "punctuation", "non_ascii",
               "word_length", "new_words", "new_lines", "top_word", "line_words", "ends", "longest_word", "spaces"]
 
+# Their columns; names that begin with two underscores are kept for these.
+COLUMNS = [f"__{name}" for name in STATISTICS]
+
 
 def statistics(text: bytes | None) -> list[float]:
     """The numbers of ``STATISTICS`` for a text."""
@@ -75,7 +78,7 @@ class Rule:
     def column(self) -> Column:
         out = None
         for k, above, cut in self.terms:
-            term = F.col(STATISTICS[k]) > cut if above else F.col(STATISTICS[k]) <= cut
+            term = F.col(COLUMNS[k]) > cut if above else F.col(COLUMNS[k]) <= cut
             out = term if out is None else out & term
         return out
 
@@ -86,7 +89,7 @@ class Ensemble:
     intercept: float
 
     def score(self) -> Column:
-        """The probability of label 1, as an expression over the columns of ``STATISTICS``."""
+        """The probability of label 1, as an expression over ``COLUMNS``."""
         total = F.lit(self.intercept)
         for rule in self.rules:
             total = total + F.when(rule.column(), F.lit(rule.weight)).otherwise(F.lit(0.0))
@@ -167,7 +170,7 @@ def fit(x: np.ndarray, y: np.ndarray, penalty: float = PENALTY) -> Ensemble:
 
 
 def with_statistics(docs: DataFrame, text_col: str = "text", keep: Iterable[str] = ()) -> DataFrame:
-    """The columns of ``keep`` and those of ``STATISTICS`` for every row."""
+    """The columns of ``keep`` and ``COLUMNS`` for every row."""
     rows = docs.select(*keep, F.col(text_col).cast("binary").alias("__text"))
 
     def run(found: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,19 +178,24 @@ def with_statistics(docs: DataFrame, text_col: str = "text", keep: Iterable[str]
             x = np.array([statistics(t.as_py()) for t in batch.column("__text")], np.float64).reshape(-1, len(STATISTICS))
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(i) for i in range(len(batch.schema) - 1)), *(pa.array(x[:, k]) for k in range(len(STATISTICS)))],
-                [*batch.schema.names[:-1], *STATISTICS])
+                [*batch.schema.names[:-1], *COLUMNS])
 
     schema = rows.drop("__text").schema
-    for name in STATISTICS:
+    for name in COLUMNS:
         schema = schema.add(name, "double")
     return rows.mapInArrow(run, schema)
 
 
-def learn(stats: DataFrame, labels: DataFrame, train: Column, label_col: str = "quality", rows: int = SAMPLE_ROWS) -> Ensemble:
-    """stats: doc_id and statistics. labels: doc_id and a 0/1 label."""
-    marks = labels.select("doc_id", F.col(label_col).cast("int").alias("__y")).where(F.col("__y").isin(0, 1) & train)
-    found = (stats.join(marks, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "__y").limit(rows)
-             .select("__y", *STATISTICS).collect())
+def learn(docs: DataFrame, labels: DataFrame, train: Column, label_col: str = "quality", id_col: str = "doc_id",
+          text_col: str = "text", rows: int = SAMPLE_ROWS) -> Ensemble:
+    """Fit on the texts of at most ``rows`` labels; train is a condition on their doc_id.
+
+    That bound also makes the labels fit to be sent to the documents (20,000 rows of two numbers)."""
+    marks = (labels.select("doc_id", F.col(label_col).cast("int").alias("__y")).where(F.col("__y").isin(0, 1) & train)
+             .orderBy(F.xxhash64("doc_id"), "doc_id", "__y").limit(rows))
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(marks), "doc_id")
+    found = (with_statistics(texts, keep=["doc_id", "__y"]).orderBy(F.xxhash64("doc_id"), "doc_id", "__y").limit(rows)
+             .select("__y", *COLUMNS).collect())
     data = np.array([list(r) for r in found], np.float64).reshape(-1, 1 + len(STATISTICS))
     return fit(data[:, 1:], data[:, 0])
 
@@ -199,14 +207,19 @@ def fifth_held_out() -> Column:
 def score_quality(docs: DataFrame, labels: DataFrame, held_out: Column | None = None, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
     """doc_id, held_out, score, predicted of every row."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     held = F.coalesce(held_out if held_out is not None else fifth_held_out(), F.lit(False))
-    stats = materialise(with_statistics(rows, keep=["doc_id"]), "text-statistics")
-    model = learn(stats, labels, ~held)
-    return (stats.select("doc_id", held.alias("held_out"), model.score().alias("score"))
+    model = learn(docs, labels, ~held, id_col=id_col, text_col=text_col)
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    return (with_statistics(rows, keep=["doc_id"]).select("doc_id", held.alias("held_out"), model.score().alias("score"))
             .withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int")))
 
 
+def keep_good(docs: DataFrame, labels: DataFrame, least: float = THRESHOLD) -> DataFrame:
+    """The documents that score at least ``least``, with all their columns."""
+    model = learn(docs, labels, ~F.coalesce(fifth_held_out(), F.lit(False)))
+    return with_statistics(docs, keep=docs.columns).where(model.score() >= least).select(*docs.columns)
+
+
 def op9_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document, learned from the labels of those with crc32(doc_id) mod 5 not 0."""
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

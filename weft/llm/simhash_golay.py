@@ -32,7 +32,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from weft.llm.common import canonical_words, materialise, table
@@ -71,14 +71,16 @@ def fingerprint(text: bytes | None, shingle_words: int = SHINGLE_WORDS) -> int:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """doc_id, fp (the fingerprint as a signed long)."""
+    """doc_id, fp (the fingerprint as a signed long), text_hash."""
     def run(found: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in found:
             prints = np.array([fingerprint(x.as_py(), shingle_words) for x in batch.column("text")], np.uint64)
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "fp": prints.view(np.int64)})
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "fp": prints.view(np.int64),
+                                                   "text_hash": batch.column("text_hash")})
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"),
+                       F.xxhash64(F.col(text_col)).alias("text_hash"))
+    return rows.mapInArrow(run, "doc_id long, fp long, text_hash long")
 
 
 def _syndromes(words: np.ndarray) -> np.ndarray:
@@ -234,19 +236,39 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS, chunk: int = CHUNK) -> Da
     return first.where("big is null").select("a", "b").union(rest.select("a", "b"))
 
 
+def _roots(nodes: DataFrame, max_bits: int) -> DataFrame:
+    """nodes: distinct fp and more columns. Adds root, the smallest fingerprint of the class."""
+    of = components(links(nodes, max_bits)).withColumnRenamed("node", "fp")
+    return nodes.join(of, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """doc_id, fingerprint (hex), component_id for every row."""
-    prints = materialise(fingerprints(docs, id_col, text_col, shingle_words), "fingerprints")
-    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    of = components(links(nodes, max_bits))
-    roots = nodes.join(of.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    prints = materialise(fingerprints(docs, id_col, text_col, shingle_words), "fingerprints").select("doc_id", "fp")
+    roots = _roots(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), max_bits)
     named = roots.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = roots.select("fp", "root").join(named, "root").select("fp", "component_id")
     return (prints.join(classes, "fp")
             .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
 
 
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
+    """One document of each class, the one with the smallest id, with all its columns.
+
+    Null ids come last; among rows of one id the smallest hash of the text decides, among equal rows any stays."""
+    prints = materialise(fingerprints(docs, id_col, text_col, shingle_words), "fingerprints")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    roots = _roots(prints.groupBy("fp").agg(F.min(order).alias("least")), max_bits)
+    kept = roots.groupBy("root").agg(F.min("least").alias("least")).select(
+        F.col("least.doc_id").alias("__id"), F.col("least.text_hash").alias("__hash")).distinct()
+    own = docs.withColumn("__own", F.xxhash64(F.col(text_col)))
+    found = own.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__hash")))
+    one = Window.partitionBy("__id", "__hash").orderBy(text_col)
+    return found.withColumn("__place", F.row_number().over(one)).where("__place = 1").select(*docs.columns)
+
+
 def op5_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate class of every document."""
     return near_duplicates(table(spark, sf_dir, "documents"))
