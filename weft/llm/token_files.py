@@ -24,9 +24,11 @@ Repeated ids keep one entry for each row. An empty table has no files and no row
 from __future__ import annotations
 
 import os
+import string
 import struct
 import zlib
 from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,13 +38,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm.common import materialise, open_store, read_range, table
+from weft.llm.common import lower_ascii, materialise, open_store, read_range, table
 from weft.session import scratch_path
 
 FRAME_BYTES = 1 << 18
 LEVEL = 3
 END_ID = 2
-CACHED_CHUNKS = 400_000
+CACHED_CHUNKS = 500_000
+ENCODE_BYTES = 4 << 20  # texts that are encoded together
 
 # Fixed values of the zstandard seekable format.
 DOCS_MAGIC = 0x184D2A5D
@@ -138,31 +141,78 @@ class TokenFileReader:
         return np.flatnonzero((self.ids == doc_id) & ~self.null).tolist()
 
 
-def tokenizer_encoder(path: str) -> Callable[[list[bytes]], list[bytes]]:
+class ChunkEncoder:
     """Encodes texts with the tokenizers library; ids as little-endian u32.
 
-    For tokenizers that never join text across ASCII white space: a text is encoded by
-    its white-space-free chunks, and a bounded memory of chunks spares the repeated ones."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-    known: dict[bytes, bytes] = {}
-
-    def encode(texts: list[bytes]) -> list[bytes]:
-        split = [t.split() for t in texts]
-        new = list({w for words in split for w in words if w not in known})
-        if len(known) + len(new) > CACHED_CHUNKS:
-            known.clear()
-            new = list({w for words in split for w in words})
-        for i in range(0, len(new), 4096):
-            part = new[i:i + 4096]
-            for w, e in zip(part, tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False), strict=True):
-                known[w] = np.array(e.ids, "<u4").tobytes()
+    For tokenizers that lower-case, end each word in a token with ``</w>``, and never join
+    text across ASCII white space or between a letter and ASCII punctuation. A text is
+    encoded by its white-space-free chunks. Chunks met before come from a bounded memory; of new ones the
+    words are encoded many in a call, and their ids are told apart by the word ends."""
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.known: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _word_ids(self, words: list[str]) -> list[bytes]:
+        """Ids of words that have letters only."""
+        out: list[bytes] = []
+        groups = [words[i:i + 64] for i in range(0, len(words), 64)]
+        for group, ids in zip(groups, self._ids([" ".join(g) for g in groups]), strict=True):
+            stops = (np.flatnonzero(self.ends[np.frombuffer(ids, "<u4")]) + 1) * 4
+            if len(stops) == len(group):
+                stops = stops.tolist()
+                out.extend(ids[a:b] for a, b in zip([0, *stops], stops, strict=False))
+            else:  # a letter whose lower case is no letter alone
+                out.extend(self._ids(group))
+        return out
+
+    def _learn(self, chunks: list[bytes]) -> None:
+        """Bring chunks into memory."""
+        known, parts, words, others = self.known, [], {}, {}
+        for chunk in chunks:
+            text = chunk.decode("utf-8", "replace")
+            word = text.rstrip(string.punctuation)
+            if not word.isalpha():
+                word = ""
+            rest = text[len(word):]
+            parts.append((word, rest))
+            if word:
+                words[word] = known.get(word.encode()) if rest else None
+            if rest:
+                others[rest] = b""
+        new = [w for w, ids in words.items() if ids is None]
+        words.update(zip(new, self._word_ids(new), strict=True))
+        others.update(zip(others, self._ids(list(others)), strict=True))
+        words[""] = others[""] = b""
+        known.update((c, words[w] + others[r]) for c, (w, r) in zip(chunks, parts, strict=True))
+
+    def __call__(self, texts: list[bytes]) -> list[bytes]:
+        split = [lower_ascii(t).split() for t in texts]
+        new = set().union(*split).difference(self.known)
+        if len(self.known) + len(new) > CACHED_CHUNKS:
+            self.old, self.known = self.known, {}
+            new = set().union(*split)
+        known, old = self.known, self.old
+        known.update((w, old[w]) for w in new if w in old)
+        self._learn([w for w in new if w not in old])
         return [b"".join(map(known.__getitem__, words)) for words in split]
 
-    return encode
+
+@lru_cache(maxsize=4)
+def tokenizer_encoder(path: str) -> ChunkEncoder:
+    """One encoder for each Python worker and tokenizer, kept from task to task."""
+    return ChunkEncoder(path)
 
 
 MANIFEST_SCHEMA = "part long, path string, docs long, ids long"
@@ -185,7 +235,7 @@ def write_token_files(docs: DataFrame, folder: str, make_encoder: Callable[[], C
             column, at = batch.column("text"), 0
             while at < len(ids):
                 texts, held = [], 0
-                while at + len(texts) < len(ids) and held < FRAME_BYTES * 4:
+                while at + len(texts) < len(ids) and held < ENCODE_BYTES:
                     texts.append(column[at + len(texts)].as_py())
                     held += len(texts[-1])
                 if writer is None:
