@@ -1,4 +1,4 @@
-"""Language-model scoring by prediction by partial matching (PPM, escape method C).
+"""Language-model scoring by prediction by partial matching (PPM, escape method D).
 
 A text is scored in a canonical byte form: A-Z lower-cased, its words
 ``[^\\x20\\x09-\\x0D]+`` each followed by one space, then one end byte 0x0A
@@ -15,14 +15,15 @@ trie alone, and scoring is a lookup per gram.
 
 How it is spread over the cluster:
 
-1. documents are dealt into blocks of about ``BLOCK_BYTES`` by a hash; each block
-   emits its distinct grams and words with their training counts;
+1. a block is what one input split holds, cut by a hash to parts of about ``BLOCK_BYTES`` (rows
+   that come from no file are dealt by a hash); without moving any text each block gives its
+   distinct grams and words with their training counts;
 2. grams are summed and grouped by the two context bytes before the predicted
    byte: such a group holds every context of length two and more that can matter
    to its grams.  Lengths one and zero come from a table of at most 65,536 sums,
-   the only thing the driver collects;
+   the only counts the driver collects;
 3. the probabilities join back to the blocks that asked for them, and each block
-   scores its documents (cogroup).  A task never holds more than one block and
+   meets its documents and scores them (cogroup, the one shuffle of texts).  A task never holds more than one block and
    its distinct grams, whatever the corpus size.
 
 Nulls count as empty texts (one end token).  Repeated rows are scored each on
@@ -32,13 +33,16 @@ their own; a null id is scored and never held out.  Empty tables give no rows.
 from __future__ import annotations
 
 import math
+from collections import Counter
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from weft.llm.common import canonical_words, materialise, table
+from weft.llm.common import by_size, canonical_words, materialise, table
 
 ORDER = 5
 BLOCK_BYTES = 24 << 20
@@ -108,7 +112,7 @@ class Level:
 
 def log_probabilities(wanted: np.ndarray, keys: np.ndarray, counts: np.ndarray, low: np.ndarray,
                       order: int = ORDER) -> np.ndarray:
-    """Natural log of PPM-C probability, with exclusion, of each wanted gram.
+    """Natural log of the PPM probability (a symbol c of n times: (c - 1/2) / n; escape: distinct / 2n), with exclusion, of each wanted gram.
 
     keys, counts: training grams that share a two-byte context suffix with the
     wanted ones (or all of them). low: 256 x 256 training counts of (previous
@@ -141,9 +145,9 @@ def log_probabilities(wanted: np.ndarray, keys: np.ndarray, counts: np.ndarray,
         kinds = np.where(c_there, level.kinds[c_at], 0) - kinds_gone
         live = open_ & c_there & (kinds > 0)
         hit = live & e_there
-        out[hit] += np.log(level.counts[e_at[hit]] / (total[hit] + kinds[hit]))
+        out[hit] += np.log((level.counts[e_at[hit]] - 0.5) / total[hit])
         miss = live & ~e_there
-        out[miss] += np.log(kinds[miss] / (total[miss] + kinds[miss]))
+        out[miss] += np.log(kinds[miss] / (2 * total[miss]))
         open_ &= ~hit
         if k:
             gone = np.where(c_there, covered[k][c_at], 0)
@@ -160,6 +164,39 @@ def _tally(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys[first], np.diff(np.append(first, len(keys)))
 
 
+class Lookup:
+    """Values of 64-bit keys: an open-addressed table that is filled and read in array steps."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.bits = max(4, int(2 * len(keys)).bit_length())
+        size = 1 << self.bits
+        self.keys, self.values = np.full(size, -1), np.zeros(size)
+        left, spot = np.arange(len(keys)), self._spot(keys)
+        while len(left):
+            free = self.keys[spot[left]] == -1
+            self.keys[spot[left[free]]] = keys[left[free]]  # of several the last one stays
+            placed = self.keys[spot[left]] == keys[left]
+            self.values[spot[left[placed]]] = values[left[placed]]
+            left = left[~placed]
+            spot[left] = (spot[left] + 1) & (size - 1)
+
+    def _spot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def __call__(self, wanted: np.ndarray) -> np.ndarray:
+        """Values of keys that are all there; KeyError if one is not."""
+        spot = self._spot(wanted)
+        found = self.keys[spot]
+        left = np.flatnonzero(found != wanted)
+        while len(left):
+            if (found[left] == -1).any():
+                raise KeyError("a gram has no probability")
+            spot[left] = (spot[left] + 1) & ((1 << self.bits) - 1)
+            found[left] = self.keys[spot[left]]
+            left = left[found[left] != wanted[left]]
+        return self.values[spot]
+
+
 def _chunks(texts, size: int = CHUNK_BYTES):
     """Lists of (row number, canonical text, words), each about ``size`` bytes; a
     text larger than that is a list of its own."""
@@ -175,36 +212,62 @@ def _chunks(texts, size: int = CHUNK_BYTES):
         yield part
 
 
-COUNT_SCHEMA = "block long, gram long, word binary, n long"
-LOOKUP_SCHEMA = "block long, gram long, word binary, value double"
+COUNT_SCHEMA = "block int, gram long, word binary, n long"
+
+
+class BlockCounts:
+    """Distinct grams and words of one block, with their training counts."""
+
+    def __init__(self, order: int):
+        self.order, self.seen, self.words, self.held = order, [], Counter(), 0
+
+    def add(self, texts: list[bytes | None], train: bool) -> None:
+        for part in _chunks(texts):
+            keys, counts = _tally(text_grams([p[1] for p in part], self.order)[0])
+            self.seen.append((keys, counts * train))
+            self.held += len(keys)
+            for _, _, own in part:
+                if train:
+                    self.words.update(own)
+                else:
+                    self.words.update(dict.fromkeys(own, 0))
+        if self.held > 4_000_000:
+            self.seen = [self.grams()]
+            self.held = len(self.seen[0][0])
+
+    def grams(self) -> tuple[np.ndarray, np.ndarray]:
+        return _sums(np.concatenate([k for k, _ in self.seen]), np.concatenate([c for _, c in self.seen]))
+
+    def rows(self, block: int) -> Iterator[pa.RecordBatch]:
+        keys, counts = self.grams()
+        for at in range(0, len(keys), 1 << 16):
+            some = slice(at, at + (1 << 16))
+            n = len(keys[some])
+            yield pa.RecordBatch.from_pydict({"block": np.full(n, block, np.int32), "gram": keys[some],
+                                              "word": pa.nulls(n, pa.binary()), "n": counts[some]})
+        words = list(self.words.items())
+        for at in range(0, len(words), 1 << 16):
+            some = words[at:at + (1 << 16)]
+            yield pa.RecordBatch.from_pydict({
+                "block": np.full(len(some), block, np.int32), "gram": pa.nulls(len(some), pa.int64()),
+                "word": pa.array([w for w, _ in some], pa.binary()), "n": pa.array([c for _, c in some], pa.int64())})
 
 
 def _counter(order: int):
-    def count(rows: pa.Table) -> pa.Table:
-        block = rows.column("block")[0].as_py()
-        train = rows.column("train").to_pylist()
-        seen: list[tuple[np.ndarray, np.ndarray]] = []
-        words: dict[bytes, int] = {}
-        for part in _chunks(x.as_py() for x in rows.column("text")):
-            for flag in (True, False):
-                some = [p for p in part if train[p[0]] is flag]
-                if not some:
-                    continue
-                keys, counts = _tally(text_grams([p[1] for p in some], order)[0])
-                seen.append((keys, counts * flag))
-                for _, _, own in some:
-                    for w in own:
-                        words[w] = words.get(w, 0) + flag
-            if len(seen) > 16:
-                seen = [_sums(np.concatenate([k for k, _ in seen]), np.concatenate([c for _, c in seen]))]
-        keys, counts = _sums(np.concatenate([k for k, _ in seen]), np.concatenate([c for _, c in seen]))
-        g, w = len(keys), len(words)
-        return pa.table({
-            "block": pa.array(np.full(g + w, block, np.int64)),
-            "gram": pa.chunked_array([pa.array(keys), pa.nulls(w, pa.int64())]),
-            "word": pa.chunked_array([pa.nulls(g, pa.binary()), pa.array(list(words), pa.binary())]),
-            "n": pa.chunked_array([pa.array(counts, pa.int64()), pa.array(list(words.values()), pa.int64())]),
-        })
+    def count(found: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks: dict[int, BlockCounts] = {}
+        for batch in found:
+            for part in by_size(batch, "text", 2 * CHUNK_BYTES):
+                own = part.column("block").to_pylist()
+                held = part.column("held_out").to_pylist()
+                texts = part.column("text").to_pylist()
+                split: dict[tuple[int, bool], list] = {}
+                for block, out, text in zip(own, held, texts, strict=True):
+                    split.setdefault((block, out), []).append(text)
+                for (block, out), some in split.items():
+                    blocks.setdefault(block, BlockCounts(order)).add(some, not out)
+        for block, counts in blocks.items():
+            yield from counts.rows(block)
     return count
 
 
@@ -214,76 +277,90 @@ def _modeller(low: np.ndarray, order: int):
         n = np.asarray(rows.column("n"))
         known = n > 0
         keys, counts = _sums(every[known], n[known])
-        return pa.table({"gram": every, "value": log_probabilities(every, keys, counts, low, order) / LOG10})
+        return pa.table({"gram": every, "value": (log_probabilities(every, keys, counts, low, order) / LOG10).astype(np.float32)})
     return model
 
 
-def _scorer(order: int, end_count: int, tokens: int, scale: float):
-    """scale: N + 0.5 (V + 1) of the unigram base."""
+SCORE_COLUMNS = "held_out boolean, n_tokens long, n_known long, base_part double, score double, kinds long"
+
 
+def _scorer(order: int, end_count: int):
     def score(docs: pa.Table, lookup: pa.Table) -> pa.Table:
         value = np.asarray(lookup.column("value"))
         is_gram = np.asarray(lookup.column("gram").is_valid())
-        keys = np.asarray(lookup.column("gram").drop_null())
-        by = np.argsort(keys)
-        keys, logs = keys[by], value[is_gram][by]
-        counts = dict(zip(lookup.column("word").drop_null().to_pylist(), value[~is_gram].tolist(), strict=True))
-        base_of = {c: math.log10((c + 0.5) / scale) for c in {*counts.values(), end_count}}
+        logs = Lookup(np.asarray(lookup.column("gram").drop_null()), value[is_gram])
+        count_of = dict(zip(lookup.column("word").drop_null().to_pylist(), value[~is_gram].tolist(), strict=True)).__getitem__
         n = len(docs)
         out = {"n_tokens": np.zeros(n, np.int64), "n_known": np.zeros(n, np.int64),
-               "base_score": np.zeros(n), "score": np.zeros(n)}
+               "base_part": np.zeros(n), "score": np.zeros(n)}
         for part in _chunks(x.as_py() for x in docs.column("text")):
             rows = np.array([p[0] for p in part])
             own, sizes = text_grams([p[1] for p in part], order)
-            out["score"][rows] = np.add.reduceat(logs[np.searchsorted(keys, own)], np.cumsum(sizes) - sizes)
-            for row, _, words in part:
-                seen = [counts[w] for w in words]
-                out["n_tokens"][row] = len(words) + 1
-                out["n_known"][row] = len(words) - seen.count(0) + (end_count > 0)
-                out["base_score"][row] = sum(map(base_of.__getitem__, seen)) + base_of[end_count]
-        return pa.table({
-            "doc_id": docs.column("doc_id"), "held_out": docs.column("held_out"),
-            "n_tokens": out["n_tokens"], "n_known": out["n_known"],
-            "train_tokens": pa.array(np.full(n, tokens, np.int64)),
-            "base_score": out["base_score"], "score": out["score"]})
+            out["score"][rows] = np.add.reduceat(logs(own).astype(np.float64), np.cumsum(sizes) - sizes)
+            sizes = np.array([len(p[2]) + 1 for p in part])
+            first = np.cumsum(sizes) - sizes
+            counts = np.full(sizes.sum(), float(end_count))
+            inside = np.ones(len(counts), bool)
+            inside[first] = False  # the end token's place; the order does not matter
+            counts[inside] = np.fromiter(chain.from_iterable(map(count_of, p[2]) for p in part), np.float64, int(inside.sum()))
+            out["n_tokens"][rows] = sizes
+            out["n_known"][rows] = np.add.reduceat((counts > 0).astype(np.int64), first)
+            out["base_part"][rows] = np.add.reduceat(np.log10(counts + 0.5), first)
+        kinds = np.zeros(n, np.int64)
+        if n:  # words that this block tells of, on one of its rows
+            kinds[0] = np.asarray(lookup.column("first").cast(pa.int64()).fill_null(0)).sum()
+        return pa.table({"doc_id": docs.column("doc_id"), "held_out": docs.column("held_out"), **out, "kinds": kinds})
     return score
 
 
+def _blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
+    """Adds block: of an input split, or of a hash where the rows come from no file."""
+    spread = F.xxhash64("doc_id", "text")
+    # compressed text takes about a third of its bytes
+    parts = F.ceil(F.input_file_block_length() * 3 / F.lit(block_bytes)).cast("long")
+    split = docs.withColumn("__file", F.input_file_name()).withColumn("__start", F.input_file_block_start()).withColumn("__parts", parts)
+    size = F.lit(1)
+    if not docs.inputFiles():
+        size = F.lit(max(1, math.ceil((docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) / block_bytes)))
+    block = F.when(F.col("__file") != "", F.hash("__file", "__start", F.pmod(spread, F.greatest("__parts", F.lit(1))))).otherwise(F.pmod(spread, size).cast("int"))
+    return split.withColumn("block", block).drop("__file", "__start", "__parts")
+
+
 def score_texts(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "text",
                 order: int = ORDER, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Score every text with a model learned from the rows where ``held_out`` is not true.
 
     Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score (unigram)
     and score (PPM), both log10 probabilities."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("text"),
-                       F.coalesce(held_out, F.lit(False)).alias("held_out"))
-    spark = docs.sparkSession
-    size, n_train = rows.agg(F.sum(F.octet_length("text")), F.sum((~F.col("held_out")).cast("long"))).first()
-    n_blocks = max(1, math.ceil((size or 0) / block_bytes))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks))) \
-               .withColumn("train", ~F.col("held_out"))
-    counted = materialise(rows.groupBy("block").applyInArrow(_counter(order), COUNT_SCHEMA), "ppm-counts")
-    grams_ = counted.where("gram is not null")
-    words = counted.where("word is not null")
+    rows = _blocks(docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("text"),
+                               F.coalesce(held_out, F.lit(False)).alias("held_out")), block_bytes)
+    n_train = rows.where("not held_out").count()
+    counted = materialise(rows.select("block", "held_out", "text").mapInArrow(_counter(order), COUNT_SCHEMA), "ppm-counts")
+    # one exchange: the sums and the blocks' own rows read the same columns of it
+    asked = counted.where("gram is not null").select("block", "gram", "n").repartition("gram")
+    words = counted.where("word is not null").select("block", "word", "n")
 
     low = np.zeros((256, 256), np.int64)
-    for pair, n in grams_.groupBy(F.col("gram").bitwiseAND(0xFFFF).alias("pair")).agg(F.sum("n")).collect():
+    for pair, n in (counted.where("gram is not null").groupBy(F.col("gram").bitwiseAND(0xFFFF).alias("pair")).agg(F.sum("n")).collect()):
         low[pair >> 8, pair & 255] = n  # 65,536 sums at most
-    model = (grams_.groupBy("gram").agg(F.sum("n").alias("n"))
-             .groupBy(F.shiftright("gram", 8).bitwiseAND(0xFFFF))
-             .applyInArrow(_modeller(low, order), "gram long, value double"))
-    word_counts = words.groupBy("word").agg(F.sum("n").cast("double").alias("value"))
-    n_train = n_train or 0
-    n_words, kinds = word_counts.agg(F.sum("value"), F.sum((F.col("value") > 0).cast("long"))).first()
-    tokens = int(n_words or 0) + n_train
-    scale = tokens + 0.5 * ((kinds or 0) + (n_train > 0) + 1)
-    lookup = (grams_.select("block", "gram").join(model, "gram").select("block", "gram", F.lit(None).cast("binary").alias("word"), "value")
-              .unionByName(words.select("block", "word").join(word_counts, "word")
-                           .select("block", F.lit(None).cast("long").alias("gram"), "word", "value")))
-    return (rows.groupBy("block").cogroup(lookup.groupBy("block"))
-            .applyInArrow(_scorer(order, n_train, tokens, scale),
-                          f"doc_id {docs.schema[id_col].dataType.simpleString()}, held_out boolean, n_tokens long, "
-                          "n_known long, train_tokens long, base_score double, score double"))
+    model = (asked.groupBy("gram").agg(F.sum("n").alias("n"), F.max("block").alias("block")).where("block is not null")
+             .select("gram", "n").groupBy(F.shiftright("gram", 8).bitwiseAND(0xFFFF))
+             .applyInArrow(_modeller(low, order), "gram long, value float"))
+    found = asked.where("n >= 0").join(model, "gram")
+    word = Window.partitionBy("word")
+    total = (words.withColumn("value", F.sum("n").over(word)).withColumn("place", F.row_number().over(word.orderBy("block")))
+             .select("block", F.lit(None).cast("long").alias("gram"), "word", F.col("value").cast("double").alias("value"),
+                     ((F.col("place") == 1) & (F.col("value") > 0)).alias("first")))
+    lookup = found.select("block", "gram", F.lit(None).cast("binary").alias("word"), F.col("value").cast("double").alias("value"),
+                          F.lit(None).cast("boolean").alias("first")).unionByName(total)
+    id_type = docs.schema[id_col].dataType.simpleString()
+    scored = materialise(rows.groupBy("block").cogroup(lookup.groupBy("block"))
+                         .applyInArrow(_scorer(order, n_train), f"doc_id {id_type}, {SCORE_COLUMNS}"), "ppm-scores")
+    tokens, kinds = words.agg(F.sum("n")).first()[0], scored.agg(F.sum("kinds")).first()[0]
+    tokens = (tokens or 0) + n_train
+    scale = tokens + 0.5 * ((kinds or 0) + (n_train > 0) + 1)  # N + 0.5 (V + 1)
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"),
+                         (F.col("base_part") - F.col("n_tokens") * F.lit(math.log10(scale))).alias("base_score"), "score")
 
 
 def op2_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -183,7 +183,7 @@ class ChunkEncoder:
         for chunk in chunks:
             text = chunk.decode("utf-8", "replace")
             word = text.rstrip(string.punctuation)
-            if not word.isalpha():
+            if not word.lower().isalpha():  # nor where a letter's lower case is no letter alone
                 word = ""
             rest = text[len(word):]
             parts.append((word, rest))
