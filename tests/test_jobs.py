@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import write_lines
 from test_formats import GOOD
-from weft.operators.labels import DOMAIN_LABELS, attach_unique_label, broadcast_if_small, literal_dimension
+from weft.operators.labels import DOMAIN_LABELS, attach_unique_label, literal_dimension
 from weft.plans import flights
-from weft.plans.session_cut import label_domains
+from weft.plans.visits import label_domains
+from weft.sources.formats import parse_flights
 
 
 def _line(origin, dest, month, canceled):
@@ -41,21 +43,24 @@ def test_domain_labels_from_a_table(spark):
     dup = dim.unionByName(spark.createDataFrame([("jd.com", "level9")], "domain string, domain_label string"))
     one = attach_unique_label(spark.createDataFrame([("jd.com",)], "domain string"), dup, "domain", "domain_label")
     assert [r.domain_label for r in one.collect()] == ["level9"]
-    assert broadcast_if_small(dim, 10) is not dim and broadcast_if_small(dim, 2) is dim
 
 
 def test_command_line_devices_and_flights(spark, tmp_path, capsys):
     from conftest import DEVICE_LINES
     from weft.__main__ import main
     dev = write_lines(tmp_path / "device_info.txt", DEVICE_LINES)
-    main(["devices", dev])
+    out_dir = str(tmp_path / "reports")
+    main(["devices", dev, "--out", out_dir])
     out = capsys.readouterr().out
-    assert "co2_ratio" in out and "76.22" in out
-    fl = write_lines(tmp_path / "f.csv", [_line("ANC", "SEA", 1, 0), _line("OGG", "ANC", 2, 1)])
-    main(["flights", fl, "--routes-out", str(tmp_path / "routes")])
+    assert "co2_ratio" in out and "68.75" in out
+    assert spark.read.parquet(f"{out_dir}/co2_ratio").count() == 3 and spark.read.parquet(f"{out_dir}/json").count() == 4
+    many = [_line(f"O{i:04d}", "SEA", 1 + i % 12, i % 2) for i in range(1500)]
+    fl = write_lines(tmp_path / "f.csv", many)
+    main(["flights", fl, "--routes-out", str(tmp_path / "routes"), "--out", out_dir])
     out = capsys.readouterr().out
-    assert "route_counts" in out and "ANC" in out
-    assert spark.read.csv(str(tmp_path / "routes")).count() == 2
+    assert "route_counts" in out
+    assert spark.read.csv(str(tmp_path / "routes")).count() == 1500
+    assert spark.read.parquet(f"{out_dir}/route_counts").count() == 1500  # every row, not the preview
 
 
 def test_salted_left_join_equals_plain_left_join(spark):
@@ -64,5 +69,58 @@ def test_salted_left_join_equals_plain_left_join(spark):
     labels = spark.createDataFrame([(1, f"a{j % 3}") for j in range(40)] + [(2, "b"), (2, "b"), (5, "z")],
                                    "k long, lab string")
     plain = sorted(tuple(r) for r in attach_label(left, labels, "k", "lab").collect())
-    salted = sorted(tuple(r) for r in salted_left_join(left, labels, "k", "lab", hot_rows=5, salts=7).collect())
-    assert salted == plain and len(plain) == 2 * 40 + 2 + 1 + 3
+    for rows_per_salt in (1, 5, 1000):
+        salted = sorted(tuple(r) for r in salted_left_join(left, labels, "k", "lab", rows_per_salt=rows_per_salt).collect())
+        assert salted == plain and len(plain) == 2 * 40 + 2 + 1 + 3
+    none = labels.filter("false")
+    assert salted_left_join(left, none, "k", "lab").count() == 7
+    nulls = labels.union(spark.createDataFrame([(None, "n")], "k long, lab string"))
+    assert sorted(tuple(r) for r in salted_left_join(left, nulls, "k", "lab", rows_per_salt=3).collect()) == plain
+
+
+def test_reports_are_sorted(spark):
+    import random
+
+    from weft.operators import stats
+    from weft.plans import devices
+    rnd = random.Random(5)
+    fl = parse_flights(spark.createDataFrame([(_line(rnd.choice("ABCDEFGH") * 3, rnd.choice("XYZ") * 3, rnd.randint(1, 12), rnd.randint(0, 1)),)
+                                                      for _ in range(600)], "value string").repartition(7)).rows
+    months = [r[0] for r in stats.cancelled_by_month(fl).collect()]
+    assert months == sorted(months) and len(months) == 12                                   # G2
+    cube = [r.avg_distance for r in flights.route_cube(fl).collect()]
+    assert cube == sorted(cube, reverse=True) and len(cube) == 8 * 3 + 8 + 3 + 1            # G6
+    dev = spark.createDataFrame([(i, f'{{"device_id": {i}, "cca3": "USA", "temp": {rnd.randint(11, 30)}, "signal": {rnd.randint(16, 25)}, '
+                                     f'"c02_level": {rnd.randint(800, 1500)}}}') for i in range(300)], "id long, device string").repartition(7)
+    order = [(r.signal, r.temp) for r in devices.country_devices(dev).collect()]
+    assert order == sorted(order, reverse=True) and len(order) == 300                       # G4
+    ratios = [r.ratio_c02_temperature for r in devices.co2_ratio(dev).collect()]
+    assert ratios == sorted(ratios, reverse=True) and len(ratios) == 300                    # G5
+    big = spark.createDataFrame([(3_000_000_000, "x"), (7, "y")], "id long, device string")
+    assert [r.id for r in devices.cast_columns(big).collect()] == [None, 7]
+
+
+def test_settings_of_the_platform_are_kept(spark):
+    from types import SimpleNamespace
+
+    from pyspark import SparkConf
+    from weft import session
+    conf = SparkConf(loadDefaults=False).set("spark.sql.session.timeZone", "Asia/Shanghai").set("spark.sql.adaptive.skewJoin.enabled", "false")
+    missing = session.missing_defaults(conf)
+    assert "spark.sql.session.timeZone" not in missing and "spark.sql.adaptive.skewJoin.enabled" not in missing
+    assert "spark.ui.enabled" in missing
+    assert session.launch_defaults("yarn", "") == {}
+    assert "spark.driver.memory" not in session.launch_defaults("local[2]", "--driver-memory 3g pyspark-shell")
+    assert session.launch_defaults(None, "--conf spark.driver.extraJavaOptions=-Xss4m pyspark-shell") == {"spark.driver.memory": "8g"}
+    # no shared folder named on a cluster: an error, not a local folder
+    sc = SimpleNamespace(master="yarn", getCheckpointDir=lambda: None, getConf=lambda: SparkConf(loadDefaults=False))
+    cluster = SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda *a: None))
+    with pytest.raises(RuntimeError):
+        session.checkpoint_dir(cluster)
+    path = session.scratch_path(spark, "some")
+    spark.range(3).write.parquet(path)
+    kept, session._SCRATCH[:] = [p for p in session._SCRATCH if p != path], [path]
+    assert session.drop_scratch(spark) == 1
+    session._SCRATCH[:] = kept
+    with pytest.raises(Exception):
+        spark.read.parquet(path).count()

@@ -13,25 +13,23 @@ from pyspark.sql import functions as F
 from conftest import COOKIE_LABELS, VISIT_LOG, write_lines
 from weft import schemas
 from weft.operators.sessions import SessionSpec, cut_sessions, gap_micros
-from weft.plans.session_cut import build_sessions, clean_log, session_cut_etl
+from weft.plans.visits import build_sessions, clean_log, run_visit_job
 from weft.sinks.writers import read_text_records
 from weft.sources.formats import parse_cookie_labels
 
+# Derived from the rules by hand.
 GOLDEN_GAP = {
-    ("2017-09-04 12:00:01", "cookie2", "有偏见", "127.0.0.4", "https://www.baidu.com", 3, 1,
-     "www.baidu.com", "level1"),
-    ("2017-09-04 12:00:00", "cookie1", "固执", "127.0.0.3", "https://www.baidu.com", 1, 2,
-     "www.baidu.com", "level1"),
-    ("2017-09-04 12:45:01", "cookie1", "固执", "127.0.0.3", "https://tieba.baidu.com/index.html", 1, 2,
-     "tieba.baidu.com", "-"),
+    ("2024-03-05 08:05:00", "v-bob", "night owl", "10.1.0.8", "http://www.ali.com/deals", 3, 1, "www.ali.com", "level2"),
+    ("2024-03-05 08:00:00", "v-ann", "regular", "10.1.0.7", "https://jd.com/a", 1, 2, "jd.com", "level3"),
+    ("2024-03-05 09:30:00", "v-ann", "regular", "10.1.0.9", "https://shop.example.org/x", 1, 2, "shop.example.org", "-"),
 }
 
 GOLDEN_PAGEVIEW = {
-    ("cookie1", "2017-09-04 12:00:00", "https://www.baidu.com", 1, 2),
-    ("cookie1", "2017-09-04 12:45:01", "https://tieba.baidu.com/index.html", 1, 2),
-    ("cookie2", "2017-09-04 12:00:01", "https://www.baidu.com", 1, 0),
-    ("cookie2", "2017-09-04 12:00:02", "http://news.baidu.com", 1, 1),
-    ("cookie2", "2017-09-04 12:00:04", "http://music.baidu.com/?fr=tieba", 1, 0),
+    ("v-ann", "2024-03-05 08:00:00", "https://jd.com/a", 1, 2),
+    ("v-ann", "2024-03-05 09:30:00", "https://shop.example.org/x", 1, 2),
+    ("v-bob", "2024-03-05 08:05:00", "http://www.ali.com/deals", 1, 0),
+    ("v-bob", "2024-03-05 08:06:00", "https://blog.example.net/p1", 1, 1),
+    ("v-bob", "2024-03-05 08:07:00", "https://youku.com/v", 1, 0),
 }
 
 COLS = ["session_server_time", "cookie", "cookie_label", "ip", "landing_url", "pageview_count",
@@ -48,7 +46,7 @@ def test_golden_gap_sessions_end_to_end(spark, tmp_path):
     log = write_lines(tmp_path / "visit_log.txt", VISIT_LOG)
     lab = write_lines(tmp_path / "cookie_label.txt", COOKIE_LABELS)
     out = str(tmp_path / "out")
-    counts = session_cut_etl(spark, log, lab, out, sink="Text")
+    counts = run_visit_job(spark, log, lab, out, sink="Text")
     assert counts["log_rows"] == 10 and counts["session_count"] == 3 and counts["reject_count"] == 0
     sessions = read_text_records(spark, f"{out}/trackerSession", schemas.TRACKER_SESSION)
     got = {tuple(r[c] for c in COLS) for r in sessions.collect()}
@@ -57,7 +55,7 @@ def test_golden_gap_sessions_end_to_end(spark, tmp_path):
     logs = read_text_records(spark, f"{out}/trackerLog", schemas.TRACKER_LOG)
     assert logs.count() == 10
     assert {r.log_type for r in logs.collect()} == {"pageview", "click"}
-    # Text lines look like the reference's: (null,{...json...})
+    # text lines are (null,{...json...})
     first = spark.read.text(f"{out}/trackerSession").first().value
     assert first.startswith("(null,{") and first.endswith("})")
 
@@ -66,7 +64,7 @@ def test_golden_parquet_sink(spark, tmp_path):
     log = write_lines(tmp_path / "visit_log.txt", VISIT_LOG)
     lab = write_lines(tmp_path / "cookie_label.txt", COOKIE_LABELS)
     out = str(tmp_path / "out")
-    session_cut_etl(spark, log, lab, out, sink="parquet")
+    run_visit_job(spark, log, lab, out, sink="parquet")
     got = {tuple(r[c] for c in COLS) for r in spark.read.parquet(f"{out}/trackerSession").collect()}
     assert got == GOLDEN_GAP
     assert spark.read.parquet(f"{out}/trackerLog").count() == 10
@@ -154,6 +152,8 @@ def test_malformed_lines_become_rejects(spark):
     assert p.rows.count() == 2
     assert sorted(r.reason for r in p.rejects.collect()) == ["bad_time", "short_line", "short_line",
                                                              "short_line"]
+    late = clean_log(spark.createDataFrame([("click|2017-13-45 99:00:00|u|ip|http://a.com/|extra|more",)], "value string"))
+    assert [r.value for r in late.rejects.collect()] == ["click|2017-13-45 99:00:00|u|ip|http://a.com/|extra|more"]
     with pytest.raises(ValueError):
         p.rows_or_fail()
 
@@ -247,11 +247,8 @@ def test_random_events_match_sequential_cut(spark, many_slices, seed, n, hot):
 def test_pageview_plan_has_no_per_visitor_exchange(spark):
     """The raw rows are never hash-partitioned by the visitor alone."""
     df = spark.createDataFrame(_events(3, 50, 0.5), "u long, t timestamp_ntz, o long, k string, ip string, url string")
-    s = cut_sessions(df, SessionSpec("u", "t", "o", "k"), strategy="pageview", checkpoint=False)
-    plan = s._jdf.queryExecution().executedPlan().toString()
-    assert "rangepartitioning(_u" in plan
-    # by default the per-slice partials are checkpointed once and both
-    # branches read them back instead of recomputing the scan and shuffles
+    # the per-slice partials are checkpointed once and both branches read
+    # them back instead of recomputing the scan and shuffles
     c = cut_sessions(df, SessionSpec("u", "t", "o", "k"), strategy="pageview")
     cplan = c._jdf.queryExecution().executedPlan().toString()
     assert "rangepartitioning" not in cplan and "Scan ExistingRDD" in cplan
@@ -300,12 +297,59 @@ def test_one_event_visitor(spark, strategy):
 
 
 def test_job_pageview_strategy_with_bad_label_line(spark, tmp_path):
-    log = write_lines(tmp_path / "visit_log.txt", VISIT_LOG + ["pageview|2017-09-04 12:00:00|cookie9|ip"])
+    log = write_lines(tmp_path / "visit_log.txt", VISIT_LOG + ["pageview|2024-03-05 08:00:00|v-dan|ip"])
     lab = write_lines(tmp_path / "cookie_label.txt", COOKIE_LABELS + ["nolabel"])
     out = str(tmp_path / "out")
-    counts = session_cut_etl(spark, log, lab, out, sink="parquet", strategy="pageview")
+    counts = run_visit_job(spark, log, lab, out, sink="parquet", strategy="pageview")
     assert counts == {"log_rows": 10, "session_count": 5, "reject_count": 2}
     got = {(r.cookie, r.session_server_time, r.landing_url, r.pageview_count, r.click_count)
            for r in spark.read.parquet(f"{out}/trackerSession").collect()}
     assert got == GOLDEN_PAGEVIEW
     assert sorted(r.reason for r in spark.read.parquet(f"{out}/rejects").collect()) == ["short_line", "short_line"]
+
+
+def test_hot_visitor_with_many_rows_over_many_slices(spark):
+    """Far more rows than range sampling looks at; one visitor has most of them."""
+    n = 300_000
+    ev = (spark.range(n).select(
+        F.when(F.col("id") % 5 == 0, F.col("id") % 3 + 1).otherwise(F.lit(0)).alias("u"),
+        F.timestamp_add("SECOND", F.col("id"), F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")).alias("t"),
+        F.col("id").alias("o"), F.when(F.col("id") % 5000 == 1, F.lit("pageview")).otherwise(F.lit("click")).alias("k")))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = sorted((r.u, r.first_order, r.pageview_count, r.click_count) for r in
+                     cut_sessions(ev, SessionSpec("u", "t", "o", "k"), strategy="pageview").collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    want, open_ = [], {}
+    for i in range(n):
+        u = i % 3 + 1 if i % 5 == 0 else 0
+        if i % 5000 == 1 or u not in open_:
+            open_[u] = [u, i, 0, 0]
+            want.append(open_[u])
+        open_[u][2 if i % 5000 == 1 else 3] += 1
+    assert got == sorted(map(tuple, want))
+
+
+def test_rows_without_visitor_or_time_are_reported(spark):
+    from weft.operators.sessions import unusable_rows
+    t = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([("a", t, 1, "click"), (None, t, 2, "click"), ("a", None, 3, "pageview"), (None, None, 4, "other")],
+                               "u string, t timestamp_ntz, o long, k string")
+    spec = SessionSpec("u", "t", "o", "k")
+    assert sorted((r.o, r.reason) for r in unusable_rows(df, spec).collect()) == [(2, "null_visitor"), (3, "null_time")]
+    assert cut_sessions(df, spec).count() == 1
+
+
+def test_counts_without_an_order_column_equal_the_full_cut(spark):
+    df = spark.createDataFrame(_events(11, 400, 0.6), "u long, t timestamp_ntz, o long, k string, ip string, url string")
+    cols = ["u", "session_start", "pageview_count", "click_count"]
+    lean = cut_sessions(df, SessionSpec("u", "t", None, "k"))
+    full = cut_sessions(df, SessionSpec("u", "t", "o", "k"))
+    assert sorted(tuple(r) for r in lean.select(*cols).collect()) == sorted(tuple(r) for r in full.select(*cols).collect())
+    assert "SortAggregate" not in lean._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(ValueError):
+        cut_sessions(df, SessionSpec("u", "t", None, "k", first=("ip",)))

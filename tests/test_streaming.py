@@ -36,3 +36,35 @@ def test_streaming_equals_batch_and_append_waits_for_watermark(spark, tmp_path):
     assert file_stream.isStreaming
     emitted = spark.read.parquet(out2).count() if (tmp_path / "out2").exists() else 0
     assert emitted < len(batch)
+
+
+def test_registered_stream_reads_a_table_of_part_files(spark, tmp_path):
+    import shutil
+
+    from weft.plans import catalog
+    small = "/root/testdata/sf0.001"
+    shutil.copytree(small, tmp_path / "sf", ignore=lambda d, names: [n for n in names if n != "customer.parquet"])
+    spark.read.parquet(f"{small}/events.parquet").repartition(3).write.parquet(str(tmp_path / "sf" / "events.parquet"))
+    cols = catalog.streaming_gap_sessions(spark, small).columns
+    one = sorted(tuple(r) for r in catalog.streaming_gap_sessions(spark, small).collect())
+    parts = sorted(tuple(r) for r in catalog.streaming_gap_sessions(spark, str(tmp_path / "sf")).select(*cols).collect())
+    assert one == parts and one
+
+
+def test_times_do_not_depend_on_the_session_time_zone(spark, tmp_path):
+    df = spark.createDataFrame([(1, dt.datetime(2024, 3, 31, 2, 30), 1, "click"), (1, None, 2, "click"), (None, dt.datetime(2024, 3, 31), 3, "click")],
+                               "u long, t timestamp_ntz, o long, k string")
+    src = str(tmp_path / "src")
+    df.coalesce(1).write.parquet(src)
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")  # this local time does not exist there
+    try:
+        before = {k: spark.conf.get(k, None) for k in streaming.STREAM_SETTINGS}
+        q = streaming.write_parquet(streaming.gap_sessions(streaming.file_stream(spark, src, df.schema), SessionSpec("u", "t", "o", "k")),
+                                    str(tmp_path / "out"), str(tmp_path / "ck"), mode="complete", available_now=True)
+        q.awaitTermination()
+        (r,) = spark.read.parquet(str(tmp_path / "out")).collect()
+        assert r.session_start == dt.datetime(2024, 3, 31, 2, 30) and r.session_end == dt.datetime(2024, 3, 31, 3, 0)
+        assert before == {k: spark.conf.get(k, None) for k in streaming.STREAM_SETTINGS}
+        assert streaming.late_rows(q) == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

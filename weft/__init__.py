@@ -4,7 +4,7 @@ aggregates.
 
 Common entry points::
 
-    from weft import get_spark, cut_sessions, SessionSpec, session_cut_etl
+    from weft import get_spark, cut_sessions, SessionSpec, run_visit_job
 """
 
 __version__ = "0.1.0"
@@ -12,5 +12,5 @@ __version__ = "0.1.0"
 from weft.operators.sessions import SessionSpec, cut_sessions, with_session_id  # noqa: E402,F401
 from weft.plans.devices import datacenter_analysis, device_analysis  # noqa: E402,F401
 from weft.plans.flights import flight_analysis  # noqa: E402,F401
-from weft.plans.session_cut import build_sessions, clean_log, session_cut_etl  # noqa: E402,F401
+from weft.plans.visits import build_sessions, clean_log, run_visit_job  # noqa: E402,F401
 from weft.session import checkpoint_dir, get_spark  # noqa: E402,F401

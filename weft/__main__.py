@@ -1,13 +1,14 @@
 """Command line for the three jobs: ``python -m weft …`` (or ``spark-submit``
 with the package shipped through ``--py-files``).
 
-    python -m weft sessions [text|parquet] [--strategy gap|pageview]
-    python -m weft flights FLIGHTS_CSV [--routes-out DIR]
-    python -m weft devices DEVICE_TXT [--datacenters JSON [--multiline]]
+    python -m weft visits [text|parquet|csv] [--strategy gap|pageview]
+    python -m weft flights FLIGHTS_CSV --out DIR [--sink parquet] [--routes-out DIR]
+    python -m weft devices DEVICE_TXT --out DIR [--sink parquet] [--datacenters JSON [--multiline]]
 
-Session-cut paths come from ``spark.sessioncut.visitLogsInputPath``,
-``spark.sessioncut.cookieLabelInputPath`` and ``spark.sessioncut.baseOutputPath``
-(``--conf`` on ``spark-submit``), with the reference's relative defaults.
+The paths of ``visits`` come from ``spark.weft.visits.logPath``,
+``spark.weft.visits.labelPath`` and ``spark.weft.visits.outputPath``
+(``--conf`` on ``spark-submit``). The reports of the other jobs are written
+whole, each to a folder of its name under ``--out``; the console shows a preview.
 """
 
 from __future__ import annotations
@@ -15,13 +16,23 @@ from __future__ import annotations
 import argparse
 import json
 
-from weft.session import get_spark
+from weft.session import get_spark, scratch_path
+
+
+def _write_reports(reports: dict, out: str, sink: str) -> None:
+    from weft.sinks.writers import preview, select_sink
+
+    write = select_sink(sink)
+    for name, df in reports.items():
+        write(df, f"{out.rstrip('/')}/{name}")
+        print(name)
+        preview(df, 20, False)
 
 
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="weft")
     sub = ap.add_subparsers(dest="job", required=True)
-    s = sub.add_parser("sessions")
+    s = sub.add_parser("visits")
     s.add_argument("sink", nargs="?", default="text")
     s.add_argument("--strategy", default="gap")
     s.add_argument("--gap", default="30 minutes")
@@ -32,31 +43,25 @@ def main(argv: list[str] | None = None) -> None:
     d.add_argument("devices")
     d.add_argument("--datacenters")
     d.add_argument("--multiline", action="store_true")
+    for p in (f, d):
+        p.add_argument("--out", required=True)
+        p.add_argument("--sink", default="parquet")
     a = ap.parse_args(argv)
 
     spark = get_spark()
-    if a.job == "sessions":
-        from weft.plans.session_cut import session_cut_etl
-        print(json.dumps(session_cut_etl(spark, sink=a.sink, strategy=a.strategy, gap=a.gap)))
+    if a.job == "visits":
+        from weft.plans.visits import run_visit_job
+        print(json.dumps(run_visit_job(spark, sink=a.sink, strategy=a.strategy, gap=a.gap)))
     elif a.job == "flights":
         from weft.plans.flights import flight_analysis, load_flights
-        from weft.sinks.writers import preview
-        parsed = load_flights(spark, a.flights).persist()   # one pass over the input
-        try:
-            for name, df in flight_analysis(spark, routes_out=a.routes_out, parsed=parsed).items():
-                print(name)
-                preview(df, 1000)
-        finally:
-            parsed.unpersist()
+        parsed = load_flights(spark, a.flights).written(scratch_path(spark, "flights"))  # one pass over the input
+        _write_reports(flight_analysis(spark, routes_out=a.routes_out, parsed=parsed), a.out, a.sink)
     else:
         from weft.plans.devices import datacenter_analysis, device_analysis
-        from weft.sinks.writers import preview
         outs = device_analysis(spark, a.devices)
         if a.datacenters:
             outs.update(datacenter_analysis(spark, a.datacenters, a.multiline))
-        for name, df in outs.items():
-            print(name)
-            preview(df, 20, False)
+        _write_reports(outs, a.out, a.sink)
 
 
 if __name__ == "__main__":

@@ -138,7 +138,3 @@ def exact_round_ratio(num: str | Column, den: str | Column, scale: int = 2,
     d = col(den)
     q = F.try_divide(n, F.nullif(d, F.lit(0)))
     return F.round(q, scale).cast("double")
-
-
-def missing_if_null(c: str | Column, missing: str = MISSING_STRING) -> Column:
-    return F.coalesce(col(c), F.lit(missing))

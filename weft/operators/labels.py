@@ -1,12 +1,9 @@
 """Label lookups: literal dimensions, left joins with a default, fan-out.
 
-Broadcasting is decided on a checked size only. A literal dimension is a map
-literal (bounded by construction, no join at all). A table-backed label side
-is left to Spark by default: it broadcasts only when the file statistics or,
-under AQE, the measured shuffle size is below the broadcast threshold, and
-otherwise keeps the shuffle join (with AQE skew splitting). Callers that want
-an explicit bound pass ``max_broadcast_rows``: the side is then broadcast only
-after ``limit(max_rows + 1).count()`` shows at most that many rows.
+A literal dimension is a map literal (bounded by construction, no join at
+all). A table-backed label side is left to Spark: it broadcasts only when the
+file statistics or, under AQE, the measured shuffle size is below the
+broadcast threshold, and otherwise keeps the shuffle join.
 """
 
 from __future__ import annotations
@@ -26,20 +23,6 @@ DOMAIN_LABELS = {
     "youku.com": "level4",
 }
 
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows+1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only behind a row-count bound; else leave the join to
-    the planner (shuffle join, AQE may convert at runtime)."""
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
-
-
 def literal_dimension(spark: SparkSession, mapping: Mapping[str, str],
                       key: str = "domain", value: str = "domain_label") -> DataFrame:
     """A key -> label dimension from a literal mapping (keys unique)."""
@@ -63,14 +46,11 @@ def map_lookup(c: str | Column, mapping: Mapping[str, str],
 
 
 def attach_label(df: DataFrame, labels: DataFrame, key: str, label: str,
-                 label_key: str | None = None, default: str = MISSING_STRING,
-                 max_broadcast_rows: int | None = None) -> DataFrame:
+                 label_key: str | None = None, default: str = MISSING_STRING) -> DataFrame:
     """Left outer join of ``df`` to ``labels`` on ``key``; unmatched rows get
     ``default``. Duplicate label keys fan out (one output row per match)."""
     lk = label_key or key
     right = labels.select(F.col(lk).alias("__lk"), F.col(label).alias("__lv"))
-    if max_broadcast_rows:
-        right = broadcast_if_small(right, max_broadcast_rows)
     out = df.drop(label) if label in df.columns else df
     joined = out.join(right, out[key] == right["__lk"], "left")
     return (joined.withColumn(label, F.coalesce(F.col("__lv"), F.lit(default)))
@@ -78,44 +58,44 @@ def attach_label(df: DataFrame, labels: DataFrame, key: str, label: str,
 
 
 def attach_unique_label(df: DataFrame, labels: DataFrame, key: str, label: str,
-                        label_key: str | None = None, default: str = MISSING_STRING,
-                        max_broadcast_rows: int | None = None) -> DataFrame:
+                        label_key: str | None = None, default: str = MISSING_STRING) -> DataFrame:
     """Like ``attach_label`` but with map semantics: one label per key
     (the greatest one when a key repeats), so no fan-out."""
     lk = label_key or key
     uniq = labels.groupBy(F.col(lk).alias(lk)).agg(F.max(label).alias(label))
-    return attach_label(df, uniq, key, label, lk, default, max_broadcast_rows)
+    return attach_label(df, uniq, key, label, lk, default)
+
+
+ROWS_PER_SALT = 100_000
 
 
 def salted_left_join(df: DataFrame, labels: DataFrame, key: str, label: str,
                      label_key: str | None = None, default: str = MISSING_STRING,
-                     hot_rows: int = 1_000_000, salts: int = 64) -> DataFrame:
+                     rows_per_salt: int = ROWS_PER_SALT,
+                     row_key: tuple[str, ...] | None = None) -> DataFrame:
     """Left join with fan-out whose label side may hold a hot key.
 
     AQE can split the left side of a left join, not the right, so one label
-    key with millions of rows would put its whole fan-out in one task. Keys
-    with more than ``hot_rows`` label rows are found with one aggregate (at
-    most ``rows / hot_rows`` of them: a proven bound, so they are broadcast);
-    their label rows get a deterministic salt ``0..salts-1`` and their left
-    rows are repeated once per salt. A hot key always has matches, so copies
-    that meet an empty salt bucket are dropped. Same rows as the plain left
-    join, with the hot fan-out spread over ``salts`` tasks.
+    key with millions of rows would put its whole fan-out in one task. Here
+    every key has as many salts as its label rows need, one for each
+    ``rows_per_salt``: a label row takes the salt that a hash of its
+    ``row_key`` columns (default: all) names, the same in every attempt of a task,
+    and a left row is repeated once per salt of its key. A key of the label side always has
+    matches, so copies that meet an empty salt are dropped. The rows are those
+    of the plain left join.
     """
     lk = label_key or key
-    hot = (labels.groupBy(F.col(lk).alias("__hk")).count()
-                 .filter(F.col("count") > hot_rows).select("__hk", F.lit(True).alias("__hot")))
-    hot = F.broadcast(hot)
-    right = (labels.select(F.col(lk).alias("__lk"), F.col(label).alias("__lv"))
-                   .join(hot, F.col("__lk") == F.col("__hk"), "left")
-                   .select("__lk", "__lv",
-                           F.when(F.col("__hot"), F.pmod(F.xxhash64("__lk", "__lv", F.monotonically_increasing_id()), F.lit(salts)))
-                            .otherwise(F.lit(0)).cast("int").alias("__rs")))
+    salts = (labels.groupBy(F.col(lk).alias("__hk")).agg(F.count("*").alias("__n")).filter("__hk IS NOT NULL")
+                   .select("__hk", F.ceil(F.col("__n") / rows_per_salt).cast("int").alias("__salts")))
+    row = F.xxhash64(*(row_key or labels.columns))
+    right = (labels.select(F.col(lk).alias("__lk"), F.col(label).alias("__lv"), row.alias("__row"))
+                   .join(salts, F.col("__lk") == F.col("__hk"))
+                   .select("__lk", "__lv", F.pmod("__row", "__salts").cast("int").alias("__rs")))
     out = df.drop(label) if label in df.columns else df
-    left = (out.join(hot, out[key] == F.col("__hk"), "left")
-               .withColumn("__ls", F.explode(F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
-                                             .otherwise(F.array(F.lit(0)))))
+    left = (out.join(salts, out[key] == F.col("__hk"), "left")
+               .withColumn("__ls", F.explode(F.sequence(F.lit(0), F.coalesce("__salts", F.lit(1)) - 1)))
                .drop("__hk"))
     joined = left.join(right, (left[key] == right["__lk"]) & (left["__ls"] == right["__rs"]), "left")
-    joined = joined.filter(~(F.coalesce(F.col("__hot"), F.lit(False)) & F.col("__lk").isNull()))
+    joined = joined.filter(F.col("__salts").isNull() | F.col("__lk").isNotNull())
     return (joined.withColumn(label, F.coalesce(F.col("__lv"), F.lit(default)))
-                  .drop("__lk", "__lv", "__rs", "__ls", "__hot"))
+                  .drop("__lk", "__lv", "__rs", "__ls", "__salts"))

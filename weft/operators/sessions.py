@@ -18,7 +18,7 @@ large share of all rows does not serialise the job:
   rows at the head of a slice that precede its first page view continue the
   visitor's last page view in an earlier slice. Only a slice's first visitor
   can be in that position, so the carry table holds at most one row per
-  slice and is broadcast on that bound.
+  slice.
 """
 
 from __future__ import annotations
@@ -44,7 +44,8 @@ class SessionSpec:
 
     user: str                       # visitor key (cookie)
     ts: str                         # event time: timestamp or timestamp_ntz
-    order: str                      # unique row id; breaks ties on equal time
+    order: str | None               # unique row id; breaks ties on equal time. None: the first
+                                    # row is not asked for, so no first_order, first or landing
     kind: str                       # event-type column
     pageview: str = PAGEVIEW
     click: str = CLICK
@@ -80,13 +81,21 @@ def _prepare(df: DataFrame, spec: SessionSpec) -> DataFrame:
               .select(F.col(spec.user).alias("_u"),
                       F.col(spec.ts).alias("_t"),
                       epoch_micros(spec.ts, ts_type).alias("_us"),
-                      F.col(spec.order).alias("_rid"),
+                      *([F.col(spec.order).alias("_rid")] if spec.order else []),
                       (kinds == spec.pageview).alias("_pv"),
                       (kinds == spec.click).alias("_ck"),
                       *[F.col(c) for c in extra])
               .filter(F.col("_us").isNotNull() & F.col("_u").isNotNull()))
 
 
+def unusable_rows(df: DataFrame, spec: SessionSpec) -> DataFrame:
+    """Rows of a kept type that no session can take, with a ``reason``: a null
+    visitor or a null time. The cut leaves exactly these out."""
+    reason = (F.when(F.col(spec.user).isNull(), F.lit("null_visitor"))
+               .when(F.col(spec.ts).isNull(), F.lit("null_time")))
+    return df.filter(df[spec.kind].isin(spec.pageview, spec.click)).withColumn("reason", reason).filter("reason IS NOT NULL")
+
+
 def _first_struct(spec: SessionSpec) -> Column:
     # Struct order is field order: (time, id) is total, the rest rides along.
     return F.struct(F.col("_us"), F.col("_rid"), F.col("_t"),
@@ -117,11 +126,18 @@ def gap_sessions(df: DataFrame, spec: SessionSpec, gap: str | int = DEFAULT_GAP)
     row of the same visitor (strictly greater; exactly ``gap`` stays)."""
     g = gap_micros(gap)
     x = _prepare(df, spec).withColumn("_cell", floor_div(F.col("_us"), g))
+    if spec.order is None:
+        if spec.first or spec.landing:
+            raise ValueError("columns of the first row or page view need an order column")
+        # fixed-width values only: aggregated by hash, without a sort
+        taken = {"_first": F.min("_t")}
+    else:
+        taken = {"_first": F.min(_first_struct(spec)),
+                 "_land": F.min(F.when(F.col("_pv"), _landing_struct(spec, with_first=False)))}
     cells = (x.groupBy("_u", "_cell")
               .agg(F.min("_us").alias("_lo"),
                    F.max("_us").alias("_hi"),
-                   F.min(_first_struct(spec)).alias("_first"),
-                   F.min(F.when(F.col("_pv"), _landing_struct(spec, with_first=False))).alias("_land"),
+                   *[v.alias(k) for k, v in taken.items()],
                    F.count_if(F.col("_pv")).alias("_npv"),
                    F.count_if(F.col("_ck")).alias("_nck")))
     w = Window.partitionBy("_u").orderBy("_cell")
@@ -131,19 +147,22 @@ def gap_sessions(df: DataFrame, spec: SessionSpec, gap: str | int = DEFAULT_GAP)
     cells = cells.withColumn(
         "_seq", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     s = (cells.groupBy("_u", "_seq")
-              .agg(F.min("_first").alias("_first"),
-                   F.min("_land").alias("_land"),
+              .agg(*[F.min(k).alias(k) for k in taken],
                    F.sum("_npv").alias("_npv"),
                    F.sum("_nck").alias("_nck")))
+    if spec.order is None:
+        return s.select(F.col("_u").alias(spec.user), F.col("_first").alias("session_start"),
+                        F.col("_npv").cast("int").alias("pageview_count"), F.col("_nck").cast("int").alias("click_count"))
     return _finish(s, spec, "_first", "_land")
 
 
-def pageview_sessions(df: DataFrame, spec: SessionSpec, checkpoint: bool = True) -> DataFrame:
+def pageview_sessions(df: DataFrame, spec: SessionSpec) -> DataFrame:
     """Every page view opens a session; clicks before a visitor's first page
     view form one leading session of their own.
 
-    With ``checkpoint`` (default) the per-slice partial sessions are written
-    once to the checkpoint folder when the plan is built (an eager job)."""
+    The per-slice partial sessions are written once to the checkpoint folder
+    when the plan is built (an eager job): two branches read them, and slices
+    of a range exchange that is computed twice need not be the same."""
     x = _prepare(df, spec)
     # Balanced contiguous slices of the (visitor, time, id) order: the range
     # exchange splits even a single visitor across many slices.
@@ -157,19 +176,17 @@ def pageview_sessions(df: DataFrame, spec: SessionSpec, checkpoint: bool = True)
              .agg(F.min(_first_struct(spec)).alias("_first"),
                   F.count_if(F.col("_pv")).alias("_npv"),
                   F.count_if(F.col("_ck")).alias("_nck")))
-    # ``part`` feeds two branches (the sessions and the carry table). Column
-    # pruning makes their plans differ, so Spark would not reuse the
-    # exchanges and would run the scan, range sampling and both shuffles
-    # twice. A reliable checkpoint (in the session's checkpoint folder) cuts
-    # the lineage once; ``part`` is session-level, far smaller than the rows.
-    if checkpoint:
-        checkpoint_dir(df.sparkSession)
-        part = part.checkpoint(eager=True)
+    # ``part`` feeds two branches (the sessions and the carry table) that must
+    # see the same slices, so it is always materialised: a reliable checkpoint
+    # (in the session's checkpoint folder); it is session-level, far smaller
+    # than the rows.
+    checkpoint_dir(df.sparkSession)
+    part = part.checkpoint(eager=True)
     # Rows at the head of a slice before its first page view (anchor null)
     # continue the visitor's last page view in an earlier slice. Only the
     # first visitor of a slice can have such an earlier page view, so the
-    # resolved table has at most one row per slice: a bound of the partition
-    # count, which makes its broadcast safe.
+    # resolved table has at most one row per slice; the planner decides how
+    # to join it.
     per_slice = (part.groupBy("_u", "_pid")
                      .agg(F.max("_anchor").alias("_tail"),
                           F.max(F.col("_anchor").isNull().cast("int")).alias("_head")))
@@ -177,7 +194,7 @@ def pageview_sessions(df: DataFrame, spec: SessionSpec, checkpoint: bool = True)
     carried = (per_slice.withColumn("_prev", F.max("_tail").over(wb))
                         .filter((F.col("_head") == 1) & F.col("_prev").isNotNull())
                         .select(F.col("_u").alias("_cu"), F.col("_pid").alias("_cpid"), "_prev"))
-    merged = (part.join(F.broadcast(carried),
+    merged = (part.join(carried,
                         (part["_u"] == carried["_cu"]) & (part["_pid"] == carried["_cpid"])
                         & part["_anchor"].isNull(), "left")
                   .withColumn("_anchor", F.coalesce(F.col("_anchor"), F.col("_prev"))))
@@ -196,13 +213,13 @@ STRATEGIES = {"gap": gap_sessions, "pageview": pageview_sessions}
 
 
 def cut_sessions(df: DataFrame, spec: SessionSpec, strategy: str = "gap",
-                 gap: str | int = DEFAULT_GAP, checkpoint: bool = True) -> DataFrame:
+                 gap: str | int = DEFAULT_GAP) -> DataFrame:
     """Pluggable cutting strategy: ``'gap'`` or ``'pageview'``."""
     key = strategy.lower().replace("_", "").replace("-", "")
     if key in ("gap", "time", "inactivity"):
         return gap_sessions(df, spec, gap)
     if key in ("pageview", "pv", "page"):
-        return pageview_sessions(df, spec, checkpoint=checkpoint)
+        return pageview_sessions(df, spec)
     raise ValueError(f"unknown session strategy {strategy!r}; use 'gap' or 'pageview'")
 
 

@@ -25,11 +25,11 @@ from weft.operators import jsonops, stats
 from weft.operators.labels import attach_label, map_lookup, salted_left_join
 from weft.operators.sessions import SessionSpec, cut_sessions, gap_micros, with_session_id
 from weft.plans import devices, flights
-from weft.plans.session_cut import label_domains
+from weft.plans.visits import build_sessions, clean_log, label_domains
 from weft.session import scratch_path
 from weft.sinks.writers import read_text_records, write_csv, write_parquet, write_text
-from weft.sources.formats import (SLICE, parse_airports, parse_flights, parse_id_payload,
-                                  parse_visit_log, read_csv, spread)
+from weft.sources.formats import (parse_airports, parse_cookie_labels, parse_flights, parse_id_payload,
+                                  parse_visit_log, read_csv, read_json, read_lines)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,21 +58,14 @@ def _with_header(spark: SparkSession, body: DataFrame, header: str) -> DataFrame
     """A header line followed by the body lines (the header row is a JVM-side
     one-row relation, no Python worker)."""
     head = spark.range(0, 1, 1, 1).select(F.lit(header).alias("value"))
-    if SLICE in body.columns:
-        head = head.withColumn(SLICE, F.lit(0))
     return head.unionByName(body)
 
 
-def _spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table whose rows are packed into text lines: spread first, so the
-    packing itself runs on all cores when the file is a single row group
-    (the ``_slice`` column keeps the later parse filter after the exchange)."""
-    return spread(_t(spark, sf_dir, name))
-
-
-def _lines_of(df: DataFrame, line) -> DataFrame:
-    keep = [SLICE] if SLICE in df.columns else []
-    return df.select(line.alias("value"), *keep)
+def _dealt(spark: SparkSession, sf_dir: str, name: str, columns: list[str], key: list[str]) -> DataFrame:
+    """The columns of a table that its text lines use, dealt by a key: the
+    packing and parsing of lines is most of these queries' work, and a table
+    may be one row group."""
+    return _t(spark, sf_dir, name).select(*columns).repartition(*key)
 
 
 _TABLES: dict[tuple[str, str], DataFrame] = {}
@@ -177,7 +170,8 @@ FROM g GROUP BY user_id, seq"""
 
 
 def _core_sessions(spark: SparkSession, sf_dir: str, strategy: str = "gap") -> DataFrame:
-    spec = SessionSpec(user="user_id", ts="ts", order="event_id", kind="event_type",
+    """Start and counts only: the gap strategy needs no row order for these."""
+    spec = SessionSpec(user="user_id", ts="ts", order=None if strategy == "gap" else "event_id", kind="event_type",
                        pageview="view", click="click")
     ev = _t(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
     return cut_sessions(ev, spec, strategy=strategy)
@@ -221,9 +215,17 @@ GAP_NATIVE_SQL = f"SELECT user_id, session_start, session_end, event_count FROM
 
 
 def session_count(spark, sf_dir):
-    """Number of sessions per strategy (E10's count, as a result)."""
+    """Number of sessions per strategy (E10's count, as a result). Page-view
+    sessions need no cut to be counted: every page view opens one, and so do a
+    visitor's clicks before the first page view."""
     gap = _core_sessions(spark, sf_dir, "gap").agg(F.count(F.lit(1)).alias("session_count"))
-    pv = _core_sessions(spark, sf_dir, "pageview").agg(F.count(F.lit(1)).alias("session_count"))
+    order = F.struct("ts", "event_id")
+    view = F.col("event_type") == "view"
+    visitors = (_t(spark, sf_dir, "events").filter(F.col("event_type").isin("view", "click"))
+                .filter(F.col("ts").isNotNull() & F.col("user_id").isNotNull())
+                .groupBy("user_id").agg(F.count_if(view).alias("views"), F.min(order).alias("first"), F.min(F.when(view, order)).alias("first_view")))
+    leads = F.coalesce((F.col("first") < F.col("first_view")), F.lit(True)).cast("long")
+    pv = visitors.agg(F.coalesce(F.sum(F.col("views") + leads), F.lit(0)).alias("session_count"))
     return (gap.select(F.lit("gap").alias("strategy"), "session_count")
                .unionByName(pv.select(F.lit("pageview").alias("strategy"), "session_count")))
 
@@ -314,7 +316,7 @@ LEFT JOIN orders o ON o.o_custkey = s.user_id"""
 def _visit_log_lines(spark, sf_dir) -> DataFrame:
     """Events as pipe lines; ``error`` events become ``#`` comment lines and
     ``signup`` events lose their last two fields (short lines)."""
-    ev = _spread_table(spark, sf_dir, "events")
+    ev = _dealt(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "props"], ["event_id"])
     full = F.concat_ws("|", "event_type", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"),
                        F.col("user_id").cast("string"), F.col("event_id").cast("string"), "props")
     short = F.concat_ws("|", "event_type", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"),
@@ -322,11 +324,11 @@ def _visit_log_lines(spark, sf_dir) -> DataFrame:
     line = (F.when(F.col("event_type") == "error", F.concat(F.lit("#"), full))
              .when(F.col("event_type") == "signup", short)
              .otherwise(full))
-    return _lines_of(ev, line)
+    return ev.select(line.alias("value"))
 
 
 def parse_pipe_line(spark, sf_dir):
-    """Pipe-delimited log parsing."""
+    """Pipe-delimited log parsing."""
     p = parse_visit_log(_visit_log_lines(spark, sf_dir), order_col=None)
     return p.rows
 
@@ -350,7 +352,8 @@ PARSE_ID_PAYLOAD_SQL = "SELECT event_id AS id, props AS device FROM events"
 def _flight_lines(spark, sf_dir) -> DataFrame:
     """Lineitem rows as 29-field flight lines with ``NA``, blanks, signs and
     padding in integer positions; ``R`` rows end in empty fields (short)."""
-    li = _spread_table(spark, sf_dir, "lineitem")
+    li = _dealt(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
+                                            "l_returnflag", "l_linestatus", "l_shipdate"], ["l_orderkey", "l_linenumber"])
     s = lambda c: F.col(c).cast("string")
     ln = s("l_linenumber")
     qty = F.col("l_quantity").cast("int").cast("string")
@@ -367,7 +370,7 @@ def _flight_lines(spark, sf_dir) -> DataFrame:
         F.col("l_returnflag"), F.lit("0"),
         *[F.when(short, F.lit("")).otherwise(t) for t in tail],
     ]
-    body = _lines_of(li, F.concat_ws(",", *fields))
+    body = li.select(F.concat_ws(",", *fields).alias("value"))
     return _with_header(spark, body, FLIGHT_HEADER)
 
 
@@ -611,7 +614,7 @@ def cast_expr(spark, sf_dir):
     return devices.cast_columns(ev)
 
 
-CAST_EXPR_SQL = "SELECT CAST(event_id AS INTEGER) AS id, props AS device FROM events"
+CAST_EXPR_SQL = "SELECT TRY_CAST(event_id AS INTEGER) AS id, props AS device FROM events"
 
 
 def ratio_round(spark, sf_dir):
@@ -668,32 +671,107 @@ SELECT r_name AS id, n_name AS deviceType, 'Sensor of ' || n_name AS description
 FROM nation JOIN region ON n_regionkey = r_regionkey"""
 
 
+# --------------------------------------------------------------------------
+# The jobs over files
+# --------------------------------------------------------------------------
+
+def visit_log_sessions(spark, sf_dir):
+    """The visit-log job on text files: ``events`` and customer labels are
+    written as pipe lines, read, cleaned, their times parsed, cut and labelled
+    (A1, A2, B1, B2, I6, F1-F4, D1-D3)."""
+    ev = _t(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
+    kind = F.when(F.col("event_type") == "view", F.lit("pageview")).otherwise(F.col("event_type"))
+    url = F.concat(F.lit("https://www.ali.com/"), F.coalesce(F.get_json_object("props", "$.k"), F.lit("none")))
+    line = F.concat_ws("|", kind, F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.col("user_id").cast("string"),
+                       F.col("event_id").cast("string"), url)
+    labels = _t(spark, sf_dir, "customer").filter("c_acctbal > 0").select(
+        F.concat_ws("|", F.col("c_custkey").cast("string"), "c_mktsegment").alias("value"))
+    log_path, label_path = scratch_path(spark, "visit-lines"), scratch_path(spark, "label-lines")
+    ev.select(line.alias("value")).write.text(log_path)
+    labels.write.text(label_path)
+    log = clean_log(read_lines(spark, log_path)).rows
+    s = build_sessions(log, parse_cookie_labels(read_lines(spark, label_path)).rows)
+    # which of several rows of one second comes first depends on the files' order: not returned
+    return s.select("cookie", F.col("session_server_time"), "cookie_label", "pageview_count", "click_count", "domain", "domain_label")
+
+
+VISIT_LOG_SQL = """
+WITH e AS (
+  SELECT date_trunc('second', ts) AS ts, user_id, event_type FROM events
+  WHERE event_type IN ('view', 'click') AND ts IS NOT NULL AND user_id IS NOT NULL),
+f AS (SELECT *, CASE WHEN lag(ts) OVER w IS NULL OR ts - lag(ts) OVER w > INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS nw
+      FROM e WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+g AS (SELECT *, sum(nw) OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS seq FROM f),
+s AS (SELECT user_id, seq, min(ts) AS start, CAST(count(*) FILTER (WHERE event_type = 'view') AS INTEGER) AS views,
+             CAST(count(*) FILTER (WHERE event_type = 'click') AS INTEGER) AS clicks FROM g GROUP BY user_id, seq)
+SELECT CAST(s.user_id AS VARCHAR) AS cookie, strftime(start, '%Y-%m-%d %H:%M:%S') AS session_server_time,
+       coalesce(c.c_mktsegment, '-') AS cookie_label, views AS pageview_count, clicks AS click_count,
+       CASE WHEN views > 0 THEN 'www.ali.com' ELSE '-' END AS domain, CASE WHEN views > 0 THEN 'level2' ELSE '-' END AS domain_label
+FROM s LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) c ON c.c_custkey = s.user_id"""
+
+
+def flight_file_reports(spark, sf_dir):
+    """Month counts and the cube over nested columns, from a flight file that is
+    written as text and parsed (A3, B3, E5, E9, C9)."""
+    path = scratch_path(spark, "flight-lines")
+    _flight_lines(spark, sf_dir).write.text(path)
+    rows = parse_flights(read_lines(spark, path)).rows
+    cube = flights.route_cube(rows).select(F.lit("cube").alias("report"), "origin", "dest", F.lit(None).cast("int").alias("month"),
+                                           "count", "avg_elapsed", "avg_distance")
+    months = stats.cancelled_by_month(rows).toDF("month", "count").select(
+        F.lit("months").alias("report"), F.lit(None).cast("string").alias("origin"), F.lit(None).cast("string").alias("dest"), "month", "count",
+        F.lit(None).cast("double").alias("avg_elapsed"), F.lit(None).cast("double").alias("avg_distance"))
+    return cube.unionByName(months)
+
+
+FLIGHT_FILE_SQL = """
+WITH f AS (SELECT l_returnflag AS origin, l_linestatus AS dest, CAST(month(l_shipdate) AS INTEGER) AS month, l_partkey,
+                  CAST(floor(l_extendedprice) AS INTEGER) AS distance FROM lineitem WHERE l_returnflag <> 'R')
+SELECT 'cube' AS report, origin, dest, CAST(NULL AS INTEGER) AS month, count(*) AS count, avg(l_partkey) AS avg_elapsed, avg(distance) AS avg_distance
+FROM f GROUP BY CUBE (origin, dest)
+UNION ALL
+SELECT 'months', NULL, NULL, month, count(*), NULL, NULL FROM f WHERE dest = 'F' GROUP BY month"""
+
+
+def json_file_nested(spark, sf_dir):
+    """Nested documents written as JSON lines and read with a declared schema,
+    with integer epochs read as timestamps (A6, A11, I13, I17, I18)."""
+    path = scratch_path(spark, "datacenters")
+    _datacenter_json(spark, sf_dir).write.text(path)
+    dc = devices.datacenter_devices(read_json(spark, path, schemas.DATACENTER))
+    times = F.from_json(F.concat(F.lit('{"timestamp": '), (F.length("description") * 86400).cast("string"), F.lit("}")), "timestamp timestamp")
+    return dc.select("*", F.unix_seconds(times["timestamp"]).alias("epoch"))
+
+
+JSON_FILE_SQL = """
+SELECT r_name AS id, n_name AS deviceType, 'Sensor of ' || n_name AS description,
+       CASE WHEN n_regionkey = 0 THEN NULL ELSE CAST(n_nationkey AS DOUBLE) * 1.5 END AS lat,
+       CAST(length('Sensor of ' || n_name) * 86400 AS BIGINT) AS epoch
+FROM nation JOIN region ON n_regionkey = r_regionkey"""
+
+
 # --------------------------------------------------------------------------
 # Sources and sinks round trips (write under the shared checkpoint folder)
 # --------------------------------------------------------------------------
 
 _LI_COLS = ["l_orderkey", "l_linenumber", "l_returnflag", "l_quantity"]
-_LI_SQL = "SELECT l_orderkey, l_linenumber, l_returnflag, l_quantity FROM lineitem"
+# Inference finds the narrowest of int, long and double; the columns are returned as inferred.
+_LI_SQL = """SELECT CAST(l_orderkey AS INTEGER) AS l_orderkey, CAST(l_linenumber AS INTEGER) AS l_linenumber, l_returnflag,
+       CAST(l_quantity AS DOUBLE) AS l_quantity FROM lineitem"""
 
 
 def csv_infer_header(spark, sf_dir):
     """CSV with header and inferred types, read back."""
     path = scratch_path(spark, "csv-header")
     write_csv(_t(spark, sf_dir, "lineitem").select(*_LI_COLS), path, header=True)
-    df = read_csv(spark, path, header=True, infer_schema=True)
-    return df.select(F.col("l_orderkey").cast("long"), F.col("l_linenumber").cast("int"),
-                     "l_returnflag", F.col("l_quantity").cast("double"))
+    return read_csv(spark, path, header=True, infer_schema=True)
 
 
 def csv_infer_noheader(spark, sf_dir):
     """Header-less CSV with inferred types, read back."""
     path = scratch_path(spark, "csv-plain")
     write_csv(_t(spark, sf_dir, "lineitem").select(*_LI_COLS), path, header=False)
-    df = read_csv(spark, path, header=False, infer_schema=True)
-    return df.select(F.col("_c0").cast("long").alias("l_orderkey"),
-                     F.col("_c1").cast("int").alias("l_linenumber"),
-                     F.col("_c2").alias("l_returnflag"),
-                     F.col("_c3").cast("double").alias("l_quantity"))
+    return read_csv(spark, path, header=False, infer_schema=True).toDF(*_LI_COLS)
 
 
 def text_sink_roundtrip(spark, sf_dir):
@@ -732,8 +810,13 @@ def streaming_gap_sessions(spark, sf_dir):
     the available ``events`` file, then read back."""
     from weft.streaming import sessions as streaming
 
-    schema = _t(spark, sf_dir, "events").schema
-    stream = streaming.file_stream(spark, sf_dir.rstrip("/"), schema, glob="events.parquet")
+    events = _t(spark, sf_dir, "events")
+    path = f"{sf_dir.rstrip('/')}/events.parquet"
+    # a table is one file, which the file source takes by its name in the folder, or a folder of part files
+    if any(f.rsplit("/", 1)[0].endswith("/events.parquet") for f in events.inputFiles()):
+        stream = streaming.file_stream(spark, path, events.schema)
+    else:
+        stream = streaming.file_stream(spark, sf_dir.rstrip("/"), events.schema, glob="events.parquet")
     spec = SessionSpec(user="user_id", ts="ts", order="event_id", kind="event_type",
                        pageview="view", click="click", first=("value",))
     out, ck = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ck")
@@ -789,6 +872,9 @@ QUERIES: dict[str, Query] = {
     "ratio_round": ratio_round,
     "map_explode": map_explode,
     "nested_get": nested_get,
+    "visit_log_sessions": visit_log_sessions,
+    "flight_file_reports": flight_file_reports,
+    "json_file_nested": json_file_nested,
     "csv_infer_header": csv_infer_header,
     "csv_infer_noheader": csv_infer_noheader,
     "text_sink_roundtrip": text_sink_roundtrip,
@@ -827,6 +913,9 @@ ORACLES: dict[str, str] = {
     "ratio_round": RATIO_ROUND_SQL,
     "map_explode": MAP_EXPLODE_SQL,
     "nested_get": NESTED_GET_SQL,
+    "visit_log_sessions": VISIT_LOG_SQL,
+    "flight_file_reports": FLIGHT_FILE_SQL,
+    "json_file_nested": JSON_FILE_SQL,
     "csv_infer_header": _LI_SQL,
     "csv_infer_noheader": _LI_SQL,
     "text_sink_roundtrip": TEXT_SINK_SQL,

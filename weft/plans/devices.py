@@ -45,8 +45,8 @@ def devices_as_json(devices: DataFrame) -> DataFrame:
 
 
 def cast_columns(devices: DataFrame) -> DataFrame:
-    """SQL-expression projection with casts."""
-    return devices.selectExpr("CAST(id AS INT) AS id", "CAST(device AS STRING) AS device")
+    """SQL-expression projection with casts (C10, I15); an id beyond the range of INT is null."""
+    return devices.selectExpr("try_cast(id AS INT) AS id", "CAST(device AS STRING) AS device")
 
 
 def co2_ratio(devices: DataFrame) -> DataFrame:

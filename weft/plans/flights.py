@@ -9,17 +9,12 @@ from weft.operators import stats
 from weft.sinks.writers import write_csv
 from weft.sources.formats import Parsed, parse_airports, parse_flights, read_lines
 
-# The job's default inputs and output.
-DEFAULT_FLIGHTS = "data/airInfo/2008.csv"
-DEFAULT_AIRPORTS = "data/airInfo/airports.csv"
-DEFAULT_ROUTES_OUT = "data/airInfo/info"
 
-
-def load_flights(spark: SparkSession, path: str = DEFAULT_FLIGHTS) -> Parsed:
+def load_flights(spark: SparkSession, path: str) -> Parsed:
     return parse_flights(read_lines(spark, path))
 
 
-def load_airports(spark: SparkSession, path: str = DEFAULT_AIRPORTS) -> Parsed:
+def load_airports(spark: SparkSession, path: str) -> Parsed:
     return parse_airports(read_lines(spark, path))
 
 
@@ -53,7 +48,7 @@ def flight_reports(flights: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def flight_analysis(spark: SparkSession, flights_path: str = DEFAULT_FLIGHTS,
+def flight_analysis(spark: SparkSession, flights_path: str | None = None,
                     routes_out: str | None = None, parsed: Parsed | None = None,
                     shuffle_partitions: int | None = None) -> dict[str, DataFrame]:
     """All questions of the flight job as DataFrames; ``routes_out`` also
@@ -63,7 +58,10 @@ def flight_analysis(spark: SparkSession, flights_path: str = DEFAULT_FLIGHTS,
     by default it is left to the cluster setting and AQE coalescing."""
     if shuffle_partitions:
         spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    parsed = parsed or load_flights(spark, flights_path)
+    if parsed is None:
+        if not flights_path:
+            raise ValueError("give flights_path or parsed")
+        parsed = load_flights(spark, flights_path)
     out = flight_reports(parsed.rows)
     if routes_out:
         write_csv(out["route_counts"], routes_out)

@@ -1,50 +1,50 @@
-"""Visit log -> cleaned log + one row per session (the session-cut job).
+"""Visit log -> cleaned log + one row per session (the visit-log job).
 
 Plan: scan lines -> parse columns -> type filter (pushed before the cut) ->
 session cut (skew-safe, see ``operators.sessions``) -> host + domain label
-(literal map, no join) -> cookie label (left join, broadcast only when the
-label side is proven small) -> sinks.
+(literal map, no join) -> cookie label (salted left join, broadcast only when the
+label side is small) -> sinks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from weft import schemas
 from weft.functions.columns import MISSING_STRING, parse_log_time, url_host
-from weft.operators.labels import DOMAIN_LABELS, attach_label, map_lookup
+from weft.operators.labels import DOMAIN_LABELS, map_lookup, salted_left_join
 from weft.operators.sessions import (CLICK, DEFAULT_GAP, PAGEVIEW, SessionSpec, cut_sessions,
-                                     with_session_id)
+                                     unusable_rows, with_session_id)
+from weft.session import scratch_path
 from weft.sinks.writers import select_sink
-from weft.sources.formats import Parsed, parse_cookie_labels, parse_visit_log, read_lines
+from weft.sources.formats import LINE, Parsed, parse_cookie_labels, parse_visit_log, read_lines
 
-# Log types kept by the job, and its default paths.
+# Log types kept by the job.
 LOG_TYPES = (PAGEVIEW, CLICK)
-DEFAULT_VISIT_LOG = "data/rawdata/visit_log.txt"
-DEFAULT_COOKIE_LABELS = "data/cookie_label.txt"
-DEFAULT_OUTPUT = "data/output"
+# Settings that name the job's paths.
+LOG_PATH_KEY = "spark.weft.visits.logPath"
+LABEL_PATH_KEY = "spark.weft.visits.labelPath"
+OUTPUT_PATH_KEY = "spark.weft.visits.outputPath"
 
 
 def clean_log(lines: DataFrame, types: tuple[str, ...] = LOG_TYPES) -> Parsed:
     """Parse visit-log lines and keep only the given log types.
 
     Rows of a kept type whose time does not parse become rejects
-    (``bad_time``); rows of other types are dropped, not rejected. The
-    result can be ``persist()``-ed as one staged projection.
+    (``bad_time``, the whole line); rows of other types are dropped, not
+    rejected. The result can be ``persist()``-ed or ``written()`` as one
+    staged projection.
     """
     def typed_step(rows: DataFrame, rejects: DataFrame) -> tuple[DataFrame, DataFrame]:
         typed = rows.filter(F.col("log_type").isin(*types)).withColumn(
             "ts", parse_log_time("log_server_time"))
-        bad_time = typed.filter(F.col("ts").isNull()).select(
-            F.concat_ws("|", *schemas.TRACKER_LOG.fieldNames()).alias("value"),
-            F.lit("bad_time").alias("reason"))
-        return typed.filter(F.col("ts").isNotNull()), rejects.unionByName(bad_time)
+        bad_time = typed.filter(F.col("ts").isNull()).select(F.col(LINE).alias("value"), F.lit("bad_time").alias("reason"))
+        return typed.filter(F.col("ts").isNotNull()).drop(LINE), rejects.unionByName(bad_time)
 
-    return parse_visit_log(lines).derive(typed_step)
+    return parse_visit_log(lines, keep_line=True).derive(typed_step)
 
 
 def log_spec(first: tuple[str, ...] = ("ip", "log_server_time")) -> SessionSpec:
@@ -80,7 +80,7 @@ def build_sessions(log: DataFrame, cookie_labels: DataFrame | None,
     s = with_session_id(s, "cookie", random=random_ids)
     s = label_domains(s, "landing_url", domain_labels)
     if cookie_labels is not None:
-        s = attach_label(s, cookie_labels, "cookie", "cookie_label")
+        s = salted_left_join(s, cookie_labels, "cookie", "cookie_label")
     else:
         s = s.withColumn("cookie_label", F.lit(MISSING_STRING))
     return s.select(
@@ -90,46 +90,47 @@ def build_sessions(log: DataFrame, cookie_labels: DataFrame | None,
         "pageview_count", "click_count", "domain", "domain_label")
 
 
-def session_cut_etl(spark: SparkSession, visit_log_path: str | None = None,
-                    cookie_label_path: str | None = None, output_path: str | None = None,
-                    sink: str = "text", strategy: str = "gap", gap: str | int = DEFAULT_GAP,
-                    domain_labels: Mapping[str, str] = DOMAIN_LABELS,
-                    random_ids: bool = False) -> dict:
+def run_visit_job(spark: SparkSession, visit_log_path: str | None = None,
+                  cookie_label_path: str | None = None, output_path: str | None = None,
+                  sink: str = "text", strategy: str = "gap", gap: str | int = DEFAULT_GAP,
+                  domain_labels: Mapping[str, str] = DOMAIN_LABELS,
+                  random_ids: bool = False) -> dict:
     """The whole job: read, clean, cut, label, write ``trackerLog``,
     ``trackerSession`` and ``rejects`` under ``output_path``.
 
-    Paths default from ``spark.sessioncut.*`` settings, then the reference's
-    relative defaults (A12). Returns counts gathered with ``observe`` (E10),
-    which are exact under task retries, unlike an accumulator.
+    Paths not given are read from the ``spark.weft.visits.*`` settings (A12).
+    Returns counts gathered with ``observe`` (E10), which are exact under task
+    retries, unlike an accumulator.
     """
-    conf = spark.conf
-    visit_log_path = visit_log_path or conf.get("spark.sessioncut.visitLogsInputPath", DEFAULT_VISIT_LOG)
-    cookie_label_path = cookie_label_path or conf.get("spark.sessioncut.cookieLabelInputPath",
-                                                      DEFAULT_COOKIE_LABELS)
-    output_path = (output_path or conf.get("spark.sessioncut.baseOutputPath", DEFAULT_OUTPUT)).rstrip("/")
+    def path(given: str | None, key: str) -> str:
+        found = given or spark.conf.get(key, None)
+        if not found:
+            raise ValueError(f"no path: give one or set {key}")
+        return found
+
+    visit_log_path, cookie_label_path = path(visit_log_path, LOG_PATH_KEY), path(cookie_label_path, LABEL_PATH_KEY)
+    output_path = path(output_path, OUTPUT_PATH_KEY).rstrip("/")
     write = select_sink(sink)
 
-    # One pass over the raw log feeds the cleaned log, the sessions and the
-    # rejects: the staged parse is cached (spilling to disk as needed; lost
-    # blocks are recomputed from the source files).
-    parsed = clean_log(read_lines(spark, visit_log_path)).persist(StorageLevel.MEMORY_AND_DISK)
+    # One pass over the raw log: the staged parse is written once, and the
+    # cleaned log, the sessions and the rejects come from that copy.
+    parsed = clean_log(read_lines(spark, visit_log_path)).written(scratch_path(spark, "visit-log"))
     log = parsed.rows
     labels = parse_cookie_labels(read_lines(spark, cookie_label_path))
-    try:
-        log_obs = Observation("log")
-        log_out = log.select(*schemas.TRACKER_LOG.fieldNames()).observe(
-            log_obs, F.count(F.lit(1)).alias("log_rows"))
-        write(log_out, f"{output_path}/trackerLog")
-
-        sess_obs = Observation("sessions")
-        sessions = build_sessions(log, labels.rows, domain_labels, strategy, gap, random_ids)
-        sessions = sessions.observe(sess_obs, F.count(F.lit(1)).alias("session_count"))
-        write(sessions, f"{output_path}/trackerSession")
-
-        rej_obs = Observation("rejects")
-        rejects = parsed.rejects.unionByName(labels.rejects).observe(
-            rej_obs, F.count(F.lit(1)).alias("reject_count"))
-        rejects.write.mode("overwrite").parquet(f"{output_path}/rejects")
-        return {**log_obs.get, **sess_obs.get, **rej_obs.get}
-    finally:
-        parsed.unpersist()
+    log_obs = Observation("log")
+    log_out = log.select(*schemas.TRACKER_LOG.fieldNames()).observe(
+        log_obs, F.count(F.lit(1)).alias("log_rows"))
+    write(log_out, f"{output_path}/trackerLog")
+
+    sess_obs = Observation("sessions")
+    sessions = build_sessions(log, labels.rows, domain_labels, strategy, gap, random_ids)
+    sessions = sessions.observe(sess_obs, F.count(F.lit(1)).alias("session_count"))
+    write(sessions, f"{output_path}/trackerSession")
+
+    rej_obs = Observation("rejects")
+    unusable = unusable_rows(log, log_spec()).select(
+        F.concat_ws("|", *schemas.TRACKER_LOG.fieldNames()).alias("value"), "reason")
+    rejects = parsed.rejects.unionByName(unusable).unionByName(labels.rejects).observe(
+        rej_obs, F.count(F.lit(1)).alias("reject_count"))
+    rejects.write.mode("overwrite").parquet(f"{output_path}/rejects")
+    return {**log_obs.get, **sess_obs.get, **rej_obs.get}

@@ -26,8 +26,11 @@ LOG_SEPARATOR = r"\|"
 FLIGHT_MIN_FIELDS = 29
 ID_PAYLOAD_SEPARATOR = "::"
 AIRPORT_HEADER_PATTERN = r'^\s*"iata"\s*,.*'
-AIRPORT_LINE_PATTERN = (r'^\s*"([^"]+)"\s*,\s*"([^"]+)"\s*,\s*"?([^"]+)"?\s*,\s*"?([^"]+)"?\s*,'
-                        r'\s*"([^"]+)"\s*,\s*([-.\d]+)\s*,\s*([-.\d]+)\s*$')
+AIRPORT_LINE_PATTERN = r'^\s*"([^"]+)"\s*,\s*"([^"]+)"\s*,\s*"?([^"]+)"?\s*,\s*"?([^"]+)"?\s*,\s*"([^"]+)"\s*,\s*([-.\d]+)\s*,\s*([-.\d]+)\s*$'
+
+
+# The whole line, beside the parsed fields of a visit-log row.
+LINE = "line"
 
 
 @dataclass(frozen=True)
@@ -51,6 +54,16 @@ class Parsed:
         rows, rejects = self.build(st)
         return Parsed(rows, rejects, st, self.build)
 
+    def written(self, path: str) -> "Parsed":
+        """The same rows and rejects, read back from one Parquet copy of the
+        staged projection, so later outputs read the input once."""
+        if self.staged is None or self.build is None:
+            return self
+        self.staged.write.mode("overwrite").parquet(path)
+        st = self.staged.sparkSession.read.schema(self.staged.schema).parquet(path)
+        rows, rejects = self.build(st)
+        return Parsed(rows, rejects, st, self.build)
+
     def unpersist(self) -> None:
         if self.staged is not None:
             self.staged.unpersist()
@@ -80,84 +93,59 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.text(path)
 
 
-SLICE = "_slice"
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Spread the rows over the cluster's default parallelism when the
-    input has fewer partitions than that (a small file or a single row group
-    would otherwise parse on one core). At scale the scan already has more
-    splits than cores and this is a no-op, so it adds no shuffle there.
-
-    When it does spread, a ``_slice`` column (the partition id) is added;
-    parsers reference it in their filters. Catalyst does not push a filter
-    below a non-deterministic projection, so the parse filter then runs
-    after the exchange, on all cores, instead of in the single scan task.
-    """
-    if SLICE in df.columns:          # already spread upstream
-        return df
-    # Partition count of a plain scan is known without running anything
-    # (call this on source lines, not on plans that already shuffle).
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # Spark Connect: partition counts are not exposed; leave as is
-        return df
-    if parts < target:
-        # Hash of the whole row: deterministic under task retries without
-        # the local sort a round-robin repartition needs.
-        return df.repartition(target, *df.columns).withColumn(SLICE, F.spark_partition_id())
-    return df
-
-
-def _after_spread(df: DataFrame, cond: Column) -> Column:
-    return ((F.col(SLICE) >= 0) & cond) if SLICE in df.columns else cond
-
-
 def _split_like_jvm(value: Column, sep: str, trailing: str) -> Column:
     """``String.split`` drops trailing empty fields; Spark's split keeps them.
     Trailing separators are cut with a character trim (no regex)."""
     return F.split(F.rtrim(value, F.lit(trailing)), sep)
 
 
+PARTS = "_parts"
+
+
+def _stage(lines: DataFrame, parts: Column) -> DataFrame:
+    """Adds ``_parts``, computed once for each line: Catalyst neither repeats
+    a generator's input in the filters above it nor moves those below it."""
+    return lines.select("*", F.explode(F.array(parts)).alias(PARTS))
+
+
 def _finish(lines: DataFrame, reason: Column, rows: list[Column], skip: Column | None = None) -> Parsed:
-    staged = lines.select("*", reason.alias("_reason"))
-    if skip is not None:
-        staged = staged.filter(_after_spread(staged, ~skip))
+    staged = lines if skip is None else lines.filter(~skip)
+    staged = staged.select("*", reason.alias("_reason"))
 
     def build(st: DataFrame) -> tuple[DataFrame, DataFrame]:
-        ok = st.filter(_after_spread(st, F.col("_reason").isNull())).select(*rows)
-        bad = st.filter(_after_spread(st, F.col("_reason").isNotNull())).select(
-            F.col("value"), F.col("_reason").alias("reason"))
+        ok = st.filter(F.col("_reason").isNull()).select(*rows)
+        bad = st.filter(F.col("_reason").isNotNull()).select(F.col("value"), F.col("_reason").alias("reason"))
         return ok, bad
 
     ok, bad = build(staged)
     return Parsed(ok, bad, staged, build)
 
 
-def parse_visit_log(lines: DataFrame, order_col: str | None = "log_order") -> Parsed:
+def parse_visit_log(lines: DataFrame, order_col: str | None = "log_order", keep_line: bool = False) -> Parsed:
     """Pipe-delimited visit log (B1): ``#`` lines skipped, fields 0-4 by
     position, extra fields ignored; fewer than five fields is a reject.
 
     ``order_col`` adds a stable row id in file order (tie-break for equal
     times); it is taken right after the scan, before any shuffle.
+    ``keep_line`` adds the whole line (``line``) for later rejects.
     """
     v = F.col("value")
     if order_col:
         lines = lines.withColumn(order_col, F.monotonically_increasing_id())
-    lines = spread(lines)
-    f = _split_like_jvm(v, LOG_SEPARATOR, "|")
+    f = F.col(PARTS)
+    lines = _stage(lines.filter(~v.startswith(LOG_COMMENT_PREFIX)), _split_like_jvm(v, LOG_SEPARATOR, "|"))
     reason = F.when(F.size(f) < 5, F.lit("short_line"))
     rows = [F.get(f, i).alias(n) for i, n in enumerate(schemas.TRACKER_LOG.fieldNames())]
     if order_col:
         rows.append(F.col(order_col))
-    return _finish(lines, reason, rows, skip=v.startswith(LOG_COMMENT_PREFIX))
+    if keep_line:
+        rows.append(F.col("value").alias(LINE))
+    return _finish(lines, reason, rows)
 
 
 def parse_cookie_labels(lines: DataFrame) -> Parsed:
     """``cookie|label`` lines (B2); a line without a label is a reject."""
-    lines = spread(lines)
-    f = _split_like_jvm(F.col("value"), LOG_SEPARATOR, "|")
+    lines, f = _stage(lines, _split_like_jvm(F.col("value"), LOG_SEPARATOR, "|")), F.col(PARTS)
     reason = F.when(F.size(f) < 2, F.lit("short_line"))
     return _finish(lines, reason, [F.get(f, 0).alias("cookie"), F.get(f, 1).alias("cookie_label")])
 
@@ -196,41 +184,36 @@ def parse_flights(lines: DataFrame) -> Parsed:
     """Comma-delimited flight lines (B3): a header line (first field ending in
     ``year``, any case) is skipped; fewer than 29 fields after dropping
     trailing empties is a reject; integers are lenient (-1 when missing)."""
-    v = F.col("value")
-    f = _split_like_jvm(v, ",", ",")
-    first = F.get(f, 0)
-    header = F.lower(F.substring(first, -4, 4)) == "year"
+    v, f = F.col("value"), F.col(PARTS)
+    header = F.lower(F.substring(F.get(f, 0), -4, 4)) == "year"
     reason = (F.when(F.trim(v) == "", F.lit("blank_line"))
                .when(F.size(f) < FLIGHT_MIN_FIELDS, F.lit("short_line")))
-    spreaded = spread(lines)
-    keep = [SLICE] if SLICE in spreaded.columns else []
-    staged = spreaded.select("value", *keep, f.alias("_f"))
-    p = _finish(staged, reason.otherwise(F.lit(None)), flight_columns("_f"), skip=header)
-    return p
+    return _finish(_stage(lines.select("value"), _split_like_jvm(v, ",", ",")), reason, flight_columns(PARTS),
+                   skip=F.coalesce(header, F.lit(False)))
 
 
 def parse_airports(lines: DataFrame) -> Parsed:
     """Quoted airport lines by pattern (B5): header skipped; fields trimmed;
     lat / lng go through float precision. A line that does not match, or
     whose coordinates are not numbers, is a reject."""
-    lines = spread(lines)
     v = F.col("value")
-    g = [F.regexp_extract(v, AIRPORT_LINE_PATTERN, i) for i in range(1, 8)]
+    lines = _stage(lines.filter(~v.rlike(AIRPORT_HEADER_PATTERN)),
+                   F.array(*[F.regexp_extract(v, AIRPORT_LINE_PATTERN, i) for i in range(1, 8)]))
+    g = [F.get(F.col(PARTS), i) for i in range(7)]
     lat = jvm_trim(g[5]).try_cast("float").cast("double")
     lng = jvm_trim(g[6]).try_cast("float").cast("double")
-    matches = v.rlike(AIRPORT_LINE_PATTERN)
+    matches = g[0] != ""  # the first field has a character in any line that matches
     reason = (F.when(~matches, F.lit("bad_line"))
                .when(lat.isNull() | lng.isNull(), F.lit("bad_number")))
     names = schemas.AIRPORT.fieldNames()
     rows = [jvm_trim(g[i]).alias(names[i]) for i in range(5)] + [lat.alias("lat"), lng.alias("lng")]
-    return _finish(lines, reason, rows, skip=v.rlike(AIRPORT_HEADER_PATTERN))
+    return _finish(lines, reason, rows)
 
 
 def parse_id_payload(lines: DataFrame) -> Parsed:
     """``id::payload`` lines (B6); the payload keeps any later ``::``."""
-    lines = spread(lines)
-    v = F.col("value")
-    f = F.split(v, ID_PAYLOAD_SEPARATOR, 2)
+    v, f = F.col("value"), F.col(PARTS)
+    lines = _stage(lines, F.split(v, ID_PAYLOAD_SEPARATOR, 2))
     rid = F.get(f, 0).try_cast("long")
     reason = (F.when(F.size(f) < 2, F.lit("short_line"))
                .when(rid.isNull(), F.lit("bad_id")))

@@ -16,14 +16,21 @@ data: only for bounded inputs, e.g. an ``availableNow`` catch-up run).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from weft.functions.columns import epoch_micros
 from weft.operators.sessions import DEFAULT_GAP, SessionSpec
 
-LOCAL_MERGE = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
+# Session settings the stream is started with (and left as they were after):
+# partial sessions merge inside a partition, and state lives on disk.
+STREAM_SETTINGS = {
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
 
 
 def file_stream(spark: SparkSession, directory: str, schema: T.StructType, fmt: str = "parquet",
@@ -39,12 +46,17 @@ def file_stream(spark: SparkSession, directory: str, schema: T.StructType, fmt:
 
 def gap_sessions(stream: DataFrame, spec: SessionSpec, gap: str = DEFAULT_GAP,
                  watermark: str = "1 hour") -> DataFrame:
-    """Streaming gap sessions; one row per (visitor, session window)."""
-    spark = stream.sparkSession
-    spark.conf.set(LOCAL_MERGE, "true")
+    """Streaming gap sessions; one row per (visitor, session window).
+
+    Rows without a visitor or a time are left out, as in the batch form.
+    ``watermark`` is how late a row may come: in append mode a row that is
+    later than that behind the latest time of earlier micro-batches is
+    dropped by the state operator and counted (``late_rows``). Choose it for the source."""
     kinds = F.col(spec.kind)
-    ev = (stream.filter(kinds.isin(spec.pageview, spec.click))
-                .withColumn("_et", F.col(spec.ts).cast("timestamp"))
+    ts_type = stream.schema[spec.ts].dataType
+    # the zone-free time as microseconds since the epoch: no session time zone is involved
+    ev = (stream.filter(kinds.isin(spec.pageview, spec.click) & F.col(spec.user).isNotNull() & F.col(spec.ts).isNotNull())
+                .withColumn("_et", F.timestamp_micros(epoch_micros(spec.ts, ts_type)))
                 .withWatermark("_et", watermark))
     order = F.struct(F.col("_et"), F.col(spec.order))
     first = F.struct(F.col("_et"), F.col(spec.order), *[F.col(c) for c in spec.first])
@@ -56,11 +68,16 @@ def gap_sessions(stream: DataFrame, spec: SessionSpec, gap: str = DEFAULT_GAP,
                   F.min_by(F.col(spec.order), order).alias("first_order"),
                   F.min(first).alias("_first"),
                   F.min(F.when(kinds == spec.pageview, land)).alias("_land")))
-    ts_type = stream.schema[spec.ts].dataType
+    def zone_free(end: Column) -> Column:
+        if not isinstance(ts_type, T.TimestampNTZType):
+            return end
+        micros = F.unix_micros(end)
+        return F.timestamp_add("MICROSECOND", micros, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+
     return agg.select(
         spec.user,
-        F.col("_w.start").cast(ts_type).alias("session_start"),
-        F.col("_w.end").cast(ts_type).alias("session_end"),
+        zone_free(F.col("_w.start")).alias("session_start"),
+        zone_free(F.col("_w.end")).alias("session_end"),
         "first_order",
         *[F.col(f"_first.{c}").alias(c) for c in spec.first],
         *[F.col(f"_land.{c}").alias(f"landing_{c}") for c in spec.landing],
@@ -73,6 +90,24 @@ def write_parquet(sessions: DataFrame, output: str, checkpoint: str, mode: str =
     ``complete`` replaces the folder with the full result each trigger. The
     checkpoint makes the query restartable after a failure (exactly-once
     file output for append through the file sink's log)."""
+    spark = sessions.sparkSession
+    before = {k: spark.conf.get(k, None) for k in STREAM_SETTINGS}
+    for k, v in STREAM_SETTINGS.items():
+        spark.conf.set(k, v)
+    try:
+        return _start(sessions, output, checkpoint, mode, available_now, processing_time)
+    finally:  # a started query keeps the settings it began with
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that the state operators dropped as later than the watermark."""
+    return sum(int(op.numRowsDroppedByWatermark) for p in query.recentProgress for op in p.stateOperators)
+
+
+def _start(sessions: DataFrame, output: str, checkpoint: str, mode: str, available_now: bool,
+           processing_time: str | None) -> StreamingQuery:
     if mode == "append":
         w = (sessions.writeStream.outputMode("append").format("parquet")
              .option("path", output).option("checkpointLocation", checkpoint))
