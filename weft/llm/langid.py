@@ -155,9 +155,15 @@ def sample(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
     text = F.col(text_col).cast("binary")
     spread = F.xxhash64(F.col(id_col))
     start = F.pmod(spread, F.greatest(F.octet_length(text) - EXCERPT, F.lit(0)) + 1).cast("int") + 1
-    found = (docs.where(learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-             .select(F.col(lang_col).alias("lang"), spread.alias("spread"), F.substring(text, start, F.lit(EXCERPT)).alias("excerpt"))
-             .withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("spread", "excerpt")))
+    labelled = docs.where(learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
+    # of large languages only the lowest hashes, about four times as many as are kept, meet in one place
+    large = {r[0]: r[1] for r in labelled.groupBy(lang_col).count().where(F.col("count") > 4 * rows).collect()}
+    if large:
+        share = F.create_map(*(F.lit(x) for lang, n in sorted(large.items()) for x in (lang, 4.0 * rows / n)))
+        low = F.pmod(spread, F.lit(1 << 30)) < F.coalesce(share[F.col(lang_col)], F.lit(1.0)) * (1 << 30)
+        labelled = labelled.where(low)
+    found = (labelled.select(F.col(lang_col).alias("lang"), spread.alias("spread"), F.substring(text, start, F.lit(EXCERPT)).alias("excerpt"))
+             .withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("spread", F.lit(1 << 30)), "spread", "excerpt")))
              .where(F.col("place") <= rows).orderBy("lang", "place").collect())
     return [bytes(r["excerpt"]) for r in found], [r["lang"] for r in found]
 
