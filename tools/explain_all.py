@@ -3,7 +3,8 @@
     python tools/explain_all.py [sf_dir] [out_dir]
 
 Plans are taken before execution (AQE shows its initial plan); they show
-the pushed filters, read schemas, exchanges and aggregate modes.
+the pushed filters, read schemas, exchanges and aggregate modes. A plan that
+a query checkpoints on the way is written before the final one.
 """
 
 from __future__ import annotations
@@ -15,7 +16,9 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from pyspark.sql.classic.dataframe import DataFrame  # noqa: E402
+
+from weft.plans import catalog  # noqa: E402
 from weft.session import get_spark  # noqa: E402
 
 SKIP = {"streaming_gap_sessions"}  # its plan lives in the streaming query, not the read-back
@@ -26,7 +29,15 @@ def main() -> None:
     out = sys.argv[2] if len(sys.argv) > 2 else os.path.join(os.path.dirname(__file__), "..", "docs", "plans")
     os.makedirs(out, exist_ok=True)
     spark = get_spark("local[8]", 8)
-    for name, fn in E.queries().items():
+    checkpoint = DataFrame.checkpoint
+
+    def shown(df: DataFrame, *args, **kwargs) -> DataFrame:
+        print("== Checkpointed on the way ==")
+        df.explain("formatted")
+        return checkpoint(df, *args, **kwargs)
+
+    DataFrame.checkpoint = shown
+    for name, fn in catalog.QUERIES.items():
         if name in SKIP:
             continue
         buf = io.StringIO()
