@@ -805,9 +805,10 @@ def parquet_sink_roundtrip(spark, sf_dir):
 # --------------------------------------------------------------------------
 
 def streaming_gap_sessions(spark, sf_dir):
-    """Gap sessions computed by a Structured Streaming query (watermark +
-    session window, state in the checkpoint folder), run to completion over
-    the available ``events`` file, then read back."""
+    """Gap sessions computed by a Structured Streaming query in append mode
+    (watermark + session window, state on disk and in the checkpoint folder),
+    run to completion over the available ``events`` and an end mark that closes
+    the last sessions, then read back."""
     from weft.streaming import sessions as streaming
 
     events = _t(spark, sf_dir, "events")
@@ -819,8 +820,10 @@ def streaming_gap_sessions(spark, sf_dir):
         stream = streaming.file_stream(spark, sf_dir.rstrip("/"), events.schema, glob="events.parquet")
     spec = SessionSpec(user="user_id", ts="ts", order="event_id", kind="event_type",
                        pageview="view", click="click", first=("value",))
-    out, ck = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ck")
-    q = streaming.write_parquet(streaming.gap_sessions(stream, spec), out, ck, mode="complete",
+    out, ck, end = (scratch_path(spark, f"stream-{x}") for x in ("out", "ck", "end"))
+    streaming.write_end_mark(events, spec, end)
+    stream = stream.union(streaming.file_stream(spark, end, events.schema))
+    q = streaming.write_parquet(streaming.gap_sessions(stream, spec), out, ck, mode="append",
                                 available_now=True)
     q.awaitTermination()
     return spark.read.parquet(out)

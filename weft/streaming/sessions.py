@@ -84,6 +84,18 @@ def gap_sessions(stream: DataFrame, spec: SessionSpec, gap: str = DEFAULT_GAP,
         "event_count", "pageview_count", "click_count")
 
 
+def write_end_mark(events: DataFrame, spec: SessionSpec, path: str, after: str = "2 days") -> None:
+    """One row of the events' schema, of no visitor's, ``after`` beyond their last
+    time, as Parquet. A bounded append run that reads it beside the events has
+    its watermark pass every session's end, so all of them are closed and written;
+    the mark's own session stays open and is not."""
+    kinds = {f.name: f.dataType for f in events.schema.fields}
+    mark = {spec.user: F.lit(-1 if not isinstance(kinds[spec.user], T.StringType) else "").cast(kinds[spec.user]),
+            spec.kind: F.lit(spec.click).cast(kinds[spec.kind]), spec.ts: F.col("_last")}
+    last = events.agg((F.max(spec.ts) + F.expr(f"INTERVAL {after}")).alias("_last"))
+    last.select(*[mark.get(n, F.lit(None).cast(t)).alias(n) for n, t in kinds.items()]).write.mode("overwrite").parquet(path)
+
+
 def write_parquet(sessions: DataFrame, output: str, checkpoint: str, mode: str = "append",
                   available_now: bool = False, processing_time: str | None = None) -> StreamingQuery:
     """Run the stream into Parquet. ``append`` adds closed sessions;
