@@ -25,11 +25,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write to a fresh folder of the shared checkpoint folder and read it back."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -54,6 +54,12 @@ def read_range(file, offset: int, size: int) -> bytes:
     return data
 
 
+def raw_bytes(value) -> bytes:
+    """The bytes of an Arrow string or binary value, valid UTF-8 or not; null is empty."""
+    buffer = value.as_buffer() if value.is_valid else None
+    return b"" if buffer is None else buffer.to_pybytes()
+
+
 def by_size(batch, column: str, size: int):
     """Slices of a record batch whose values in a binary column make up about ``size``
     bytes; a value larger than that is a slice of its own."""

@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from weft.llm.common import by_size, canonical_words, materialise, table
 
 ORDER = 5
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 48 << 20
 CHUNK_BYTES = 2 << 20
 END = 0x0A
 LOG10 = math.log(10.0)
@@ -335,7 +335,7 @@ def score_texts(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str
     rows = _blocks(docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("text"),
                                F.coalesce(held_out, F.lit(False)).alias("held_out")), block_bytes)
     n_train = rows.where("not held_out").count()
-    counted = materialise(rows.select("block", "held_out", "text").mapInArrow(_counter(order), COUNT_SCHEMA), "ppm-counts")
+    counted = materialise(rows.select("block", "held_out", "text").mapInArrow(_counter(order), COUNT_SCHEMA), "ppm-counts", "zstd")
     # one exchange: the sums and the blocks' own rows read the same columns of it
     asked = counted.where("gram is not null").select("block", "gram", "n").repartition("gram")
     words = counted.where("word is not null").select("block", "word", "n")
@@ -346,7 +346,8 @@ def score_texts(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str
     model = (asked.groupBy("gram").agg(F.sum("n").alias("n"), F.max("block").alias("block")).where("block is not null")
              .select("gram", "n").groupBy(F.shiftright("gram", 8).bitwiseAND(0xFFFF))
              .applyInArrow(_modeller(low, order), "gram long, value float"))
-    found = asked.where("n >= 0").join(model, "gram")
+    # n is kept on this side too (a filter on it would go below the exchange and make another one)
+    found = asked.join(model, "gram").withColumn("value", F.when(F.col("n") >= 0, F.col("value")))
     word = Window.partitionBy("word")
     total = (words.withColumn("value", F.sum("n").over(word)).withColumn("place", F.row_number().over(word.orderBy("block")))
              .select("block", F.lit(None).cast("long").alias("gram"), "word", F.col("value").cast("double").alias("value"),
