@@ -47,7 +47,7 @@ def test_bpe_of_very_long_pre_tokens(codec, theirs):
     for text in ("a" * 40_000, "xyz" * 9_000 + "Straße" * 3_000, "\n" * 5_000 + " " * 5_000 + "."):
         assert codec.encode(text).tolist() == theirs.encode_ordinary(text)
     for piece in (b"thethethe" * 50, b"a" * 999, "ß漢".encode() * 40):  # the one-by-one merge
-        assert codec.merge(piece) == codec.encode_all([piece.decode()]).__next__().tolist() or b" " in piece
+        assert codec.merge(piece) == codec.encode(piece.decode()).tolist()
 
 
 def test_merge_order_with_ranks_that_fall():

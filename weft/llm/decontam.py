@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm.common import table
+from weft.llm.common import raw_bytes, table
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -212,7 +212,7 @@ def drop_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text") -> Dat
 
         def run(found: Iterable[pa.RecordBatch], index: ItemIndex = index) -> Iterator[pa.RecordBatch]:
             for batch in found:
-                yield batch.filter(pa.array([not index.matches(t.as_py() or "") for t in batch.column(place)], pa.bool_()))
+                yield batch.filter(pa.array([not index.matches(raw_bytes(t).decode("utf-8", "replace")) for t in batch.column(place)], pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)
     return docs

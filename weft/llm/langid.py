@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from weft.llm.common import table
+from weft.llm.common import raw_bytes, table
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -228,7 +228,7 @@ def keep_known(docs: DataFrame, least: float = 0.5, text_col: str = "text") -> D
 
     def run(found: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in found:
-            langs, scores = classify(model, ((t.as_py() or "").encode() for t in batch.column(place)))
+            langs, scores = classify(model, map(raw_bytes, batch.column(place)))
             yield batch.filter(pa.array([x != UNKNOWN and s >= least for x, s in zip(langs, scores, strict=True)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
