@@ -46,7 +46,7 @@ from weft.llm.common import by_size, canonical_words, materialise, table
 
 ORDER = 5
 BLOCK_BYTES = 48 << 20
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 END = 0x0A
 LOG10 = math.log(10.0)
 
