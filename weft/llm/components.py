@@ -16,18 +16,22 @@ from pyspark.sql import functions as F
 from weft.llm.common import materialise
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """edges (a, b) with a > b; returns such edges to each node's minimum."""
-    if large:
-        near = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a"))
-        least = near.groupBy("u").agg(F.min("v").alias("m"))
-        linked = (near.where("v > u").join(least, "u").select(F.col("v").alias("a"), F.least("u", "m").alias("b")))
-    else:
-        near = edges.select(F.col("a").alias("u"), F.col("b").alias("v"))
-        least = near.groupBy("u").agg(F.min("v").alias("m"))
-        linked = (near.join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
-                  .union(least.select("u", "m")))
-    return linked.where("a > b").distinct()
+def _least(links: DataFrame) -> DataFrame:
+    """The smallest neighbour of each node that has a smaller one."""
+    return links.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m"))
+
+
+def _large_star(links: DataFrame) -> DataFrame:
+    """Each node's larger neighbours go to its smallest neighbour. (A node is the smaller
+    end of the links to its larger neighbours, so each link moves its smaller end.)"""
+    return links.join(_least(links), F.col("b") == F.col("u"), "left").select("a", F.coalesce("m", "b").alias("b")).distinct()
+
+
+def _small_star(links: DataFrame) -> DataFrame:
+    """A node and its smaller neighbours go to the smallest of them."""
+    least = _least(links)
+    return (links.join(least, F.col("a") == F.col("u")).where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+            .union(least)).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -37,7 +41,7 @@ def components(edges: DataFrame) -> DataFrame:
     links = materialise(links, "links")
     before = None
     while True:
-        links = materialise(_star(_star(links, True), False), "links")
+        links = materialise(_small_star(_large_star(links)), "links")
         now = tuple(links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if now == before or not now[0]:
             break
