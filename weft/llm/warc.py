@@ -172,7 +172,10 @@ def read_warc(index: DataFrame, payloads: bool = True) -> DataFrame:
             file.close()
 
     part = (F.col("offset") / SPLIT_BYTES).cast("long")
-    return (index.select("path", "offset", "length").repartition("path", part).sortWithinPartitions("path", "offset")
+    # a set number of partitions: the index is small beside the records it leads to, so
+    # partitions joined by its size would read too much each
+    n = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (index.select("path", "offset", "length").repartition(n, "path", part).sortWithinPartitions("path", "offset")
             .mapInArrow(read, RECORD_SCHEMA))
 
 
