@@ -37,8 +37,8 @@ from pyspark.sql import functions as F
 
 from weft.llm.common import by_size, open_store, table
 
-CACHED_CHUNKS = 400_000
-BATCH_BYTES = 6 << 20
+CACHED_CHUNKS = 200_000
+BATCH_BYTES = 2 << 20
 # White space of the pre-token pattern's \s, as the inside of a character class.
 SPACE = r"\t-\r \x85\xa0  -     　"
 SPACES = frozenset("\t\n\x0b\x0c\r \x85\xa0     　") | {chr(c) for c in range(0x2000, 0x200B)}
@@ -276,6 +276,10 @@ class BytePairCodec:
         for own in cuts:
             yield np.frombuffer(b"".join(map(known.__getitem__, own)), np.int32)
 
+    def forget(self) -> None:
+        """Give the memory of chunks back."""
+        self.known, self.old = {}, {}
+
     def encode(self, text: str) -> np.ndarray:
         return next(self.encode_all([text]))
 
@@ -324,7 +328,7 @@ _CODECS: dict = {}
 
 
 def _own(make_codec: Callable[[], BytePairCodec]) -> BytePairCodec:
-    """One codec for each Python worker, kept from task to task."""
+    """One codec for each Python worker; its tables are kept from task to task."""
     key = (make_codec.__module__, make_codec.__qualname__)
     if key not in _CODECS:
         _CODECS[key] = make_codec()
@@ -343,6 +347,8 @@ def _mapped(docs: DataFrame, make_codec, id_col: str, text_col: str, kinds: str,
                     ids = list(islice(encoded, 64))
                     yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id").slice(at, 64),
                                                       **columns(ids, [codec.decode(x) for x in ids])})
+        if codec is not None:
+            codec.forget()  # the worker may serve other stages next
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     return rows.mapInArrow(run, f"doc_id {docs.schema[id_col].dataType.simpleString()}, {kinds}")
