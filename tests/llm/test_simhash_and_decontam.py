@@ -200,6 +200,20 @@ def test_leaks_with_items_in_blocks_and_empty_tables(spark, monkeypatch):
     assert decontam.drop_leaks(df, bench.where("false")).count() == df.count()
 
 
+@pytest.mark.parametrize("n", [200, 400])
+@pytest.mark.parametrize("around", ["distinct", "repeated"])
+def test_long_items_cut_inside_unknown_words_are_found(n, around):
+    rnd = random.Random(n)
+    items = [(k, " ".join(rnd.choice(WORDS) for _ in range(n))) for k in range(20)]
+    index = decontam.ItemIndex(items)
+    rest = [f"fremd{k}" if around == "distinct" else "fremd" for k in range(2 * n)]
+    for k, text in items:
+        doc = " ".join([*rest[:n], *text.split()[: int(n * 0.9) + 1], *rest[n:]])
+        ((found, similarity, *_),) = index.matches(doc)
+        assert found == k and 0.8 <= similarity < 0.9
+    assert brute_leaks([(0, doc)], items[-1:]) == {(0, k)}
+
+
 def test_multi_index_finds_every_item_within_the_radius():
     index = decontam.ItemIndex(_leak_cases()[1])
     rng = np.random.default_rng(6)
