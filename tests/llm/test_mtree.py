@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -50,6 +51,28 @@ def test_few_rows_and_empty_table(spark):
     assert mtree.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.lit(True)).count() == 0
 
 
+def test_repeated_ids_equal_the_sql(spark, monkeypatch):
+    monkeypatch.setattr(mtree, "PIVOT_ROWS", 20)
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(0, 1, 4).astype(np.float32).tolist()) for i in range(150)]
+    rows += [rows[0]] * 2 + [rows[20]] * 24 + [rows[7]] * 2 + [rows[8]] * 30  # copies of queries and of candidates
+    rows += [(40, rng.normal(0, 3, 4).astype(np.float32).tolist()) for _ in range(25)]  # one id, many vectors
+    rows += [(60, rows[0][1]), (61, rows[0][1]), (60, rows[20][1])]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE embeddings (vec_id BIGINT, embedding FLOAT[])")
+    con.executemany("INSERT INTO embeddings VALUES (?, ?)", rows)
+    want = sorted(con.execute(mtree.OP8_SQL).fetchall())
+    assert {q for q, *_ in want} == set(range(0, 150, 20)) and len(want) == 8 * 20
+    assert _run(spark, rows, every=20) == want
+
+
+def test_three_copies_of_a_query_keep_k_rows(spark):
+    rows = [(i, [float(i % 17), 1.0]) for i in range(1, 60)]
+    once = [(0, [9.0, 0.5]), *rows]
+    assert [r[1:] for r in _run(spark, once * 3, k=20, every=100)] == [
+        (n + 1, i, s) for n, (i, s) in enumerate([(i, s) for _, _, i, s in brute(once, 20, 100) for _ in range(9)][:20])]
+
+
 def test_tree_bounds_hold_and_search_skips_pages():
     rng = np.random.default_rng(3)
     centres = rng.normal(0, 30, (20, 6))

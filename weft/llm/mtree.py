@@ -5,8 +5,8 @@ one more component sqrt(M^2 - |v|^2) and a query q a zero; then the squared Eucl
 distance is |q|^2 + M^2 - 2 q.v, so the nearest neighbours are those of the largest inner
 product, and a metric tree finds them. Distances only steer the search; scores are exact integers.
 
-1. Equal vectors are one entry that keeps its k + 1 smallest ids (no query can return
-   more of them). The entries are dealt to the nearest of at most ``PIVOTS`` pivots, and a pivot's
+1. Equal vectors are one entry that keeps the smallest ids, k rows of an id at most, until
+   k are left without any one id (no query can return more of them). The entries are dealt to the nearest of at most ``PIVOTS`` pivots, and a pivot's
    entries, if more than ``TREE_ROWS``, to several trees by a hash.
 2. A task builds each M-tree from pages of at most ``PAGE`` entries: an entry has the distance
    to its page's router, a page its covering radius.
@@ -14,13 +14,15 @@ product, and a metric tree finds them. Distances only steer the search; scores a
    bounds its k-th score; then those trees whose pivot distance less covering radius does
    not exceed that bound. Inside a tree pages are visited best first; an entry is passed over
    without computing its distance where the stored distance to the router bounds it away (triangle inequality).
-4. Queries meet trees in blocks of at most ``QUERY_ROWS``; each (tree, block) gives its best k + 1
-   ids for each query, and these are ranked together.
+4. Queries meet trees in blocks of at most ``QUERY_ROWS``; each (tree, block) gives for each query
+   its best k ids and as many more as the query's own id has rows, and these are ranked together.
 
 Vectors that are null, or hold a null or a component that is not finite, take no part.
 Shorter vectors count as padded with zeros. Scaled components must be below 2^24 in
 magnitude, so that all sums are exact. Null ids take no part. Rows that repeat an id are
-candidates of their own; a query never returns its own id. No queries or candidates: no rows."""
+candidates of their own, and query rows that repeat an id are ranked together under that id,
+each with all its candidates, as OP8_SQL does; a query never returns its own id.
+No queries or candidates: no rows."""
 
 from __future__ import annotations
 
@@ -168,12 +170,12 @@ def _lifted(points: np.ndarray, top: float) -> np.ndarray:
 
 
 TREE_KEY = "pivot long, tree long, block long"
-HIT_SCHEMA = "query long, vec_id long, score long"
+HIT_SCHEMA = "query long, need long, vec_id long, score long"
 
 
-def _searcher(k: int, dims: int, top: float):
+def _searcher(dims: int, top: float):
     def search(trees: pa.Table, queries: pa.Table) -> pa.Table:
-        empty = pa.table({n: pa.array([], pa.int64()) for n in ("query", "vec_id", "score")})
+        empty = pa.table({n: pa.array([], pa.int64()) for n in ("query", "need", "vec_id", "score")})
         if not len(trees) or not len(queries):
             return empty
         trees, queries = trees.combine_chunks(), queries.combine_chunks()
@@ -182,17 +184,18 @@ def _searcher(k: int, dims: int, top: float):
         tree = MTree(_lifted(points, top))
         wanted = _matrix(queries.column("v").chunk(0), dims)
         known = np.asarray(queries.column("kth")).astype(np.float64)
-        out_q, out_v, out_s = [], [], []
-        for number, q, kth in zip(queries.column("query").to_pylist(), wanted, known, strict=True):
+        out_q, out_n, out_v, out_s = [], [], [], []
+        for number, need, q, kth in zip(queries.column("query").to_pylist(), queries.column("need").to_pylist(), wanted, known, strict=True):
             size = float((q ** 2).sum()) + top
             rows, scores = tree.search(
-                np.append(q, 0.0), lambda r, q=q: points[r] @ q, k, kth,
+                np.append(q, 0.0), lambda r, q=q: points[r] @ q, need, kth,
                 lambda s, size=size: math.inf if s == -math.inf else math.sqrt(max(size - 2 * s, 0.0)) * (1 + SLACK) + SLACK)
-            hits = sorted((-int(s), i) for r, s in zip(rows.tolist(), scores.tolist(), strict=True) for i in ids[r])[:k]
+            hits = sorted((-int(s), i) for r, s in zip(rows.tolist(), scores.tolist(), strict=True) for i in ids[r])[:need]
             out_q.extend([number] * len(hits))
+            out_n.extend([need] * len(hits))
             out_v.extend(i for _, i in hits)
             out_s.extend(-s for s, _ in hits)
-        return pa.table({"query": pa.array(out_q, pa.int64()), "vec_id": pa.array(out_v, pa.int64()), "score": pa.array(out_s, pa.int64())})
+        return pa.table({"query": pa.array(out_q, pa.int64()), "need": pa.array(out_n, pa.int64()), "vec_id": pa.array(out_v, pa.int64()), "score": pa.array(out_s, pa.int64())})
 
     return search
 
@@ -200,18 +203,22 @@ def _searcher(k: int, dims: int, top: float):
 def top_k(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: for each query row the k other rows of the highest
     inner product, ties to the smaller id."""
-    spark, need = vectors.sparkSession, k + 1
     rows = (vectors.select(F.col(id_col).cast("long").alias("vec_id"), scaled(vector_col).alias("v"), F.coalesce(is_query, F.lit(False)).alias("asks"))
             .where("v is not null and vec_id is not null"))
     rows = materialise(rows, "vectors")
     square = F.aggregate("v", F.lit(0).cast("double"), lambda a, x: a + x * x)
     dims, top = rows.agg(F.max(F.size("v")), F.max(square)).first()
     dims, top = dims or 1, float(top or 0)
-    entries = (rows.withColumn("place", F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))).where(F.col("place") <= need)
-               .groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")))
+    # rows of one id and vector; no query returns more than k of them
+    same = materialise(rows.groupBy("v", "vec_id").agg(F.least(F.count("*"), F.lit(k)).alias("n"), F.least(F.count_if("asks"), F.lit(k)).alias("asked")), "same")
+    before = F.sum("n").over(Window.partitionBy("v").orderBy("vec_id")) - F.col("n")
+    entries = (same.withColumn("before", before).where(F.col("before") < 2 * k)
+               .groupBy("v").agg(F.sort_array(F.flatten(F.collect_list(F.array_repeat("vec_id", F.col("n").cast("int"))))).alias("ids")))
     entries = materialise(entries, "entries")
-    asked = (rows.where("asks").groupBy("v").agg(F.min("vec_id").alias("query")))  # the smallest id names equal queries
-    queries = materialise(asked, "queries")
+    own_rows = same.groupBy("vec_id").agg(F.sum("n").alias("own"), F.sum("asked").alias("asked")).where("asked > 0").select("vec_id", "own")
+    asked = (same.where("asked > 0").join(own_rows, "vec_id").groupBy("v")
+             .agg((F.max("own") + k).alias("need")))
+    queries = materialise(asked.withColumn("query", F.monotonically_increasing_id()), "queries")  # a number for equal queries
 
     # at most PIVOTS pivots, whatever the size
     n = entries.count()
@@ -261,26 +268,27 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_
                     go[np.arange(len(q)), home] = False
                     row, pivot = np.nonzero(go)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("query").take(pa.array(row)), batch.column("v").take(pa.array(row)), pa.array(kth[row]), pa.array(pivot, pa.int64())],
-                    ["query", "v", "kth", "pivot"])
+                    [batch.column("query").take(pa.array(row)), batch.column("need").take(pa.array(row)), batch.column("v").take(pa.array(row)), pa.array(kth[row]), pa.array(pivot, pa.int64())],
+                    ["query", "need", "v", "kth", "pivot"])
         return route
 
     def visit(asking: DataFrame, first: bool) -> DataFrame:
-        sent = (asking.mapInArrow(routed(first), "query long, v array<long>, kth double, pivot long")
+        sent = (asking.mapInArrow(routed(first), "query long, need long, v array<long>, kth double, pivot long")
                 .withColumn("tree", F.explode(F.sequence(F.lit(0).cast("long"), (tree_count - 1).cast("long"))))
                 .withColumn("block", F.pmod(F.xxhash64("query"), F.lit(blocks)).cast("long")))
         stored = forest.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
         key = ["pivot", "tree", "block"]
-        return stored.groupBy(*key).cogroup(sent.groupBy(*key)).applyInArrow(_searcher(need, dims, top), HIT_SCHEMA)
+        return stored.groupBy(*key).cogroup(sent.groupBy(*key)).applyInArrow(_searcher(dims, top), HIT_SCHEMA)
 
     ranked = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     near = materialise(visit(queries, True), "hits")
-    bound = (near.withColumn("place", F.row_number().over(ranked)).where(F.col("place") == need).select("query", F.col("score").cast("double").alias("kth")))
-    asking = queries.join(bound, "query", "left").select("query", "v", F.coalesce("kth", F.lit(float("-inf"))).alias("kth"))
+    bound = (near.withColumn("place", F.row_number().over(ranked)).where(F.col("place") == F.col("need")).select("query", F.col("score").cast("double").alias("kth")))
+    asking = queries.join(bound, "query", "left").select("query", "need", "v", F.coalesce("kth", F.lit(float("-inf"))).alias("kth"))
     hits = near.union(visit(asking, False))
-    best = hits.withColumn("place", F.row_number().over(ranked)).where(F.col("place") <= need).select("query", "vec_id", "score")
+    best = hits.withColumn("place", F.row_number().over(ranked)).where(F.col("place") <= F.col("need")).select("query", "vec_id", "score")
     # every query row of a search takes its result, without its own id
-    named = rows.where("asks").select(F.col("vec_id").alias("query_id"), "v").distinct().join(queries, "v").select("query_id", "query")
+    named = (same.where("asked > 0").join(queries, "v")
+             .select(F.col("vec_id").alias("query_id"), "query", F.explode(F.sequence(F.lit(1).cast("long"), "asked")).alias("copy")))
     own = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (named.join(best, "query").where("vec_id <> query_id").withColumn("rank", F.row_number().over(own)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
