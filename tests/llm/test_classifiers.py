@@ -103,3 +103,14 @@ def test_quality_of_odd_rows(spark):
     assert rules.score_quality(docs.where("false"), labels).count() == 0
     kept = rules.keep_good(docs, labels.where("false"))
     assert kept.columns == docs.columns and kept.count() == len(rows)
+
+
+def test_recognised_texts_stay_whatever_their_score(spark):
+    words = {"en": "the water runs under old bridges ", "ru": "вода течёт под старым мостом ", "el": "το νερό τρέχει κάτω από τη γέφυρα "}
+    mixed = "".join((w * 40)[:len(w) * 12] for w in words.values())
+    rows = [(k, words[lang] * 12, lang) for k, lang in enumerate([*words] * 40)] + [(900, mixed, None), (901, "12 - 34", None), (902, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {r.doc_id for r in langid.keep_known(docs).collect()} == {i for i, _, _ in rows} - {901, 902}
+    model = langid.train(*langid.sample(docs, ~langid.third_held_out()))
+    (name,), (score,) = langid.classify(model, [mixed.encode()])
+    assert name != "und" and score < 0.5

@@ -221,8 +221,9 @@ def predict(docs: DataFrame, model: ByteCNN | None, id_col: str = "doc_id", text
     return rows.mapInArrow(run, schema)
 
 
-def keep_known(docs: DataFrame, least: float = 0.5, text_col: str = "text") -> DataFrame:
-    """The documents whose language is recognised with a score of at least ``least``, with all their columns."""
+def keep_known(docs: DataFrame, least: float = 0.0, text_col: str = "text") -> DataFrame:
+    """The documents whose language is recognised (not ``und``), with all their columns; with
+    ``least``, those of at least that score."""
     model = train(*sample(docs, ~F.coalesce(third_held_out(), F.lit(False))))
     place = docs.columns.index(text_col)
 
