@@ -108,6 +108,18 @@ def test_chunk_encoder_equals_the_library(texts):
     assert [np.frombuffer(x, "<u4").tolist() for x in got] == [e.ids for e in whole.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_special_strings_are_tokens_as_in_the_plain_call(monkeypatch):
+    texts = ["a <|endoftext|> b", "a<|endoftext|>b", "<|ENDOFTEXT|> x", "<|startoftext|><|endoftext|>", "<|endoftext|", "The END<|startoftext|>'s <|endoftext|>,\n(c", ""]
+    plain = Tokenizer.from_file(WORDS)
+    want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert want[0] == [320, 49407, 321]
+    monkeypatch.setattr(token_files, "CACHED_CHUNKS", 3)  # memory is turned over on the way
+    encode = token_files.ChunkEncoder(WORDS)
+    for _ in range(3):
+        assert [np.frombuffer(x, "<u4").tolist() for t in texts for x in encode([t.encode()])] == want
+    assert [np.frombuffer(x, "<u4").tolist() for x in encode([t.encode() for t in texts])] == want
+
+
 def test_token_files_round_trip(spark):
     manifest = token_files.write_token_files(_docs(spark), scratch_path(spark, "t"), lambda: token_files.tokenizer_encoder(WORDS))
     got = sorted(tuple(r) for r in token_files.read_token_files(manifest).select("start", "n_tokens", "ids_crc32").collect())

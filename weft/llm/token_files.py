@@ -24,6 +24,7 @@ Repeated ids keep one entry for each row. An empty table has no files and no row
 from __future__ import annotations
 
 import os
+import re
 import string
 import struct
 import zlib
@@ -147,18 +148,22 @@ class ChunkEncoder:
     For tokenizers that lower-case, end each word in a token with ``</w>``, and never join
     text across ASCII white space or between a letter and ASCII punctuation. A text is
     encoded by its white-space-free chunks. Chunks met before come from a bounded memory; of new ones the
-    words are encoded many in a call, and their ids are told apart by the word ends."""
+    words are encoded many in a call, and their ids are told apart by the word ends.
+    The exact strings of special tokens are cut out first and become these tokens, as in the library's plain call."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = True  # what is left, in other letter case, is ordinary text
+        special = {t.content.encode(): i for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special}
+        self.apart = re.compile(b"(%s)" % b"|".join(map(re.escape, sorted(special, key=len, reverse=True)))) if special else None
+        self.special = {b" " + s: struct.pack("<I", i) for s, i in special.items()}  # no chunk has a space
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.known: dict[bytes, bytes] = {}
+        self.known: dict[bytes, bytes] = dict(self.special)
         self.old: dict[bytes, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
@@ -197,12 +202,19 @@ class ChunkEncoder:
         words[""] = others[""] = b""
         known.update((c, words[w] + others[r]) for c, (w, r) in zip(chunks, parts, strict=True))
 
+    def _chunks(self, text: bytes) -> list[bytes]:
+        """Lower-cased chunks; special tokens with a space before."""
+        parts = self.apart.split(text) if self.apart else [text]
+        if len(parts) == 1:
+            return lower_ascii(text).split()
+        return [c for k, part in enumerate(parts) for c in ([b" " + part] if k % 2 else lower_ascii(part).split())]
+
     def __call__(self, texts: list[bytes]) -> list[bytes]:
-        split = [lower_ascii(t).split() for t in texts]
+        split = [self._chunks(t) for t in texts]
         new = set().union(*split).difference(self.known)
         if len(self.known) + len(new) > CACHED_CHUNKS:
-            self.old, self.known = self.known, {}
-            new = set().union(*split)
+            self.old, self.known = self.known, dict(self.special)
+            new = set().union(*split).difference(self.known)
         known, old = self.known, self.old
         known.update((w, old[w]) for w in new if w in old)
         self._learn([w for w in new if w not in old])
