@@ -113,3 +113,17 @@ def test_rollup_rejects_unknown_changes_and_ids(spark):
         roll.commit("b", spark.createDataFrame([(None, "a", "en", "t", 1, 1)], CHANGES))
     with pytest.raises(ValueError):
         roll.commit("../b", spark.createDataFrame([], CHANGES))
+
+
+def test_rollup_query_on_null_ids_equals_its_sql(spark, tmp_path):
+    import duckdb
+
+    docs = [(1, "en", "a", "some words, here"), (None, "en", "a", "some words, here"), (None, "de", "b", "no id at all"), (None, "de", "b", "no id at all"),
+            (None, "de", "b", None), (2, "en", "a", None), (3, "en", "b", "Toxic one!"), (5, "en", "b", "some words, here")]
+    spark.createDataFrame(docs, "doc_id long, lang string, source string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(3, 1), (1, 0), (None, 1)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    con = duckdb.connect()
+    for name in ("documents", "labels"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name}.parquet/*.parquet')")
+    want = sorted(con.execute(rollups.OP10_SQL).fetchall())
+    assert sorted(tuple(r) for r in rollups.op10_token_rollups(spark, str(tmp_path)).select("source", "lang", "tokenizer", "n_docs", "n_tokens").collect()) == want

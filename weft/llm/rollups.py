@@ -123,9 +123,9 @@ def op10_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
         rollup.commit(f"load-{version}", rows.where(F.col("tokenizer") == version).select(
             F.lit("insert").alias("op"), *KEYS, "n_tokens", F.lit(0).alias("old_tokens")))
     least = rows.where("same is not null").groupBy("same").agg(F.min("doc_id").alias("first"))
-    copies = rows.join(least, "same").where("doc_id <> first")
+    copies = rows.join(least, "same").where("not (doc_id <=> first)")  # a null id beside others is a copy too
     rollup.commit("copies", copies.select(F.lit("delete").alias("op"), *KEYS, "n_tokens", F.lit(0).alias("old_tokens")))
-    kept = rows.join(least, "same", "left").where("first is null or doc_id = first")
+    kept = rows.join(least, "same", "left").where("first is null or doc_id <=> first")
     redacted = kept.join(toxic, "doc_id", "left").where("toxic")
     rollup.commit("redaction", redacted.select(F.lit("revise").alias("op"), *KEYS, F.lit(0).alias("n_tokens"), F.col("n_tokens").alias("old_tokens")))
     rollup.compact()
