@@ -214,6 +214,19 @@ def test_long_items_cut_inside_unknown_words_are_found(n, around):
     assert brute_leaks([(0, doc)], items[-1:]) == {(0, k)}
 
 
+def test_short_items_and_unspaced_scripts_are_found():
+    items = [(1, "Paris, Texas"), (2, "one"), (3, "four words are here"), (4, "春眠不觉晓,处处闻啼鸟"), (5, "สวัสดีชาวโลก"), (6, "日本"), (7, "..."), (8, "Paris Texas")]
+    index = decontam.ItemIndex(items)
+    found = lambda text: sorted((k, s, n) for k, s, _, _, n in index.matches(text))
+    assert found("Road to PARIS -- Texas and Paris Texas") == [(1, 1.0, 2), (8, 1.0, 2)]
+    assert found("One") == [(2, 1.0, 1)] and found("someone, onerous; Texas Paris") == [] == found("four words are") == found("")
+    assert found("so four words are here too") == [(3, 1.0, 4)]
+    assert found("前言春眠不觉晓处处闻啼鸟后记") == [(4, 1.0, 10)]
+    assert [k for k, *_ in found("กขคงสวัสดีชาวโลกกขคง")] == [5]
+    assert found("东日本大") == [(6, 1.0, 2)] and found("日 x 本") == []
+    assert decontam.words_of("Ünï_1 çö 漢字kana ab") == ["Ünï_1", "çö", "漢", "字", "kana", "ab"]
+
+
 def test_multi_index_finds_every_item_within_the_radius():
     index = decontam.ItemIndex(_leak_cases()[1])
     rng = np.random.default_rng(6)

@@ -1,7 +1,7 @@
 """Benchmark decontamination with SimHash of item-sized windows.
 
-Texts and items are lower-cased and cut to words (runs of letters, digits and ``_``), so
-case, punctuation and spacing do not hide a passage. Shingles are five words. A window of a
+Texts and items are lower-cased and cut to words (runs of letters, digits and ``_``; in scripts
+that are written without spaces single letters), so case, punctuation and spacing do not hide a passage. Shingles are five words. A window of a
 document is as long as an item (clipped at the ends of the document); it contains the item
 when the weighted Jaccard similarity of the two shingle multisets (sum of minima over sum
 of maxima) is ``SIMILARITY`` = 0.8 or more.
@@ -25,8 +25,8 @@ The items are taken in blocks of at most ``BLOCK_WORDS`` words, dealt by a hash,
 the documents for each block, so what a task holds is bounded however large the benchmark
 is. Documents are never shuffled.
 
-Items with fewer than five words have no shingle and match nothing; nor do null texts and
-items. Repeated items (or ids) match each. Empty tables give no rows."""
+An item with fewer than five words is one shingle of all its words: a document that has them
+in a row contains it. Items without a word match nothing; nor do null texts and items. Repeated items (or ids) match each. Empty tables give no rows."""
 
 from __future__ import annotations
 
@@ -50,7 +50,17 @@ RADIUS = 20
 BLOCKS = 8  # of 64 / BLOCKS bits
 BLOCK_WORDS = 2_000_000
 
-words_of = re.compile(r"\w+").findall
+_runs = re.compile(r"\w+").findall
+# Thai and Lao, Burmese, Khmer, kana, Han
+_UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3031-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
+_unspaced = re.compile(f"[{_UNSPACED}]").search
+_runs_and_letters = re.compile(rf"[^\W{_UNSPACED}]+|(?=\w)[{_UNSPACED}]").findall
+
+
+def words_of(text: str) -> list[str]:
+    return _runs(text) if text.isascii() or not _unspaced(text) else _runs_and_letters(text)
+
+
 _MULTIPLIERS = np.array([pow(0x9E3779B97F4A7C15, k + 1, 1 << 64) for k in range(SHINGLE_WORDS)], np.uint64)
 
 
@@ -86,10 +96,13 @@ class ItemIndex:
         self.similarity, self.radius = similarity, radius
         self.ids: list[int] = []
         self.counts: list[Counter] = []
+        self.short: dict[int, dict[int, list[int]]] = {}  # items by words, and by their only shingle
         prints, lengths, every = [], [], []
         for item_id, text in items:
             words = words_of((text or "").lower())
             if len(words) < SHINGLE_WORDS:
+                for h in self.shingles(word_numbers(words), len(words)).tolist() if words else ():
+                    self.short.setdefault(len(words), {}).setdefault(h, []).append(item_id)
                 continue
             hashes = self.shingles(word_numbers(words))
             self.ids.append(item_id)
@@ -119,13 +132,13 @@ class ItemIndex:
                     break
 
     @staticmethod
-    def shingles(word_ids: np.ndarray) -> np.ndarray:
-        """Hash of every five consecutive words."""
-        n = len(word_ids) - SHINGLE_WORDS + 1
+    def shingles(word_ids: np.ndarray, size: int = SHINGLE_WORDS) -> np.ndarray:
+        """Hash of every five (or ``size``) consecutive words."""
+        n = len(word_ids) - size + 1
         if n < 1:
             return np.zeros(0, np.uint64)
         total = np.zeros(n, np.uint64)
-        for k in range(SHINGLE_WORDS):
+        for k in range(size):
             total += word_ids[k:k + n] * _MULTIPLIERS[k]
         return _mixed(total)
 
@@ -166,9 +179,12 @@ class ItemIndex:
     def matches(self, text: str) -> list[tuple[int, float, int, int, int]]:
         """(item id, similarity, differing bits, first word, words) of each item found: its
         best window, the first of equal ones."""
-        hashes = self.shingles(word_numbers(words_of(text.lower())))
+        numbers = word_numbers(words_of(text.lower()))
+        brief = [(k, 1.0, 0, at, n) for n, own in self.short.items()
+                 for h, at in self._places(self.shingles(numbers, n), own) for k in own[h]]
+        hashes = self.shingles(numbers)
         if not len(hashes) or not len(self.known):
-            return []
+            return brief
         at = np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)
         marks = np.flatnonzero(self.known[at] == hashes)
         best: dict[int, tuple] = {}
@@ -180,7 +196,13 @@ class ItemIndex:
                 score = weighted_jaccard(counts, self.counts[k])
                 if score >= self.similarity and (k not in best or score > best[k][0]):
                     best[k] = (score, (self.prints[k] ^ value).bit_count(), a, b - a + SHINGLE_WORDS - 1)
-        return [(self.ids[k], *best[k]) for k in sorted(best)]
+        return [(self.ids[k], *best[k]) for k in sorted(best)] + brief
+
+    @staticmethod
+    def _places(hashes: np.ndarray, wanted: dict[int, list[int]]) -> list[tuple[int, int]]:
+        """Those wanted that are among the hashes, and their first places."""
+        values, first = np.unique(hashes, return_index=True)
+        return [(h, at) for h, at in zip(values.tolist(), first.tolist(), strict=True) if h in wanted]
 
 
 def item_blocks(items: DataFrame, id_col: str = "item_id", text_col: str = "text",
