@@ -59,23 +59,19 @@ def test_nested_map_explode(spark, tmp_path):
 
 
 def test_multiline_json_array_of_maps(spark, tmp_path):
-    doc = [{"devices": {"thermostats": {"t1": {"device_id": "t1", "locale": "en-US", "is_online": True,
-                                               "humidity": 40}},
-                        "cameras": {"c1": {"device_id": "c1", "is_streaming": False,
-                                           "activity_zones": {"name": "Walkway", "id": 244083}}}}},
-           {"devices": {"thermostats": {"t2": {"device_id": "t2", "locale": "en-GB", "is_online": False,
-                                               "humidity": 55}}}}]
-    p = tmp_path / "etl.json"
+    doc = [{"garden": {"beds": {"north": {"plant": "leek", "shade": True, "litres": 12}},
+                       "trees": {"old": {"kind": "pear", "fruit": {"colour": "green", "grams": 170}}}}},
+           {"garden": {"beds": {"south": {"plant": "kale", "shade": False, "litres": 9}}}}]
+    p = tmp_path / "gardens.json"
     p.write_text(json.dumps(doc, indent=2))
-    schema = ("devices struct<thermostats: map<string, struct<device_id: string, locale: string, "
-              "is_online: boolean, humidity: bigint>>, cameras: map<string, struct<device_id: string, "
-              "is_streaming: boolean, activity_zones: struct<name: string, id: bigint>>>>")
+    schema = ("garden struct<beds: map<string, struct<plant: string, shade: boolean, litres: bigint>>, "
+              "trees: map<string, struct<kind: string, fruit: struct<colour: string, grams: bigint>>>>")
     from pyspark.sql import types as T
     df = read_json(spark, str(p), T._parse_datatype_string(schema), multiline=True)
-    th = jsonops.explode_map(df, "devices.thermostats")
-    assert sorted((r.key, r.value.humidity) for r in th.collect()) == [("t1", 40), ("t2", 55)]
-    cams = jsonops.explode_map(df, "devices.cameras").select(jsonops.nested("value", "activity_zones", "id").alias("z"))
-    assert [r.z for r in cams.collect()] == [244083]
+    beds = jsonops.explode_map(df, "garden.beds")
+    assert sorted((r.key, r.value.litres) for r in beds.collect()) == [("north", 12), ("south", 9)]
+    trees = jsonops.explode_map(df, "garden.trees").select(jsonops.nested("value", "fruit", "grams").alias("g"))
+    assert [r.g for r in trees.collect()] == [170]
 
 
 def test_sink_selection_and_text_roundtrip(spark, tmp_path):

@@ -36,6 +36,7 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("sink", nargs="?", default="text")
     s.add_argument("--strategy", default="gap")
     s.add_argument("--gap", default="30 minutes")
+    s.add_argument("--together", action="store_true", help="make the outputs visible together")
     f = sub.add_parser("flights")
     f.add_argument("flights")
     f.add_argument("--routes-out")
@@ -51,7 +52,7 @@ def main(argv: list[str] | None = None) -> None:
     spark = get_spark()
     if a.job == "visits":
         from weft.plans.visits import run_visit_job
-        print(json.dumps(run_visit_job(spark, sink=a.sink, strategy=a.strategy, gap=a.gap)))
+        print(json.dumps(run_visit_job(spark, sink=a.sink, strategy=a.strategy, gap=a.gap, together=a.together)))
     elif a.job == "flights":
         from weft.plans.flights import flight_analysis, load_flights
         parsed = load_flights(spark, a.flights).written(scratch_path(spark, "flights"))  # one pass over the input

@@ -8,7 +8,8 @@ exchange); a top-n becomes ``TakeOrderedAndProject`` (no full sort).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -75,6 +76,51 @@ def cube_agg(df: DataFrame, keys: Sequence[str], aggs: dict[str, Column],
     return out
 
 
+@dataclass(frozen=True)
+class Measure:
+    """An aggregate in mergeable form: states over rows, each with the aggregate that merges
+    it, and the result from the merged states (in their order)."""
+
+    states: tuple[tuple[Column, Callable[[Column], Column]], ...]
+    result: Callable[..., Column]
+
+
+def _one(state: Column, merge: Callable[[Column], Column]) -> Measure:
+    return Measure(((state, merge),), lambda x: x)
+
+
+def rows_measure() -> Measure:
+    """Number of rows."""
+    return _one(F.count(F.lit(1)), F.sum)
+
+
+def sum_measure(column: str) -> Measure:
+    return _one(F.sum(column), F.sum)
+
+
+def min_measure(column: str) -> Measure:
+    return _one(F.min(column), F.min)
+
+
+def max_measure(column: str) -> Measure:
+    return _one(F.max(column), F.max)
+
+
+def avg_measure(column: str) -> Measure:
+    """Sum and count of the values; null where there are none."""
+    return Measure(((F.sum(F.col(column).cast("double")), F.sum), (F.count(column), F.sum)), lambda total, n: F.try_divide(total, n))
+
+
+def cube_lattice(df: DataFrame, keys: Sequence[str], measures: dict[str, Measure]) -> DataFrame:
+    """Aggregates for every subset of the keys (E8, E9), rolled-up keys null: the rows are
+    aggregated once, by all keys; coarser levels merge the states of that finest level. So
+    rows are neither repeated for each subset nor shuffled more than once, partly aggregated."""
+    states = {f"__{name}_{k}": state for name, m in measures.items() for k, state in enumerate(m.states)}
+    finest = df.groupBy(*keys).agg(*[state.alias(c) for c, (state, _) in states.items()])
+    merged = finest.cube(*keys).agg(*[merge(F.col(c)).alias(c) for c, (_, merge) in states.items()])
+    return merged.select(*keys, *[m.result(*[F.col(f"__{name}_{k}") for k in range(len(m.states))]).alias(name) for name, m in measures.items()])
+
+
 def cube_agg_map(df: DataFrame, keys: Sequence[str], aggs: dict[str, str],
                  order_by: str | None = None, descending: bool = True) -> DataFrame:
     """Cube with the map form of ``agg`` (E9): ``{"*": "count",

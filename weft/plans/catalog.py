@@ -13,6 +13,7 @@ parquet files; column names match the Spark output.
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,10 +23,12 @@ from weft import schemas
 from weft.functions.columns import (epoch_micros, exact_round_ratio, floor_div, lenient_int,
                                     session_hash_id, ts_text, url_host)
 from weft.operators import jsonops, stats
-from weft.operators.labels import attach_label, map_lookup, salted_left_join
+from weft.operators.incremental import SessionStore
+from weft.operators.labels import DOMAIN_LABELS, attach_label, map_lookup, salted_left_join
+from weft.operators.order import with_positions
 from weft.operators.sessions import SessionSpec, cut_sessions, gap_micros, with_session_id
 from weft.plans import devices, flights
-from weft.plans.visits import build_sessions, clean_log, label_domains
+from weft.plans.visits import build_sessions, label_domains, read_log
 from weft.session import scratch_path
 from weft.sinks.writers import read_text_records, write_csv, write_parquet, write_text
 from weft.sources.formats import (parse_airports, parse_cookie_labels, parse_flights, parse_id_payload,
@@ -214,6 +217,30 @@ GAP_NATIVE_SQL = _CORE_SQL.format(cut=GAP_CUT_SQL).replace(
 GAP_NATIVE_SQL = f"SELECT user_id, session_start, session_end, event_count FROM ({GAP_NATIVE_SQL})"
 
 
+PERIODS = 3
+
+
+def incremental_gap_sessions(spark, sf_dir):
+    """Gap sessions of ``events`` given one period of days at a time: what is open at the end of
+    a period is carried to the next (F1, F4). The rows are those of one cut."""
+    ev = _events_for_sessions(spark, sf_dir)
+    store = SessionStore(spark, scratch_path(spark, "session-store"), EVENT_SPEC)
+    first, last = ev.agg(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first()
+    if first is None:
+        return with_session_id(cut_sessions(ev, EVENT_SPEC), "user_id").select(*INCREMENTAL_COLUMNS)
+    days = -(-((last - first).days + 1) // PERIODS)
+    for k in range(PERIODS):
+        start = first + datetime.timedelta(days=days * k)
+        store.advance(ev, start.isoformat(), start, start + datetime.timedelta(days=days))
+    return with_session_id(store.sessions(), "user_id").select(*INCREMENTAL_COLUMNS)
+
+
+INCREMENTAL_COLUMNS = ["session_id", "user_id", "session_start", "first_order", "value", "landing_page", "pageview_count", "click_count"]
+INCREMENTAL_SQL = f"""
+SELECT session_id, user_id, session_start, first_event_id AS first_order, first_value AS value, landing_page_id AS landing_page,
+       pageview_count, click_count FROM ({_sessions_sql(GAP_CUT_SQL)})"""
+
+
 def session_count(spark, sf_dir):
     """Number of sessions per strategy (E10's count, as a result). Page-view
     sessions need no cut to be counted: every page view opens one, and so do a
@@ -571,6 +598,51 @@ SELECT l_returnflag, l_linestatus, count(*) AS count, avg(l_quantity) AS avg_qty
 FROM lineitem GROUP BY CUBE (l_returnflag, l_linestatus)"""
 
 
+def cube_lattice(spark, sf_dir):
+    """Cube over three keys, one of them many-valued, from one aggregate of the rows."""
+    li = _t(spark, sf_dir, "lineitem")
+    return stats.cube_lattice(li, ["l_suppkey", "l_returnflag", "l_linestatus"], {
+        "count": stats.rows_measure(), "sum_qty": stats.sum_measure("l_quantity"), "avg_qty": stats.avg_measure("l_quantity"),
+        "first_ship": stats.min_measure("l_shipdate"), "last_ship": stats.max_measure("l_shipdate")})
+
+
+CUBE_LATTICE_SQL = """
+SELECT l_suppkey, l_returnflag, l_linestatus, count(*) AS count, sum(l_quantity) AS sum_qty, avg(l_quantity) AS avg_qty,
+       min(l_shipdate) AS first_ship, max(l_shipdate) AS last_ship
+FROM lineitem GROUP BY CUBE (l_suppkey, l_returnflag, l_linestatus)"""
+
+
+# --------------------------------------------------------------------------
+# Sorts with the place of each row as a column (a file or table has no order to check)
+# --------------------------------------------------------------------------
+
+def order_months(spark, sf_dir):
+    """Months of cancelled flights in order."""
+    return with_positions(cancelled_by_month(spark, sf_dir), ["month"])
+
+
+ORDER_MONTHS_SQL = f"SELECT *, row_number() OVER (ORDER BY month) - 1 AS position FROM ({CANCELLED_SQL})"
+
+
+def order_json_rows(spark, sf_dir):
+    """Parsed and filtered JSON rows by two keys descending (G4); equal ones by id."""
+    return with_positions(json_parse_filter(spark, sf_dir), [F.col("k").desc(), F.col("value").desc(), "event_id"])
+
+
+def order_ratios(spark, sf_dir):
+    """Rounded ratios descending (G5); equal ones by key."""
+    return with_positions(ratio_round(spark, sf_dir), [F.col("ratio").desc(), "p_partkey"])
+
+
+def order_cube(spark, sf_dir):
+    """Cube rows by an aggregate descending (G6); equal ones by their keys, rolled-up ones first."""
+    return with_positions(cube_lattice(spark, sf_dir), [F.col("avg_qty").desc(), "l_suppkey", "l_returnflag", "l_linestatus", "count"])
+
+
+ORDER_CUBE_SQL = f"""SELECT *, row_number() OVER (ORDER BY avg_qty DESC NULLS LAST, l_suppkey NULLS FIRST, l_returnflag NULLS FIRST,
+    l_linestatus NULLS FIRST, count) - 1 AS position FROM ({CUBE_LATTICE_SQL})"""
+
+
 # --------------------------------------------------------------------------
 # JSON
 # --------------------------------------------------------------------------
@@ -599,6 +671,9 @@ SELECT event_id, user_id, event_type, value, TRY_CAST(props->>'$.k' AS BIGINT) A
 FROM events WHERE TRY_CAST(props->>'$.k' AS BIGINT) > 10 AND value > 15 AND event_type = 'view'"""
 
 
+ORDER_JSON_SQL = f"SELECT *, row_number() OVER (ORDER BY k DESC, value DESC, event_id) - 1 AS position FROM ({JSON_PARSE_FILTER_SQL})"
+
+
 def json_serialise(spark, sf_dir):
     ev = _t(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "props")
     return jsonops.serialise(ev, alias="json")
@@ -628,6 +703,9 @@ RATIO_ROUND_SQL = """
 SELECT p_partkey, floor(round(p_retailprice * 100) / nullif(p_size, 0) + 0.5) / 100 AS ratio FROM part"""
 
 
+ORDER_RATIOS_SQL = f"SELECT *, row_number() OVER (ORDER BY ratio DESC NULLS LAST, p_partkey) - 1 AS position FROM ({RATIO_ROUND_SQL})"
+
+
 def map_explode(spark, sf_dir):
     ev = _t(spark, sf_dir, "events")
     m = jsonops.parse_column(ev, "props", "map<string,bigint>", "m", keep=("event_id",))
@@ -675,39 +753,63 @@ FROM nation JOIN region ON n_regionkey = r_regionkey"""
 # The jobs over files
 # --------------------------------------------------------------------------
 
-def visit_log_sessions(spark, sf_dir):
-    """The visit-log job on text files: ``events`` and customer labels are
-    written as pipe lines, read, cleaned, their times parsed, cut and labelled
-    (A1, A2, B1, B2, I6, F1-F4, D1-D3)."""
+# Hosts that the lines of the visit log name in turn; two of them have no label.
+LOG_HOSTS = ["www.baidu.com", "www.ali.com", "jd.com", "shop.example.org", "youku.com", "jd.com:8080", "user@youku.com", "blog.example.net"]
+LOG_FILES = 16
+
+
+def _visit_files(spark, sf_dir) -> tuple[str, str]:
+    """Paths of ``events`` as pipe lines, in one folder ``part=n`` for each of ``LOG_FILES``, in
+    event order, and of customer labels."""
     ev = _t(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
     kind = F.when(F.col("event_type") == "view", F.lit("pageview")).otherwise(F.col("event_type"))
-    url = F.concat(F.lit("https://www.ali.com/"), F.coalesce(F.get_json_object("props", "$.k"), F.lit("none")))
+    host = F.element_at(F.array(*map(F.lit, LOG_HOSTS)), (F.col("event_id") % len(LOG_HOSTS) + 1).cast("int"))
+    url = F.concat(F.lit("https://"), host, F.lit("/"), F.coalesce(F.get_json_object("props", "$.k"), F.lit("none")))
     line = F.concat_ws("|", kind, F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.col("user_id").cast("string"),
                        F.col("event_id").cast("string"), url)
     labels = _t(spark, sf_dir, "customer").filter("c_acctbal > 0").select(
         F.concat_ws("|", F.col("c_custkey").cast("string"), "c_mktsegment").alias("value"))
     log_path, label_path = scratch_path(spark, "visit-lines"), scratch_path(spark, "label-lines")
-    ev.select(line.alias("value")).write.text(log_path)
+    (ev.select((F.col("event_id") % LOG_FILES).alias("part"), "event_id", line.alias("value")).repartition(LOG_FILES, "part")
+       .sortWithinPartitions("part", "event_id").select("value", "part").write.partitionBy("part").text(log_path))
     labels.write.text(label_path)
-    log = clean_log(read_lines(spark, log_path)).rows
-    s = build_sessions(log, parse_cookie_labels(read_lines(spark, label_path)).rows)
-    # which of several rows of one second comes first depends on the files' order: not returned
-    return s.select("cookie", F.col("session_server_time"), "cookie_label", "pageview_count", "click_count", "domain", "domain_label")
+    return log_path, label_path
+
+
+def visit_log_sessions(spark, sf_dir):
+    """The visit-log job on text files: ``events`` and customer labels are
+    written as pipe lines, read, cleaned, their times parsed, cut and labelled
+    (A1, A2, B1, B2, G1, I6, I9, F1-F4, D1-D3). Times are whole seconds, so which of
+    several rows comes first is told by their files and line numbers."""
+    log_path, label_path = _visit_files(spark, sf_dir)
+    log = read_log(spark, log_path, file_key=F.col("part")).rows
+    return build_sessions(log, parse_cookie_labels(read_lines(spark, label_path)).rows)
 
 
-VISIT_LOG_SQL = """
+VISIT_LOG_SQL = f"""
 WITH e AS (
-  SELECT date_trunc('second', ts) AS ts, user_id, event_type FROM events
-  WHERE event_type IN ('view', 'click') AND ts IS NOT NULL AND user_id IS NOT NULL),
+  SELECT date_trunc('second', ts) AS ts, user_id, event_type, event_id, event_id % {LOG_FILES} AS file,
+         row_number() OVER (PARTITION BY event_id % {LOG_FILES} ORDER BY event_id) - 1 AS line,
+         [{", ".join(f"'{h}'" for h in LOG_HOSTS)}][event_id % {len(LOG_HOSTS)} + 1] AS host,
+         coalesce(json_extract_string(props, '$.k'), 'none') AS page FROM events),
+k AS (SELECT * FROM e WHERE event_type IN ('view', 'click') AND ts IS NOT NULL AND user_id IS NOT NULL),
 f AS (SELECT *, CASE WHEN lag(ts) OVER w IS NULL OR ts - lag(ts) OVER w > INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS nw
-      FROM e WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+      FROM k WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
 g AS (SELECT *, sum(nw) OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS seq FROM f),
+r AS (SELECT *, row_number() OVER (PARTITION BY user_id, seq ORDER BY ts, file, line) AS nth,
+             row_number() OVER (PARTITION BY user_id, seq, event_type ORDER BY ts, file, line) AS nth_of_type FROM g),
 s AS (SELECT user_id, seq, min(ts) AS start, CAST(count(*) FILTER (WHERE event_type = 'view') AS INTEGER) AS views,
-             CAST(count(*) FILTER (WHERE event_type = 'click') AS INTEGER) AS clicks FROM g GROUP BY user_id, seq)
-SELECT CAST(s.user_id AS VARCHAR) AS cookie, strftime(start, '%Y-%m-%d %H:%M:%S') AS session_server_time,
-       coalesce(c.c_mktsegment, '-') AS cookie_label, views AS pageview_count, clicks AS click_count,
-       CASE WHEN views > 0 THEN 'www.ali.com' ELSE '-' END AS domain, CASE WHEN views > 0 THEN 'level2' ELSE '-' END AS domain_label
-FROM s LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) c ON c.c_custkey = s.user_id"""
+             CAST(count(*) FILTER (WHERE event_type = 'click') AS INTEGER) AS clicks,
+             max(event_id) FILTER (WHERE nth = 1) AS ip, max(file) FILTER (WHERE nth = 1) AS file, max(line) FILTER (WHERE nth = 1) AS line,
+             max('https://' || host || '/' || page) FILTER (WHERE nth_of_type = 1 AND event_type = 'view') AS url,
+             max(split_part(split_part(host, '@', -1), ':', 1)) FILTER (WHERE nth_of_type = 1 AND event_type = 'view') AS host
+      FROM r GROUP BY user_id, seq)
+SELECT sha256(concat_ws('|', CAST(s.user_id AS VARCHAR), strftime(start, '%Y-%m-%d %H:%M:%S.%f'), '{{' || file || ', ' || line || '}}')) AS session_id,
+       strftime(start, '%Y-%m-%d %H:%M:%S') AS session_server_time, CAST(s.user_id AS VARCHAR) AS cookie,
+       coalesce(c.c_mktsegment, '-') AS cookie_label, CAST(ip AS VARCHAR) AS ip, coalesce(url, '-') AS landing_url,
+       views AS pageview_count, clicks AS click_count, coalesce(host, '-') AS domain, coalesce(d.label, '-') AS domain_label
+FROM s LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) c ON c.c_custkey = s.user_id
+LEFT JOIN (VALUES {_sql_values(DOMAIN_LABELS)}) d(host_name, label) ON d.host_name = s.host"""
 
 
 def flight_file_reports(spark, sf_dir):
@@ -715,7 +817,7 @@ def flight_file_reports(spark, sf_dir):
     written as text and parsed (A3, B3, E5, E9, C9)."""
     path = scratch_path(spark, "flight-lines")
     _flight_lines(spark, sf_dir).write.text(path)
-    rows = parse_flights(read_lines(spark, path)).rows
+    rows = parse_flights(read_lines(spark, path)).written(scratch_path(spark, "flights")).rows  # parsed once for both reports
     cube = flights.route_cube(rows).select(F.lit("cube").alias("report"), "origin", "dest", F.lit(None).cast("int").alias("month"),
                                            "count", "avg_elapsed", "avg_distance")
     months = stats.cancelled_by_month(rows).toDF("month", "count").select(
@@ -804,6 +906,17 @@ def parquet_sink_roundtrip(spark, sf_dir):
 # Streaming form of gap sessions (bounded catch-up run over ``events``)
 # --------------------------------------------------------------------------
 
+def _events_stream(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """``events`` as a table and as a stream of its files."""
+    from weft.streaming import sessions as streaming
+
+    events = _t(spark, sf_dir, "events")
+    # a table is one file, which the file source takes by its name in the folder, or a folder of part files
+    if any(f.rsplit("/", 1)[0].endswith("/events.parquet") for f in events.inputFiles()):
+        return events, streaming.file_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet", events.schema)
+    return events, streaming.file_stream(spark, sf_dir.rstrip("/"), events.schema, glob="events.parquet")
+
+
 def streaming_gap_sessions(spark, sf_dir):
     """Gap sessions computed by a Structured Streaming query in append mode
     (watermark + session window, state on disk and in the checkpoint folder),
@@ -811,13 +924,7 @@ def streaming_gap_sessions(spark, sf_dir):
     the last sessions, then read back."""
     from weft.streaming import sessions as streaming
 
-    events = _t(spark, sf_dir, "events")
-    path = f"{sf_dir.rstrip('/')}/events.parquet"
-    # a table is one file, which the file source takes by its name in the folder, or a folder of part files
-    if any(f.rsplit("/", 1)[0].endswith("/events.parquet") for f in events.inputFiles()):
-        stream = streaming.file_stream(spark, path, events.schema)
-    else:
-        stream = streaming.file_stream(spark, sf_dir.rstrip("/"), events.schema, glob="events.parquet")
+    events, stream = _events_stream(spark, sf_dir)
     spec = SessionSpec(user="user_id", ts="ts", order="event_id", kind="event_type",
                        pageview="view", click="click", first=("value",))
     out, ck, end = (scratch_path(spark, f"stream-{x}") for x in ("out", "ck", "end"))
@@ -842,12 +949,40 @@ SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS sessio
 FROM g GROUP BY user_id, seq"""
 
 
+def streaming_pageview_sessions(spark, sf_dir):
+    """Page-view sessions computed by a Structured Streaming query with keyed state and timers
+    (F2, F3 on streams), run to completion over ``events`` and an end mark, then read back."""
+    from weft.streaming import pageviews
+    from weft.streaming import sessions as streaming
+
+    events, stream = _events_stream(spark, sf_dir)
+    spec = SessionSpec(user="user_id", ts="ts", order="event_id", kind="event_type",
+                       pageview="view", click="click", first=("value",), landing=("event_id",))
+    out, ck, end = (scratch_path(spark, f"views-{x}") for x in ("out", "ck", "end"))
+    streaming.write_end_mark(events, spec, end, after="800 days")
+    stream = stream.union(streaming.file_stream(spark, end, events.schema))
+    streaming.write_parquet(pageviews.pageview_sessions(stream, spec, idle="365 days"), out, ck, available_now=True).awaitTermination()
+    return spark.read.parquet(out)
+
+
+STREAMING_PAGEVIEW_SQL = f"""
+WITH e AS (SELECT * FROM events WHERE event_type IN ('view', 'click') AND ts IS NOT NULL AND user_id IS NOT NULL),
+g AS (SELECT *, sum({PAGEVIEW_CUT_SQL}) OVER (PARTITION BY user_id ORDER BY ts, event_id
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS seq FROM e)
+SELECT user_id, min(ts) AS session_start, arg_min(event_id, (ts, event_id)) AS first_order, arg_min(value, (ts, event_id)) AS "value",
+       arg_min(event_id, (ts, event_id)) FILTER (WHERE event_type = 'view') AS landing_event_id,
+       CAST(count(*) FILTER (WHERE event_type = 'view') AS INTEGER) AS pageview_count,
+       CAST(count(*) FILTER (WHERE event_type = 'click') AS INTEGER) AS click_count
+FROM g GROUP BY user_id, seq"""
+
+
 # --------------------------------------------------------------------------
 
 QUERIES: dict[str, Query] = {
     "gap_sessions": gap_sessions,
     "pageview_sessions": pageview_sessions,
     "gap_sessions_native": gap_sessions_native,
+    "incremental_gap_sessions": incremental_gap_sessions,
     "session_count": session_count,
     "session_id_hash": session_id_hash,
     "event_type_filter": event_type_filter,
@@ -868,6 +1003,11 @@ QUERIES: dict[str, Query] = {
     "global_stats": global_stats,
     "cube_count": cube_count,
     "cube_multi": cube_multi,
+    "cube_lattice": cube_lattice,
+    "order_months": order_months,
+    "order_json_rows": order_json_rows,
+    "order_ratios": order_ratios,
+    "order_cube": order_cube,
     "json_extract": json_extract,
     "json_parse_filter": json_parse_filter,
     "json_serialise": json_serialise,
@@ -883,12 +1023,14 @@ QUERIES: dict[str, Query] = {
     "text_sink_roundtrip": text_sink_roundtrip,
     "parquet_sink_roundtrip": parquet_sink_roundtrip,
     "streaming_gap_sessions": streaming_gap_sessions,
+    "streaming_pageview_sessions": streaming_pageview_sessions,
 }
 
 ORACLES: dict[str, str] = {
     "gap_sessions": _sessions_sql(GAP_CUT_SQL),
     "pageview_sessions": _sessions_sql(PAGEVIEW_CUT_SQL),
     "gap_sessions_native": GAP_NATIVE_SQL,
+    "incremental_gap_sessions": INCREMENTAL_SQL,
     "session_count": SESSION_COUNT_SQL,
     "session_id_hash": SESSION_ID_HASH_SQL,
     "event_type_filter": "SELECT event_id, user_id, event_type FROM events WHERE event_type IN ('view', 'click')",
@@ -909,6 +1051,11 @@ ORACLES: dict[str, str] = {
     "global_stats": GLOBAL_STATS_SQL,
     "cube_count": CUBE_COUNT_SQL,
     "cube_multi": CUBE_MULTI_SQL,
+    "cube_lattice": CUBE_LATTICE_SQL,
+    "order_months": ORDER_MONTHS_SQL,
+    "order_json_rows": ORDER_JSON_SQL,
+    "order_ratios": ORDER_RATIOS_SQL,
+    "order_cube": ORDER_CUBE_SQL,
     "json_extract": JSON_EXTRACT_SQL,
     "json_parse_filter": JSON_PARSE_FILTER_SQL,
     "json_serialise": JSON_SERIALISE_SQL,
@@ -924,4 +1071,5 @@ ORACLES: dict[str, str] = {
     "text_sink_roundtrip": TEXT_SINK_SQL,
     "parquet_sink_roundtrip": ROUTE_COUNTS_SQL,
     "streaming_gap_sessions": STREAMING_GAP_SQL,
+    "streaming_pageview_sessions": STREAMING_PAGEVIEW_SQL,
 }

@@ -29,12 +29,11 @@ def elapsed_summary(flights: DataFrame) -> DataFrame:
 def route_cube(flights: DataFrame) -> DataFrame:
     """Cube over (origin, dest) with count and two averages, by average
     distance descending (E9, G6)."""
-    return stats.cube_agg(
+    return stats.cube_lattice(
         flights, ["origin", "dest"],
-        {"count": F.count(F.lit(1)),
-         "avg_elapsed": F.avg("times.actualElapsedTime"),
-         "avg_distance": F.avg("distance")},
-        order_by="avg_distance")
+        {"count": stats.rows_measure(),
+         "avg_elapsed": stats.avg_measure("times.actualElapsedTime"),
+         "avg_distance": stats.avg_measure("distance")}).orderBy(F.col("avg_distance").desc())
 
 
 def flight_reports(flights: DataFrame) -> dict[str, DataFrame]:

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from weft import schemas
@@ -19,6 +19,7 @@ from weft.operators.labels import DOMAIN_LABELS, map_lookup, salted_left_join
 from weft.operators.sessions import (CLICK, DEFAULT_GAP, PAGEVIEW, SessionSpec, cut_sessions,
                                      unusable_rows, with_session_id)
 from weft.session import scratch_path
+from weft.sinks.commits import Commits
 from weft.sinks.writers import select_sink
 from weft.sources.formats import LINE, Parsed, parse_cookie_labels, parse_visit_log, read_lines
 
@@ -47,6 +48,14 @@ def clean_log(lines: DataFrame, types: tuple[str, ...] = LOG_TYPES) -> Parsed:
     return parse_visit_log(lines, keep_line=True).derive(typed_step)
 
 
+def read_log(spark: SparkSession, path: str | list[str], file_key: Column | None = None) -> Parsed:
+    """The cleaned log of text files, ``log_order`` = (file, line): equal at any size of
+    the input splits, and unchanged by files that are added. The lines are read once and
+    their parse written to the checkpoint folder."""
+    lines = read_lines(spark, path, places=True, file_key=file_key)
+    return clean_log(lines).written(scratch_path(spark, "visit-log")).numbered("log_order")
+
+
 def log_spec(first: tuple[str, ...] = ("ip", "log_server_time")) -> SessionSpec:
     return SessionSpec(user="cookie", ts="ts", order="log_order", kind="log_type",
                        pageview=PAGEVIEW, click=CLICK, first=first, landing=("url",))
@@ -94,10 +103,15 @@ def run_visit_job(spark: SparkSession, visit_log_path: str | None = None,
                   cookie_label_path: str | None = None, output_path: str | None = None,
                   sink: str = "text", strategy: str = "gap", gap: str | int = DEFAULT_GAP,
                   domain_labels: Mapping[str, str] = DOMAIN_LABELS,
-                  random_ids: bool = False) -> dict:
+                  random_ids: bool = False, together: bool = False) -> dict:
     """The whole job: read, clean, cut, label, write ``trackerLog``,
     ``trackerSession`` and ``rejects`` under ``output_path``.
 
+    ``together`` makes the three outputs visible at once: they go to a folder of this run
+    and are committed after the last (``weft.sinks.commits``); readers ask
+    ``Commits(spark, output_path).read(name)`` and see the run before until then. Without
+    it each output replaces its own folder as it is written.
+
     Paths not given are read from the ``spark.weft.visits.*`` settings (A12).
     Returns counts gathered with ``observe`` (E10), which are exact under task
     retries, unlike an accumulator.
@@ -110,27 +124,30 @@ def run_visit_job(spark: SparkSession, visit_log_path: str | None = None,
 
     visit_log_path, cookie_label_path = path(visit_log_path, LOG_PATH_KEY), path(cookie_label_path, LABEL_PATH_KEY)
     output_path = path(output_path, OUTPUT_PATH_KEY).rstrip("/")
+    run = Commits(spark, output_path).begin() if together else None
+    place = run.path if run else lambda name: f"{output_path}/{name}"
     write = select_sink(sink)
 
-    # One pass over the raw log: the staged parse is written once, and the
-    # cleaned log, the sessions and the rejects come from that copy.
-    parsed = clean_log(read_lines(spark, visit_log_path)).written(scratch_path(spark, "visit-log"))
+    # One pass over the raw log: the cleaned log, the sessions and the rejects
+    # come from the written copy of its parse.
+    parsed = read_log(spark, visit_log_path)
     log = parsed.rows
     labels = parse_cookie_labels(read_lines(spark, cookie_label_path))
     log_obs = Observation("log")
     log_out = log.select(*schemas.TRACKER_LOG.fieldNames()).observe(
         log_obs, F.count(F.lit(1)).alias("log_rows"))
-    write(log_out, f"{output_path}/trackerLog")
+    write(log_out, place("trackerLog"))
 
     sess_obs = Observation("sessions")
     sessions = build_sessions(log, labels.rows, domain_labels, strategy, gap, random_ids)
     sessions = sessions.observe(sess_obs, F.count(F.lit(1)).alias("session_count"))
-    write(sessions, f"{output_path}/trackerSession")
+    write(sessions, place("trackerSession"))
 
     rej_obs = Observation("rejects")
     unusable = unusable_rows(log, log_spec()).select(
         F.concat_ws("|", *schemas.TRACKER_LOG.fieldNames()).alias("value"), "reason")
     rejects = parsed.rejects.unionByName(unusable).unionByName(labels.rejects).observe(
         rej_obs, F.count(F.lit(1)).alias("reject_count"))
-    rejects.write.mode("overwrite").parquet(f"{output_path}/rejects")
-    return {**log_obs.get, **sess_obs.get, **rej_obs.get}
+    rejects.write.mode("overwrite").parquet(place("rejects"))
+    counts = {**log_obs.get, **sess_obs.get, **rej_obs.get}
+    return {**counts, "generation": run.commit(**counts).number} if run else counts

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,6 +31,11 @@ AIRPORT_LINE_PATTERN = r'^\s*"([^"]+)"\s*,\s*"([^"]+)"\s*,\s*"?([^"]+)"?\s*,\s*"
 
 # The whole line, beside the parsed fields of a visit-log row.
 LINE = "line"
+# Where a line was read: the file's key and path, the first byte of the split, and a
+# number that grows with the lines of a split.
+PLACES = ("_file", "_path", "_block", "_place")
+# Splits up to which their line counts are sent to every task (some hundred bytes each).
+BROADCAST_SPLITS = 200_000
 
 
 @dataclass(frozen=True)
@@ -64,6 +69,27 @@ class Parsed:
         rows, rejects = self.build(st)
         return Parsed(rows, rejects, st, self.build)
 
+    def numbered(self, order_col: str) -> "Parsed":
+        """Rows with ``order_col`` = (file, line) in place of where they were read: the file's
+        key and the line's number among the kept lines of the files of that key.
+
+        A line's number is its place in its split plus the lines of the splits before it, so it
+        does not depend on how files are cut into splits, nor on which other files there
+        are. The counts are one row for each split; they reach the rows by broadcast when
+        they are few (counted first), so the rows themselves are not moved. Call it after
+        ``written``, or the input is read once more for the counts."""
+        if self.staged is None:
+            raise ValueError("lines of no known place; read them with read_lines(places=True)")
+        splits = self.staged.groupBy("_file", "_path", "_block").agg(F.min("_place").alias("_first"), F.count("*").alias("_lines"))
+        before = Window.partitionBy("_file").orderBy("_path", "_block").rowsBetween(Window.unboundedPreceding, -1)
+        splits = splits.select(F.col("_path").alias("_of_path"), F.col("_block").alias("_of_block"),
+                               (F.coalesce(F.sum("_lines").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
+        if splits.count() <= BROADCAST_SPLITS:
+            splits = F.broadcast(splits)
+        order = F.struct(F.col("_file").alias("file"), (F.col("_place") + F.col("_shift")).alias("line"))
+        rows = self.rows.join(splits, (F.col("_path") == F.col("_of_path")) & (F.col("_block") == F.col("_of_block")))
+        return Parsed(rows.select(*[c for c in self.rows.columns if c not in PLACES], order.alias(order_col)), self.rejects)
+
     def unpersist(self) -> None:
         if self.staged is not None:
             self.staged.unpersist()
@@ -88,9 +114,20 @@ class Parsed:
         return self.rows
 
 
-def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Text lines as ``value`` (A1-A5), one task per file split."""
-    return spark.read.text(path)
+def read_lines(spark: SparkSession, path: str | list[str], places: bool = False, file_key: Column | None = None) -> DataFrame:
+    """Text lines as ``value`` (A1-A5), one task per file split.
+
+    ``places`` adds where each line was read (``PLACES``) for ``Parsed.numbered``.
+    ``file_key`` is a number that names the line's file: by default a hash of its path, else
+    made from ``_metadata`` or a partition folder. Files of one key are numbered one after
+    the other, by path."""
+    lines = spark.read.text(path)
+    if not places:
+        return lines
+    path_col = F.col("_metadata.file_path")
+    key = F.xxhash64(path_col) if file_key is None else file_key
+    return lines.select("value", key.cast("long").alias("_file"), path_col.alias("_path"),
+                        F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_place"))
 
 
 def _split_like_jvm(value: Column, sep: str, trailing: str) -> Column:
@@ -125,19 +162,21 @@ def parse_visit_log(lines: DataFrame, order_col: str | None = "log_order", keep_
     """Pipe-delimited visit log (B1): ``#`` lines skipped, fields 0-4 by
     position, extra fields ignored; fewer than five fields is a reject.
 
-    ``order_col`` adds a stable row id in file order (tie-break for equal
-    times); it is taken right after the scan, before any shuffle.
+    Lines read with their places keep them, for ``Parsed.numbered``. Other lines
+    (made in memory) get ``order_col``, a number in the order of their partitions: it is
+    taken before any shuffle, but another partitioning gives other numbers.
     ``keep_line`` adds the whole line (``line``) for later rejects.
     """
     v = F.col("value")
+    placed = [c for c in PLACES if c in lines.columns]
+    order_col = None if placed else order_col
     if order_col:
         lines = lines.withColumn(order_col, F.monotonically_increasing_id())
     f = F.col(PARTS)
     lines = _stage(lines.filter(~v.startswith(LOG_COMMENT_PREFIX)), _split_like_jvm(v, LOG_SEPARATOR, "|"))
     reason = F.when(F.size(f) < 5, F.lit("short_line"))
     rows = [F.get(f, i).alias(n) for i, n in enumerate(schemas.TRACKER_LOG.fieldNames())]
-    if order_col:
-        rows.append(F.col(order_col))
+    rows += [F.col(c) for c in ([order_col] if order_col else placed)]
     if keep_line:
         rows.append(F.col("value").alias(LINE))
     return _finish(lines, reason, rows)
