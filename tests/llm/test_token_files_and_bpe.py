@@ -43,6 +43,31 @@ def test_bpe_equals_tiktoken_and_decodes(codec, theirs, texts):
         assert codec.decode(ids) == text.encode()
 
 
+RUNS_OF_SPACE = st.lists(st.sampled_from([" ", "  ", "\t", "\n", "\x0b", "\xa0", "\u2003", "\0", "a", "b", "'s", ",", "9"]), max_size=14).map("".join)
+
+
+@given(st.lists(RUNS_OF_SPACE, min_size=1, max_size=12), st.permutations(range(12)), st.integers(1, 5))
+@settings(max_examples=300, deadline=None)
+def test_ids_do_not_depend_on_what_was_met_before(codec, theirs, texts, order, size):
+    """One codec for all examples: every order and batching gives the library's ids."""
+    want = {t: theirs.encode_ordinary(t) for t in texts}
+    for some in (texts, [texts[k] for k in order if k < len(texts)], ["a ", "b  ", *texts, "x \n y", "   x"]):
+        for at in range(0, len(some), size):
+            batch = some[at:at + size]
+            for text, ids in zip(batch, codec.encode_all(batch), strict=True):
+                assert ids.tolist() == want.setdefault(text, theirs.encode_ordinary(text)) and codec.decode(ids) == text.encode()
+
+
+def test_codecs_of_two_rank_files_are_told_apart(spark, theirs):
+    def own(which):
+        def make():
+            ranks = {bytes([b]): 255 - b if which else b for b in range(256)}
+            return bpe.BytePairCodec(ranks, public_tokenizers.PATTERN)
+        return make
+    df = spark.createDataFrame([(1, "ab")], "doc_id long, text string")
+    assert [bpe.encode_texts(df, own(k)).first().ids for k in (0, 1)] == [[97, 98], [158, 157]]
+
+
 def test_bpe_of_very_long_pre_tokens(codec, theirs):
     for text in ("a" * 40_000, "xyz" * 9_000 + "Straße" * 3_000, "\n" * 5_000 + " " * 5_000 + "."):
         assert codec.encode(text).tolist() == theirs.encode_ordinary(text)
@@ -99,11 +124,15 @@ def test_digest_query_on_odd_rows(spark, codec, theirs):
     assert bpe.digest_texts(_docs(spark).where("false"), bpe.public_codec).count() == 0
 
 
-@given(st.lists(st.text(alphabet=ODD + "Thewor", max_size=30), min_size=1, max_size=10))
-@settings(max_examples=60, deadline=None)
+MARKS = "\u0300\u0301\u0308\u030a\u030c\u0331\u0338\u0327"
+
+
+@given(st.lists(st.lists(st.one_of(st.text(alphabet=ODD + "TheworHJWY=<" + MARKS, max_size=12),
+                                   st.sampled_from(["<|endoftext|>", "<|ENDOFTEXT|>", "<|startoftext|>", "T\u0308", "H\u0331", "J\u030c", "W\u030a", "Y\u030a"])), max_size=5).map("".join),
+                min_size=1, max_size=10))
+@settings(max_examples=300, deadline=None)
 def test_chunk_encoder_equals_the_library(texts):
     whole = Tokenizer.from_file(WORDS)
-    whole.encode_special_tokens = True
     got = token_files.tokenizer_encoder(WORDS)([t.encode() for t in texts])
     assert [np.frombuffer(x, "<u4").tolist() for x in got] == [e.ids for e in whole.encode_batch(texts, add_special_tokens=False)]
 
@@ -124,7 +153,6 @@ def test_token_files_round_trip(spark):
     manifest = token_files.write_token_files(_docs(spark), scratch_path(spark, "t"), lambda: token_files.tokenizer_encoder(WORDS))
     got = sorted(tuple(r) for r in token_files.read_token_files(manifest).select("start", "n_tokens", "ids_crc32").collect())
     whole = Tokenizer.from_file(WORDS)
-    whole.encode_special_tokens = True
     rows = sorted(_docs(spark).collect(), key=lambda r: (r.doc_id is not None, r.doc_id or 0))  # null ids first
     want, start = [], 0
     for r in rows:
@@ -132,6 +160,10 @@ def test_token_files_round_trip(spark):
         want.append((start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         start += len(ids)
     assert got == sorted(want)
+    asked = token_files.read_documents(manifest, [7, 3, 1, 999, 7]).collect()
+    by_id = {r.doc_id: whole.encode(r.text or "", add_special_tokens=False).ids + [2] for r in rows}
+    assert sorted(r.doc_id for r in asked) == [1, 3, 3, 7] and all(r.ids == by_id[r.doc_id] for r in asked)
+    assert token_files.read_documents(manifest, [999]).count() == 0
     empty = token_files.write_token_files(_docs(spark).where("false"), scratch_path(spark, "t"), lambda: token_files.tokenizer_encoder(WORDS))
     assert token_files.read_token_files(empty).count() == 0
 

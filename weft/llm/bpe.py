@@ -28,6 +28,7 @@ import hashlib
 import heapq
 import sys
 from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
 from itertools import islice
 
 import numpy as np
@@ -268,7 +269,8 @@ class BytePairCodec:
             else:
                 pieces_of[key] = self.pieces(key[1:] if key[0] == "\0" else key if key[0] in SPACES else " " + key)
         pieces = list({p for own in pieces_of.values() for p in own})
-        ids = {p: known[p[1:]] for p in pieces if p[0] == " " and p[1:] in known}
+        # a piece of one space and what a key may begin with is that key's whole chunk
+        ids = {p: known[p[1:]] for p in pieces if p[0] == " " and len(p) > 1 and p[1] != "\0" and p[1] not in SPACES and p[1:] in known}
         pieces = [p for p in pieces if p not in ids]
         ids.update(zip(pieces, self.merge_all([p.encode() for p in pieces]), strict=True))
         for key, own in pieces_of.items():
@@ -304,7 +306,8 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 def encode_texts(docs: DataFrame, make_codec: Callable[[], BytePairCodec], id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
-    """doc_id, ids (array<int>) and the bytes they decode to, of every text."""
+    """doc_id, ids (array<int>) and the bytes they decode to, of every text. ``make_codec`` is
+    called once a task; one that keeps what it makes (``ranked_codec``) makes it once a worker."""
     return _mapped(docs, make_codec, id_col, text_col, "ids array<int>, decoded binary",
                    lambda ids, decoded: {"ids": pa.array([x.tolist() for x in ids], pa.list_(pa.int32())), "decoded": pa.array(decoded, pa.binary())})
 
@@ -324,22 +327,11 @@ def digest_texts(docs: DataFrame, make_codec: Callable[[], BytePairCodec], id_co
     return _mapped(docs, make_codec, id_col, text_col, "n_tokens long, ids_sha256 string, decoded_sha256 string", columns)
 
 
-_CODECS: dict = {}
-
-
-def _own(make_codec: Callable[[], BytePairCodec]) -> BytePairCodec:
-    """One codec for each Python worker; its tables are kept from task to task."""
-    key = (make_codec.__module__, make_codec.__qualname__)
-    if key not in _CODECS:
-        _CODECS[key] = make_codec()
-    return _CODECS[key]
-
-
 def _mapped(docs: DataFrame, make_codec, id_col: str, text_col: str, kinds: str, columns) -> DataFrame:
     def run(found: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = None
         for batch in found:
-            codec = codec or _own(make_codec)
+            codec = codec or make_codec()
             for part in by_size(batch, "text", BATCH_BYTES):
                 texts = [(x.as_py() or b"").decode("utf-8", "replace") for x in part.column("text")]
                 encoded = codec.encode_all(texts)
@@ -354,10 +346,16 @@ def _mapped(docs: DataFrame, make_codec, id_col: str, text_col: str, kinds: str,
     return rows.mapInArrow(run, f"doc_id {docs.schema[id_col].dataType.simpleString()}, {kinds}")
 
 
+@lru_cache(maxsize=4)
+def ranked_codec(path: str, pattern: str) -> BytePairCodec:
+    """One codec for each Python worker, ranks file and pattern; its tables are kept from task to task."""
+    return BytePairCodec(load_ranks(path), pattern)
+
+
 def public_codec(name: str = "byte_bpe_multi_50k.tiktoken") -> BytePairCodec:
     import public_tokenizers
 
-    return BytePairCodec(load_ranks(public_tokenizers.path(name)), public_tokenizers.PATTERN)
+    return ranked_codec(public_tokenizers.path(name), public_tokenizers.PATTERN)
 
 
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,6 +28,7 @@ import re
 import string
 import struct
 import zlib
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
@@ -45,6 +46,8 @@ from weft.session import scratch_path
 FRAME_BYTES = 1 << 18
 LEVEL = 3
 END_ID = 2
+# A capital and what may be a combining mark after it: composed before or after it is lower-cased makes a difference.
+COMPOSES = re.compile(rb"[A-Z][\xc2-\xf4]")
 CACHED_CHUNKS = 500_000
 ENCODE_BYTES = 4 << 20  # texts that are encoded together
 
@@ -203,11 +206,19 @@ class ChunkEncoder:
         known.update((c, words[w] + others[r]) for c, (w, r) in zip(chunks, parts, strict=True))
 
     def _chunks(self, text: bytes) -> list[bytes]:
-        """Lower-cased chunks; special tokens with a space before."""
+        """Chunks, lower-cased where that is safe; special tokens with a space before."""
         parts = self.apart.split(text) if self.apart else [text]
         if len(parts) == 1:
+            return self._lowered(text)
+        return [c for k, part in enumerate(parts) for c in ([b" " + part] if k % 2 else self._lowered(part))]
+
+    @staticmethod
+    def _lowered(text: bytes) -> list[bytes]:
+        """Chunks in lower case, so that the memory holds each once. The library composes marks
+        first and lower-cases then; a chunk with a mark after A-Z is left to it as it is."""
+        if not COMPOSES.search(text):
             return lower_ascii(text).split()
-        return [c for k, part in enumerate(parts) for c in ([b" " + part] if k % 2 else lower_ascii(part).split())]
+        return [c if COMPOSES.search(c) else lower_ascii(c) for c in text.split()]
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         split = [self._chunks(t) for t in texts]
@@ -227,7 +238,7 @@ def tokenizer_encoder(path: str) -> ChunkEncoder:
     return ChunkEncoder(path)
 
 
-MANIFEST_SCHEMA = "part long, path string, docs long, ids long"
+MANIFEST_SCHEMA = "part long, path string, docs long, ids long, first_id long, last_id long"
 
 
 def write_token_files(docs: DataFrame, folder: str, make_encoder: Callable[[], Callable], end_id: int = END_ID,
@@ -261,7 +272,9 @@ def write_token_files(docs: DataFrame, folder: str, make_encoder: Callable[[], C
         if writer is not None:
             writer.close()
             yield pa.RecordBatch.from_pydict({
-                "part": [context.partitionId()], "path": [path], "docs": [len(writer.docs)], "ids": [sum(writer.sizes)]})
+                "part": [context.partitionId()], "path": [path], "docs": [len(writer.docs)], "ids": [sum(writer.sizes)],
+                "first_id": pa.array([next((d for d in writer.docs if d is not None), None)], pa.int64()),
+                "last_id": pa.array([writer.docs[-1]], pa.int64())})
 
     return materialise(rows.mapInArrow(write, MANIFEST_SCHEMA), "token-manifest")
 
@@ -301,6 +314,33 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
     return listed.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
+def read_documents(manifest: DataFrame, doc_ids: list[int]) -> DataFrame:
+    """doc_id and ids (array<long>) of the documents with some ids, one row for each that is there.
+
+    Only files whose range of ids has one of them are opened, and of these only the tables at
+    the end and the frames of the documents asked for are read."""
+    spark, wanted = manifest.sparkSession, sorted(set(doc_ids))
+    asked = []
+    for row in manifest.where("last_id IS NOT NULL").collect():
+        own = wanted[bisect_left(wanted, row["first_id"]):bisect_right(wanted, row["last_id"])]
+        if own:
+            asked.append((row["path"], own))
+    listed = spark.createDataFrame(asked, "path string, wanted array<long>").repartition(max(1, len(asked)), "path")
+
+    def read(found: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in found:
+            for path, own in zip(batch.column("path").to_pylist(), batch.column("wanted").to_pylist(), strict=True):
+                store, place = open_store(path)
+                with store.open_input_file(place) as file:
+                    reader = TokenFileReader(file)
+                    for doc_id in own:
+                        for row in reader.find(doc_id):
+                            yield pa.RecordBatch.from_pydict({"doc_id": pa.array([doc_id], pa.int64()),
+                                                              "ids": pa.array([reader.document(row).astype(np.int64)], pa.list_(pa.int64()))})
+
+    return listed.mapInArrow(read, "doc_id long, ids array<long>")
+
+
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode all documents into seekable token files, and digest them as read back."""
     import public_tokenizers
