@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import math
+import re
+from collections import Counter
+
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from weft.llm import langid, rules
@@ -68,6 +74,86 @@ def test_language_of_odd_rows(spark):
     assert empty.count() == 0 and empty.columns == [*df.columns, "lang"]
 
 
+def plain_probabilities(model, text):
+    """A text's probabilities by loops over its windows, positions and filters."""
+    total, weight = np.zeros(len(model.labels)), 0
+    for at in range(0, max(len(text), 1), langid.WINDOW):
+        part = text[at:at + langid.WINDOW]
+        vectors = [model.embedding[b].astype(np.float64) for b in part.ljust(langid.WINDOW, b"\0")]
+        heard = []
+        for f in range(model.filters.shape[1]):
+            width = langid.WIDTHS[f // langid.FILTERS]
+            taps = model.filters[:width * langid.EMBEDDING, f].astype(np.float64).reshape(width, langid.EMBEDDING)
+            heard.append(max(sum(float(vectors[p + j] @ taps[j]) for j in range(width)) for p in range(langid.WINDOW - max(langid.WIDTHS) + 1)))
+        logits = np.maximum(np.array(heard) + model.bias, 0) @ model.dense + model.offset
+        chances = np.exp(logits - logits.max())
+        total += len(part) * chances / chances.sum()
+        weight += len(part)
+    return total / weight
+
+
+def test_whole_texts_equal_a_plain_forward_pass():
+    model = langid.train([b"the cat and the dog of the house"] * 3 + ["le chat est dans la maison où".encode()] * 3, ["en"] * 3 + ["fr"] * 3, steps=40)
+    texts = [b"a", b"the dog" * 100, "où est le chat ".encode() * 30 + b"the end of the house " * 20, b"x" * langid.WINDOW, b"y" * (langid.WINDOW + 1)]
+    langs, scores = langid.classify(model, texts)
+    for text, lang, score in zip(texts, langs, scores, strict=True):
+        want = plain_probabilities(model, text)
+        assert lang == model.labels[int(want.argmax())] and score == pytest.approx(want.max(), abs=1e-5)
+
+
+def test_clear_texts_stay_and_the_model_decides(spark, monkeypatch):
+    words = {"en": "the water runs under old bridges ", "ru": "вода течёт под старым мостом ", "el": "το νερό τρέχει κάτω από τη γέφυρα "}
+    mixed = "".join((w * 40)[:len(w) * 12] for w in words.values())
+    rows = [(k, words[lang] * 12, lang) for k, lang in enumerate([*words] * 40)] + [(900, mixed, None), (901, "12 - 34", None), (902, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = {r.doc_id for r in langid.keep_clear(docs).collect()}
+    assert kept == set(range(120))  # three languages in equal parts are no clear text
+    fitted = langid.train(*langid.sample(docs, ~langid.third_held_out()))
+    assert langid.clear_score(fitted, [], []) == 0.0 and 0 < langid.clear_score(fitted, *langid.sample(docs, langid.third_held_out())) <= langid.CLEAR
+    fitted.dense = -fitted.dense  # another network
+    monkeypatch.setattr(langid, "train", lambda *a: fitted)
+    monkeypatch.setattr(langid, "clear_score", lambda *a: 0.5)
+    assert {r.doc_id for r in langid.keep_clear(docs).collect()} != kept
+    monkeypatch.setattr(langid, "train", lambda *a: None)
+    assert langid.keep_clear(docs).collect() == []
+
+
+def plain_statistics(text):
+    """The 18 numbers of a text, each straight from its meaning."""
+    data = (text or "").encode()
+    words, lines = [w for w in re.split(rb"[ \t\n\v\f\r]+", data) if w], [x for x in data.split(b"\n") if x.strip(b" \t\n\v\f\r")]
+    size, n, m = max(len(data), 1), max(len(words), 1), max(len(lines), 1)
+    count = lambda allowed: sum(b in allowed for b in data)
+    upper, lower = count(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"), count(b"abcdefghijklmnopqrstuvwxyz")
+    common = Counter(words).most_common(1)
+    return {"bytes": len(data), "words": len(words), "lines": len(lines), "upper": upper / max(upper + lower, 1), "symbols": count(b"#$%&*+<=>@[\\]^_`{|}~") / size,
+            "marks": data.count(b"!") / n, "pipes": data.count(b"|") / n, "digits": count(b"0123456789") / size, "punctuation": count(b".,;:?'\"()-") / size,
+            "non_ascii": sum(b > 127 for b in data) / size, "word_length": (size - count(b" \t\n\v\f\r")) / n, "new_words": len(set(words)) / n,
+            "new_lines": len(set(lines)) / m, "top_word": (common[0][1] if common else 0) / n, "line_words": n / m,
+            "ends": sum(x.rstrip(b" \t\n\v\f\r")[-1:] in (b".", b"!", b"?") for x in lines) / m,
+            "longest_word": max([len(w) for w in words], default=0), "spaces": data.count(b" ") / size}
+
+
+@given(st.text(alphabet="aB9 \n\t!|.,#é漢", max_size=60))
+@settings(max_examples=200, deadline=None)
+def test_statistics_equal_a_plain_count(text):
+    want = plain_statistics(text)
+    assert rules.statistics(text.encode()) == pytest.approx([want[name] for name in rules.STATISTICS])
+
+
+def test_scores_of_documents_equal_a_plain_evaluation(spark):
+    docs, labels = table(spark, "/root/testdata/sf0.001", "documents"), table(spark, "/root/testdata/sf0.001", "labels")
+    model = rules.learn(docs, labels, ~rules.fifth_held_out())
+    want = {}
+    for r in docs.collect():
+        numbers = plain_statistics(r.text)
+        x = [numbers[name] for name in rules.STATISTICS]
+        total = model.intercept + sum(rule.weight for rule in model.rules if all((x[k] > cut) == above for k, above, cut in rule.terms))
+        want[r.doc_id] = 1 / (1 + math.exp(-total))
+    got = {r.doc_id: r.score for r in rules.op9_rule_quality(spark, "/root/testdata/sf0.001").collect()}
+    assert got == pytest.approx(want)
+
+
 def test_quality_on_held_out_documents(spark):
     got = rules.op9_rule_quality(spark, SF)
     assert got.columns == ["doc_id", "held_out", "score", "predicted"]

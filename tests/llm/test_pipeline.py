@@ -7,6 +7,7 @@ import hashlib
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from test_simhash_and_decontam import brute_classes, brute_fingerprint, brute_leaks
@@ -26,7 +27,10 @@ def test_pipeline_equals_brute_force(spark):
     good = docs.where(docs.doc_id.isin(kept))
     net = langid.train(*langid.sample(good, ~langid.third_held_out()))
     langs = dict(zip(kept, zip(*langid.classify(net, [rows[i].text.encode() for i in kept])), strict=True))
-    kept = [i for i in kept if langs[i][0] != "und" and langs[i][1] >= 0.5]
+    held, names = langid.sample(good, langid.third_held_out())
+    right = sorted(s for x, s, y in zip(*langid.classify(net, held), names, strict=True) if x == y)
+    least = min(0.5, right[int(0.001 * (len(right) - 1))])
+    kept = [i for i in kept if langs[i][0] != "und" and langs[i][1] >= least]
     classes = brute_classes([brute_fingerprint(rows[i].text) for i in kept])
     kept = [i for k, i in enumerate(kept) if classes[k] == k]
     items = [(r.item_id, r.text) for r in table(spark, SF, "benchmark").collect()]
@@ -48,8 +52,11 @@ def test_odd_documents_through_every_stage(spark, empty):
             (3, "The same words are here and there again.", "en", "s", 1), (None, "No id but the words are fine.", "en", None, 2), (4, "and the of in to a " * 30_000, "en", "s", 3)]
     docs = spark.createDataFrame([(*r, 1.0, "x", 5) for r in ([] if empty else rows)],
                                  "doc_id long, text string, lang string, source string, n_chars long, score double, fp string, words int")
+    docs = docs.withColumn("__own", F.lit("own")).withColumn("__id", F.lit(7)).withColumn("a.b", F.lit("dot")).withColumn("c0", F.lit(1.5)).withColumn("__text", F.lit("t"))
     for name, stage in corpus_pipeline.STAGES:
         out = stage(spark, docs, SF)
+        if name != "tokens":
+            assert all(tuple(r[-5:]) == ("own", 7, "dot", 1.5, "t") for r in out.collect())
         assert name == "tokens" or out.columns == docs.columns
         assert name == "tokens" or out.dtypes == docs.dtypes
         out.collect()

@@ -25,6 +25,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def by_place(docs: DataFrame, *named: str) -> tuple[DataFrame, list[str]]:
+    """The same columns under names ``c0``, ``c1``, ... (so that none can clash with an
+    operator's own, hold a dot or be there twice), and the new names of some of them."""
+    return docs.toDF(*[f"c{k}" for k in range(len(docs.columns))]), [f"c{docs.columns.index(n)}" for n in named]
+
+
 def materialise(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write to a fresh folder of the shared checkpoint folder and read it back."""
     spark = df.sparkSession

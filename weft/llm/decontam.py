@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm.common import raw_bytes, table
+from weft.llm.common import by_place, raw_bytes, table
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -247,7 +247,8 @@ def _leak_finder(index: ItemIndex):
 
 def drop_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text") -> DataFrame:
     """The documents that hold no benchmark passage, with all their columns."""
-    place = docs.columns.index(text_col)
+    place, names = docs.columns.index(text_col), docs.columns
+    docs, _ = by_place(docs)
     for block in item_blocks(items):
         index = ItemIndex(block)
 
@@ -256,7 +257,7 @@ def drop_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text") -> Dat
                 yield batch.filter(pa.array([not index.matches(raw_bytes(t).decode("utf-8", "replace")) for t in batch.column(place)], pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)
-    return docs
+    return docs.toDF(*names)
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from weft.llm.common import raw_bytes, table
+from weft.llm.common import by_place, raw_bytes, table
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -38,6 +38,8 @@ BATCH = 96
 LEAST_BYTES = 6  # shortest excerpt that training shows
 WINDOWS_AT_ONCE = 256
 UNKNOWN = "und"
+LOST = 0.001  # share of held-out excerpts of known language that the filtering stage may lose
+CLEAR = 0.5   # a text of at least this score is in one language
 
 
 @dataclass
@@ -221,18 +223,35 @@ def predict(docs: DataFrame, model: ByteCNN | None, id_col: str = "doc_id", text
     return rows.mapInArrow(run, schema)
 
 
-def keep_known(docs: DataFrame, least: float = 0.0, text_col: str = "text") -> DataFrame:
+def keep_known(docs: DataFrame, least: float = 0.0, text_col: str = "text", model: ByteCNN | None = None) -> DataFrame:
     """The documents whose language is recognised (not ``und``), with all their columns; with
-    ``least``, those of at least that score."""
-    model = train(*sample(docs, ~F.coalesce(third_held_out(), F.lit(False))))
-    place = docs.columns.index(text_col)
+    ``least``, those of at least that score. Learned from ``docs`` where no model is given."""
+    model = model or train(*sample(docs, ~F.coalesce(third_held_out(), F.lit(False))))
+    place, names = docs.columns.index(text_col), docs.columns
+    rows, _ = by_place(docs)
 
     def run(found: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in found:
             langs, scores = classify(model, map(raw_bytes, batch.column(place)))
             yield batch.filter(pa.array([x != UNKNOWN and s >= least for x, s in zip(langs, scores, strict=True)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return rows.mapInArrow(run, rows.schema).toDF(*names)
+
+
+def clear_score(model: ByteCNN | None, excerpts: list[bytes], labels: list[str], lost: float = LOST) -> float:
+    """The score that all but the share ``lost`` of the rightly predicted excerpts reach, ``CLEAR`` at most."""
+    langs, scores = classify(model, excerpts)
+    right = [s for s, x, y in zip(scores, langs, labels, strict=True) if x == y]
+    return min(CLEAR, float(np.quantile(right, lost, method="lower"))) if right else 0.0
+
+
+def keep_clear(docs: DataFrame, lost: float = LOST) -> DataFrame:
+    """The documents in one recognised language, with all their columns: those with a letter
+    whose score reaches ``clear_score`` of held-out excerpts. Learned from the labelled
+    documents that are not held out; without labels no language is known and all go."""
+    held = F.coalesce(third_held_out(), F.lit(False))
+    model = train(*sample(docs, ~held))
+    return keep_known(docs, clear_score(model, *sample(docs, held), lost), model=model) if model else keep_known(docs)
 
 
 def identify(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text",

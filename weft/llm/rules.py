@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm.common import table
+from weft.llm.common import by_place, table
 
 SAMPLE_ROWS = 20_000
 TREES = 24
@@ -217,7 +217,9 @@ def score_quality(docs: DataFrame, labels: DataFrame, held_out: Column | None =
 def keep_good(docs: DataFrame, labels: DataFrame, least: float = THRESHOLD) -> DataFrame:
     """The documents that score at least ``least``, with all their columns."""
     model = learn(docs, labels, ~F.coalesce(fifth_held_out(), F.lit(False)))
-    return with_statistics(docs, keep=docs.columns).where(model.score() >= least).select(*docs.columns)
+    rows, (text,) = by_place(docs, "text")
+    kept = with_statistics(rows, text, keep=rows.columns).where(model.score() >= least)
+    return kept.select(*rows.columns).toDF(*docs.columns)
 
 
 def op9_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from weft.llm.common import canonical_words, materialise, table
+from weft.llm.common import by_place, canonical_words, materialise, table
 from weft.llm.components import components
 
 SHINGLE_WORDS = 4
@@ -263,10 +263,11 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     roots = _roots(prints.groupBy("fp").agg(F.min(order).alias("least")), max_bits)
     kept = roots.groupBy("root").agg(F.min("least").alias("least")).select(
         F.col("least.doc_id").alias("__id"), F.col("least.text_hash").alias("__hash")).distinct()
-    own = docs.withColumn("__own", F.xxhash64(F.col(text_col)))
-    found = own.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__hash")))
-    one = Window.partitionBy("__id", "__hash").orderBy(text_col)
-    return found.withColumn("__place", F.row_number().over(one)).where("__place = 1").select(*docs.columns)
+    rows, (own_id, text) = by_place(docs, id_col, text_col)
+    own = rows.withColumn("__own", F.xxhash64(text))
+    found = own.join(kept, F.col(own_id).cast("long").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__hash")))
+    one = Window.partitionBy("__id", "__hash").orderBy(text)
+    return found.withColumn("__place", F.row_number().over(one)).where("__place = 1").select(*rows.columns).toDF(*docs.columns)
 
 
 def op5_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
