@@ -92,3 +92,32 @@ def test_tree_bounds_hold_and_search_skips_pages():
     for q in points[::100]:
         assert nearest(q) == sorted((-((points - q) ** 2).sum(axis=1)).tolist(), reverse=True)[:10]
     assert sum(looked) < 20 * 2000 * 0.5
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_many_queries_at_once_equal_one_by_one(seed):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(0, 30, (20, 6))
+    points = np.floor(np.repeat(centres, 100, axis=0) + rng.normal(0, 1, (2000, 6)))
+    points[50:80] = points[3]
+    tree = mtree.MTree(points)
+    queries = np.concatenate([points[::40], np.floor(rng.normal(0, 40, (20, 6)))])
+    need = rng.integers(1, 30, len(queries))
+    looked = []
+
+    def score(rows, numbers):
+        looked.append(len(rows) * len(numbers))
+        return -((points[rows][None] - queries[numbers][:, None]) ** 2).sum(axis=2)
+
+    def distance_of(scores, numbers):
+        return np.where(np.isneginf(scores), np.inf, np.sqrt(np.maximum(-scores, 0)) + 1e-9)
+
+    everything = -((points[None] - queries[:, None]) ** 2).sum(axis=2)
+    known = np.where(rng.random(len(queries)) < 0.5, -np.inf, np.sort(everything, axis=1)[np.arange(len(queries)), -need])  # a bound that holds
+    number, rows, scores = tree.search_many(queries, score, need, known, distance_of)
+    for q in range(len(queries)):
+        own = number == q
+        assert len(set(rows[own].tolist())) == own.sum() and (scores[own] == everything[q, rows[own]]).all()
+        worst = np.sort(everything[q])[-need[q]]
+        assert set(rows[own].tolist()) == set(np.flatnonzero(everything[q] >= worst).tolist())
+    assert sum(looked) < 0.5 * everything.size

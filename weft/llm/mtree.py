@@ -12,8 +12,9 @@ product, and a metric tree finds them. Distances only steer the search; scores a
    to its page's router, a page its covering radius.
 3. Equal queries are one search. Each first searches the trees of its nearest pivot, which
    bounds its k-th score; then those trees whose pivot distance less covering radius does
-   not exceed that bound. Inside a tree pages are visited best first; an entry is passed over
-   without computing its distance where the stored distance to the router bounds it away (triangle inequality).
+   not exceed that bound. Inside a tree pages are visited best first, each by all queries of the
+   block that its bound admits; an entry is passed over without computing its distance where
+   the stored distance to the router bounds it away (triangle inequality).
 4. Queries meet trees in blocks of at most ``QUERY_ROWS``; each (tree, block) gives for each query
    its best k ids and as many more as the query's own id has rows, and these are ranked together.
 
@@ -43,6 +44,7 @@ PIVOT_ROWS = 4096  # entries that a pivot is meant to have
 TREE_ROWS = 8192
 QUERY_ROWS = 4096
 PAGE = 64
+NEAREST = 2  # leaves of a query that are visited before all others
 SLACK = 1e-6  # relative, for rounding of distances
 
 
@@ -148,6 +150,89 @@ class MTree:
         return rows[ok], scores[ok]
 
 
+    def search_many(self, queries: np.ndarray, score, need: np.ndarray, kth: np.ndarray, distance_of) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query number, row, score) of the ``need`` best of each query, ties with the last included.
+
+        As ``search``, for many queries: a page is compared at once with all queries that its
+        bound admits. Each query's nearest leaves come first, then the others by their bounds,
+        each taken only by the queries whose bound, as it is by then, still admits it.
+        score(rows, numbers) gives exact scores, a row for each query."""
+        kth, limit = kth.astype(np.float64).copy(), distance_of(kth, np.arange(len(queries)))
+        best = np.full((len(queries), int(need.max())), -np.inf)  # sorted by columns, the best last
+        width = best.shape[1]
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+        def apart(numbers: np.ndarray, routers: np.ndarray) -> np.ndarray:
+            own, other = queries[numbers], self.centre_of[routers]
+            return np.sqrt(np.maximum((own ** 2).sum(axis=1)[:, None] + (other ** 2).sum(axis=1)[None] - 2 * own @ other.T, 0))
+
+        def visit(page: int, numbers: np.ndarray, away: np.ndarray) -> None:
+            _, entries, from_router = self.pages[page]
+            near = np.abs(away[:, None] - from_router[None]) <= limit[numbers][:, None] * (1 + SLACK) + SLACK
+            rows = np.flatnonzero(near.any(axis=0))
+            some = np.flatnonzero(near.any(axis=1))
+            if not len(rows):
+                return
+            numbers, entries = numbers[some], entries[rows]
+            scores = np.where(near[np.ix_(some, rows)], score(entries, numbers), -np.inf)
+            ok = scores >= kth[numbers][:, None]
+            hit = np.flatnonzero(ok.any(axis=1))
+            if not len(hit):
+                return
+            at, which = np.nonzero(ok)
+            found.append((numbers[at], entries[which], scores[at, which]))
+            numbers = numbers[hit]
+            both = np.concatenate([best[numbers], np.where(ok[hit], scores[hit], -np.inf)], axis=1)
+            best[numbers] = np.sort(np.partition(both, both.shape[1] - width, axis=1)[:, -width:], axis=1)
+            reached = best[numbers, width - need[numbers]]
+            better = reached > kth[numbers]
+            kth[numbers[better]] = reached[better]
+            limit[numbers[better]] = distance_of(kth[numbers[better]], numbers[better])
+
+        root = len(self.pages) - 1
+        every = np.arange(len(queries))
+        work, leaves = [(root, every, apart(every, np.array([root]))[:, 0])], []
+        while work:
+            page, numbers, away = work.pop()
+            level, entries, from_router = self.pages[page]
+            if level == 0:
+                leaves.append((page, numbers, away, np.maximum(away - self.radius_of[page], 0)))
+                continue
+            reach = self.radius_of[entries][None]
+            slack = limit[numbers][:, None] * (1 + SLACK) + SLACK
+            near = np.abs(away[:, None] - from_router[None]) - reach <= slack
+            rows, columns = np.flatnonzero(near.any(axis=1)), np.flatnonzero(near.any(axis=0))
+            if not len(rows):
+                continue
+            distance = apart(numbers[rows], entries[columns])
+            near = near[np.ix_(rows, columns)] & (distance - reach[:, columns] <= slack[rows])
+            for c in np.flatnonzero(near.any(axis=0)).tolist():
+                own = np.flatnonzero(near[:, c])
+                work.append((int(entries[columns[c]]), numbers[rows[own]], distance[own, c]))
+        if not leaves:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        number = np.concatenate([n for _, n, _, _ in leaves])
+        leaf = np.repeat(np.arange(len(leaves)), [len(n) for _, n, _, _ in leaves])
+        away, bound = np.concatenate([a for _, _, a, _ in leaves]), np.concatenate([b for _, _, _, b in leaves])
+        by = np.lexsort((away, number))
+        starts = np.flatnonzero(np.concatenate([[True], number[by][1:] != number[by][:-1]]))
+        place = np.arange(len(by)) - np.repeat(starts, np.diff(np.append(starts, len(by))))
+        first = np.zeros(len(by), bool)
+        first[by[place < NEAREST]] = True
+        for part in (np.flatnonzero(first), np.flatnonzero(~first)):
+            part = part[np.argsort(leaf[part], kind="stable")]
+            groups = np.split(part, np.flatnonzero(np.diff(leaf[part])) + 1) if len(part) else []
+            for own in sorted(groups, key=lambda g: float(bound[g].min())):
+                own = own[bound[own] <= limit[number[own]] * (1 + SLACK) + SLACK]
+                if len(own):
+                    visit(leaves[leaf[own[0]]][0], number[own], away[own])
+        if not found:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        number, rows, scores = (np.concatenate(x) for x in zip(*found, strict=True))
+        ok = scores >= kth[number]
+        return number[ok], rows[ok], scores[ok]
+
+
 def scaled(column: str) -> Column:
     """floor(64 x) of a vector's components; null where the vector takes no part."""
     x = F.col(column)
@@ -180,22 +265,30 @@ def _searcher(dims: int, top: float):
             return empty
         trees, queries = trees.combine_chunks(), queries.combine_chunks()
         points = _matrix(trees.column("v").chunk(0), dims)
-        ids = trees.column("ids").to_pylist()
+        ids = trees.column("ids").chunk(0)
+        many = np.asarray(pa.compute.list_value_length(ids))
+        flat, first = np.asarray(ids.flatten()), np.cumsum(many) - many
         tree = MTree(_lifted(points, top))
         wanted = _matrix(queries.column("v").chunk(0), dims)
-        known = np.asarray(queries.column("kth")).astype(np.float64)
-        out_q, out_n, out_v, out_s = [], [], [], []
-        for number, need, q, kth in zip(queries.column("query").to_pylist(), queries.column("need").to_pylist(), wanted, known, strict=True):
-            size = float((q ** 2).sum()) + top
-            rows, scores = tree.search(
-                np.append(q, 0.0), lambda r, q=q: points[r] @ q, need, kth,
-                lambda s, size=size: math.inf if s == -math.inf else math.sqrt(max(size - 2 * s, 0.0)) * (1 + SLACK) + SLACK)
-            hits = sorted((-int(s), i) for r, s in zip(rows.tolist(), scores.tolist(), strict=True) for i in ids[r])[:need]
-            out_q.extend([number] * len(hits))
-            out_n.extend([need] * len(hits))
-            out_v.extend(i for _, i in hits)
-            out_s.extend(-s for s, _ in hits)
-        return pa.table({"query": pa.array(out_q, pa.int64()), "need": pa.array(out_n, pa.int64()), "vec_id": pa.array(out_v, pa.int64()), "score": pa.array(out_s, pa.int64())})
+        size = (wanted ** 2).sum(axis=1) + top
+        need = np.asarray(queries.column("need"))
+
+        def distance_of(scores: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+            with np.errstate(invalid="ignore"):
+                return np.where(np.isneginf(scores), np.inf, np.sqrt(np.maximum(size[numbers] - 2 * scores, 0.0)) * (1 + SLACK) + SLACK)
+
+        number, rows, scores = tree.search_many(np.concatenate([wanted, np.zeros((len(wanted), 1))], axis=1), lambda r, n: wanted[n] @ points[r].T,
+                                                need, np.asarray(queries.column("kth")).astype(np.float64), distance_of)
+        copies = many[rows]
+        vec = flat[np.repeat(first[rows], copies) + np.arange(copies.sum()) - np.repeat(np.cumsum(copies) - copies, copies)]
+        number, scores = np.repeat(number, copies), np.repeat(scores, copies).astype(np.int64)
+        by = np.lexsort((vec, -scores, number))
+        number, vec, scores = number[by], vec[by], scores[by]
+        starts = np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1]])) if len(number) else np.zeros(0, np.int64)
+        place = np.arange(len(number)) - np.repeat(starts, np.diff(np.append(starts, len(number))))
+        ok = place < need[number]
+        return pa.table({"query": pa.array(np.asarray(queries.column("query"))[number[ok]], pa.int64()), "need": pa.array(need[number[ok]], pa.int64()),
+                         "vec_id": pa.array(vec[ok], pa.int64()), "score": pa.array(scores[ok], pa.int64())})
 
     return search
 
