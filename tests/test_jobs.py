@@ -124,3 +124,59 @@ def test_settings_of_the_platform_are_kept(spark):
     session._SCRATCH[:] = kept
     with pytest.raises(Exception):
         spark.read.parquet(path).count()
+
+
+def test_heavy_keys_come_from_one_scan(spark):
+    from weft.operators.labels import heavy_keys, salted_left_join
+    labels = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.col("id") % 5000)).alias("k"),
+                                        F.col("id").cast("string").alias("lab"))
+    assert [k for k, _ in heavy_keys(labels, "k", 1000)] == ["hot"]
+    left = spark.createDataFrame([("hot", 1), ("k1", 2), ("absent", 3), (None, 4)], "k string, i int")
+    plan = salted_left_join(left, labels, "k", "lab", rows_per_salt=1000)
+    got = plan.groupBy("k").count().collect()
+    assert {(r.k, r["count"]) for r in got} == {("hot", 10_000), ("k1", labels.where("k = 'k1'").count()), ("absent", 1), (None, 1)}
+    assert plan.where("k = 'hot'").select("lab").distinct().count() == 10_000
+
+
+def test_flights_with_their_airports(spark):
+    rows = [("A", "B", 1), ("B", "A", 2), ("A", "X", 3), (None, "A", 4)]
+    fl = spark.createDataFrame(rows, "origin string, dest string, distance int")
+    ports = spark.createDataFrame([("A", "Alpha", "c", "s", "n", 1.5, 2.0), ("A", "Aaa", "c", "s", "n", 0.5, 2.0), ("B", "Beta", "d", "s", "n", 3.0, 4.0)],
+                                  "iata string, airport string, city string, state string, country string, lat double, lng double")
+    out = flights.with_airports(fl, ports, ("airport", "lat"))
+    assert sorted(map(tuple, out.collect()), key=lambda r: r[2]) == [
+        ("A", "B", 1, "Alpha", 1.5, "Beta", 3.0), ("B", "A", 2, "Beta", 3.0, "Alpha", 1.5), ("A", "X", 3, "Alpha", 1.5, None, None), (None, "A", 4, None, None, "Alpha", 1.5)]
+    shuffled = flights.with_airports(spark.range(10).selectExpr("string(id % 2) AS origin", "string(id % 3) AS dest"), ports)
+    plan = shuffled._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan
+
+
+def test_missing_integers_can_be_null(spark):
+    line = spark.createDataFrame([(_line("A", "B", 1, "NA"),), (_line("A", "B", 2, 1),)], "value string")
+    assert [r.canceled for r in parse_flights(line).rows.collect()] == [-1, 1]
+    assert [r.canceled for r in parse_flights(line, missing=None).rows.collect()] == [None, 1]
+
+
+def test_lattice_equals_the_cube_of_the_rows(spark):
+    from weft.operators import stats
+    df = spark.createDataFrame([("a", None, 1, 2.0), ("a", "x", None, 4.0), (None, "x", 3, None), ("b", None, 5, 1.0), ("b", None, 5, 1.0)], "p string, q string, i int, v double")
+    got = stats.cube_lattice(df, ["p", "q"], {"n": stats.rows_measure(), "s": stats.sum_measure("i"), "lo": stats.min_measure("v"),
+                                              "hi": stats.max_measure("v"), "mean": stats.avg_measure("i")})
+    want = df.cube("p", "q").agg(F.count("*").alias("n"), F.sum("i").alias("s"), F.min("v").alias("lo"), F.max("v").alias("hi"), F.avg("i").alias("mean"))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.columns == want.columns
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Expand") < plan.index("LogicalRDD") and plan.count("Aggregate") == 2 and "Expand" not in plan[plan.rindex("Aggregate"):]
+
+
+def test_positions_follow_the_order(spark):
+    from weft.operators.order import with_positions
+    df = spark.range(5000).selectExpr("id", "id % 7 AS g", "CASE WHEN id % 11 = 0 THEN NULL ELSE id % 100 END AS v").repartition(9)
+    got = with_positions(df, [F.col("v").desc(), "id"], position="at")
+    rows = sorted(df.collect(), key=lambda r: (r.v is None, -(r.v or 0), r.id))
+    assert {(r.id, r["at"]) for r in got.collect()} == {(r.id, k) for k, r in enumerate(rows)}
+    own = with_positions(df, ["v", "id"], ["g"], total="n").collect()
+    for g in range(7):
+        rows = sorted((r for r in df.collect() if r.g == g), key=lambda r: (r.v is not None, r.v or 0, r.id))
+        assert {(r.id, r.position) for r in own if r.g == g} == {(r.id, k) for k, r in enumerate(rows)}
+        assert {r.n for r in own if r.g == g} == {len(rows)}
+    assert with_positions(df.where("false"), ["v"]).collect() == []

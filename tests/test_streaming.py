@@ -68,3 +68,43 @@ def test_times_do_not_depend_on_the_session_time_zone(spark, tmp_path):
         assert streaming.late_rows(q) == 0
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_streaming_page_views_equal_batch_and_their_state_goes(spark, tmp_path):
+    import json
+    import random
+
+    from weft.operators.sessions import cut_sessions
+    from weft.streaming import pageviews
+    rnd = random.Random(2)
+    base = dt.datetime(2024, 1, 1)
+    rows = [(rnd.choice([1, 2, 3]), base + dt.timedelta(minutes=rnd.randrange(3000)), k, rnd.choice(["pageview", "click", "click", "scroll"]),
+             None if k % 5 == 0 else k, rnd.choice([None, "ü"])) for k in range(300)]
+    rows += [(7, base, 1000, "click", 5, "x"), (None, base, 1001, "click", 5, "x"), (7, None, 1002, "click", 5, "x")]
+    df = spark.createDataFrame(rows, "u long, t timestamp_ntz, o long, k string, n int, s string")
+    spec = SessionSpec("u", "t", "o", "k", first=("n", "s"), landing=("s", "t"))
+    want = sorted(str(tuple(r)) for r in cut_sessions(df, spec, "pageview").collect())
+    src, end = str(tmp_path / "src"), str(tmp_path / "end")
+    ordered = df.orderBy("t")
+    ordered.repartitionByRange(4, "t").write.parquet(src)  # four files, one a micro-batch, each a stretch of time
+    streaming.write_end_mark(df, spec, end, after="30 days")
+    # the mark comes last: it would make the rows of later files late
+    first = pageviews.pageview_sessions(streaming.file_stream(spark, src, df.schema, max_files_per_trigger=10), spec, watermark="3 days", idle="9 days")
+    q = streaming.write_parquet(first, str(tmp_path / "out1"), str(tmp_path / "ck1"), available_now=True)
+    q.awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out1")).count() < len(want)  # the last ones may still grow
+    both = streaming.file_stream(spark, src, df.schema).union(streaming.file_stream(spark, end, df.schema))
+    q = streaming.write_parquet(pageviews.pageview_sessions(both, spec, watermark="3 days", idle="9 days"), str(tmp_path / "out2"), str(tmp_path / "ck2"), available_now=True)
+    q.awaitTermination()
+    assert sorted(str(tuple(r)) for r in spark.read.parquet(str(tmp_path / "out2")).collect()) == want
+    left = json.loads(q.lastProgress.json)["stateOperators"][0]["numRowsTotal"]
+    assert left == 1  # the mark's own
+
+
+def test_a_click_after_the_timer_opens_a_session():
+    from weft.streaming.pageviews import _Visitor
+    visitor = _Visitor([(5, 1, False, "f1", None), (9, 2, True, "f2", "l2"), (12, 3, False, "f3", None), (40, 4, False, "f4", None), (41, 5, True, "f5", "l5")])
+    assert list(visitor.take(12, 20)) == [[5, 1, "f1", None, 0, 1, 5]] and visitor.wakes(20) == 32
+    assert list(visitor.take(39, 20)) == [[9, 2, "f2", "l2", 1, 1, 12]] and visitor.wakes(20) == 40
+    assert list(visitor.take(45, 20)) == [[40, 4, "f4", None, 0, 1, 40]] and visitor.wakes(20) == 61
+    assert list(visitor.take(62, 20)) == [[41, 5, "f5", "l5", 1, 0, 41]] and visitor.wakes(20) is None

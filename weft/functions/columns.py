@@ -44,10 +44,11 @@ def _sql_string(text: str) -> str:
     return "'" + "".join(out) + "'"
 
 
-def lenient_int_sql(expr: str, default: int = MISSING_INT) -> str:
-    """SQL text of ``lenient_int`` over the SQL expression ``expr``."""
+def lenient_int_sql(expr: str, default: int | None = MISSING_INT) -> str:
+    """SQL text of ``lenient_int`` over the SQL expression ``expr``; a default of None is null."""
+    none = "CAST(NULL AS INT)" if default is None else str(default)
     return (f"CASE WHEN {expr} RLIKE {_sql_string(INT_TEXT_PATTERN)} "
-            f"THEN coalesce(try_cast({expr} AS INT), {default}) ELSE {default} END")
+            f"THEN coalesce(try_cast({expr} AS INT), {none}) ELSE {none} END")
 
 
 def jvm_trim_sql(expr: str) -> str:

@@ -67,6 +67,17 @@ def attach_unique_label(df: DataFrame, labels: DataFrame, key: str, label: str,
 
 
 ROWS_PER_SALT = 100_000
+# Of the label side's keys, so many of the most frequent are told by a sketch that tracks TRACKED
+# keys: a key that holds more than some 4 / TRACKED of the rows is always among those it tracks.
+HEAVY_KEYS = 1_000
+TRACKED = 100_000
+
+
+def heavy_keys(df: DataFrame, key: str, rows: int, most: int = HEAVY_KEYS) -> list[tuple]:
+    """(key, about how many rows) of the keys with more than ``rows`` rows, ``most`` at most: one
+    scan of the key column, with a mergeable summary of the frequent ones and no shuffle of rows."""
+    found = df.select(F.col(key).alias("k")).where("k IS NOT NULL").agg(F.expr(f"approx_top_k(k, {most}, {max(TRACKED, most)})")).first()[0]
+    return [(r["item"], r["count"]) for r in found or [] if r["count"] > rows]
 
 
 def salted_left_join(df: DataFrame, labels: DataFrame, key: str, label: str,
@@ -76,21 +87,24 @@ def salted_left_join(df: DataFrame, labels: DataFrame, key: str, label: str,
     """Left join with fan-out whose label side may hold a hot key.
 
     AQE can split the left side of a left join, not the right, so one label
-    key with millions of rows would put its whole fan-out in one task. Here
-    every key has as many salts as its label rows need, one for each
-    ``rows_per_salt``: a label row takes the salt that a hash of its
-    ``row_key`` columns (default: all) names, the same in every attempt of a task,
-    and a left row is repeated once per salt of its key. A key of the label side always has
-    matches, so copies that meet an empty salt are dropped. The rows are those
-    of the plain left join.
+    key with millions of rows would put its whole fan-out in one task. The keys
+    with more than ``rows_per_salt`` label rows are found first (``heavy_keys``) and have
+    as many salts as they need, sent to both sides as a table of ``HEAVY_KEYS`` rows at most:
+    a label row takes the salt that a hash of its ``row_key`` columns (default: all)
+    names, the same in every attempt of a task, and a left row is repeated once per salt of
+    its key. A heavy key always has matches, so copies that meet an empty salt
+    are dropped. The rows are those of the plain left join, whatever the summary says.
     """
     lk = label_key or key
-    salts = (labels.groupBy(F.col(lk).alias("__hk")).agg(F.count("*").alias("__n")).filter("__hk IS NOT NULL")
-                   .select("__hk", F.ceil(F.col("__n") / rows_per_salt).cast("int").alias("__salts")))
+    heavy = [(k, -(-n // rows_per_salt)) for k, n in heavy_keys(labels, lk, rows_per_salt)]
+    if not heavy:
+        return attach_label(df, labels, key, label, lk, default)
+    kind = labels.schema[lk].dataType.simpleString()
+    salts = F.broadcast(df.sparkSession.createDataFrame(heavy, f"__hk {kind}, __salts int"))
     row = F.xxhash64(*(row_key or labels.columns))
     right = (labels.select(F.col(lk).alias("__lk"), F.col(label).alias("__lv"), row.alias("__row"))
-                   .join(salts, F.col("__lk") == F.col("__hk"))
-                   .select("__lk", "__lv", F.pmod("__row", "__salts").cast("int").alias("__rs")))
+                   .join(salts, F.col("__lk") == F.col("__hk"), "left")
+                   .select("__lk", "__lv", F.pmod("__row", F.coalesce("__salts", F.lit(1))).cast("int").alias("__rs")))
     out = df.drop(label) if label in df.columns else df
     left = (out.join(salts, out[key] == F.col("__hk"), "left")
                .withColumn("__ls", F.explode(F.sequence(F.lit(0), F.coalesce("__salts", F.lit(1)) - 1)))

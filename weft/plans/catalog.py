@@ -32,7 +32,7 @@ from weft.plans.visits import build_sessions, label_domains, read_log
 from weft.session import scratch_path
 from weft.sinks.writers import read_text_records, write_csv, write_parquet, write_text
 from weft.sources.formats import (parse_airports, parse_cookie_labels, parse_flights, parse_id_payload,
-                                  parse_visit_log, read_csv, read_json, read_lines)
+                                  infer_csv, parse_visit_log, read_json, read_lines)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -835,6 +835,58 @@ UNION ALL
 SELECT 'months', NULL, NULL, month, count(*), NULL, NULL FROM f WHERE dest = 'F' GROUP BY month"""
 
 
+def airport_file_rows(spark, sf_dir):
+    """An airport file, written as text and read."""
+    path = scratch_path(spark, "airport-lines")
+    _airport_lines(spark, sf_dir).write.text(path)
+    return flights.load_airports(spark, path).rows
+
+
+def id_json_file_reports(spark, sf_dir):
+    """A file of ``id::json`` lines, written as text, read and its JSON taken apart."""
+    path = scratch_path(spark, "device-lines")
+    ev = _t(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
+    payload = F.to_json(F.struct(F.col("event_id").alias("device_id"), F.col("event_type").alias("device_type"), F.lit("USA").alias("cca3"),
+                                 F.pmod("event_id", F.lit(40)).alias("temp"), F.pmod("user_id", F.lit(30)).alias("signal"),
+                                 (F.col("event_id") + 100).alias("c02_level")))
+    ev.select(F.concat(F.col("event_id").cast("string"), F.lit("::"), payload).alias("value")).write.text(path)
+    rows = devices.active_devices(devices.load_devices(spark, path).rows)
+    return rows.select("device_id", "device_type", "cca3", "temp", "signal", "c02_level")
+
+
+ID_JSON_FILE_SQL = """
+SELECT event_id AS device_id, event_type AS device_type, 'USA' AS cca3, event_id % 40 AS temp, user_id % 30 AS signal, event_id + 100 AS c02_level
+FROM events WHERE event_id % 40 > 10 AND user_id % 30 > 15"""
+
+
+def _route_lines(spark, sf_dir) -> DataFrame:
+    """Lineitems as flight lines between nations' airports."""
+    names = lambda end: _t(spark, sf_dir, "nation").select(F.col("n_nationkey").alias(f"{end}_key"), F.col("n_name").alias(end))
+    li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", "l_extendedprice")
+    li = (li.join(names("origin"), F.col("l_suppkey") % 25 == F.col("origin_key")).join(names("dest"), F.col("l_partkey") % 25 == F.col("dest_key")))
+    fields = [F.lit("2024")] * 8 + [F.lit("WX"), F.col("l_orderkey").cast("string"), F.lit("T1")] + [F.col("l_linenumber").cast("string")] * 5 + [
+        F.col("origin"), F.col("dest"), F.floor("l_extendedprice").cast("int").cast("string")] + [F.lit("0")] * 10
+    return _with_header(spark, li.select(F.concat_ws(",", *fields).alias("value")), FLIGHT_HEADER)
+
+
+def flight_airports(spark, sf_dir):
+    """A flight file and an airport file, read and joined by origin and by destination."""
+    paths = {name: scratch_path(spark, f"{name}-lines") for name in ("route", "airport")}
+    _route_lines(spark, sf_dir).write.text(paths["route"])
+    _airport_lines(spark, sf_dir).write.text(paths["airport"])
+    rows = parse_flights(read_lines(spark, paths["route"])).rows.select("flightNum", F.col("times.airTime").alias("airTime"), "origin", "dest", "distance")
+    return flights.with_airports(rows, flights.load_airports(spark, paths["airport"]).rows, ("airport", "city", "lat"))
+
+
+FLIGHT_AIRPORTS_SQL = f"""
+WITH a AS ({PARSE_QUOTED_SQL})
+SELECT CAST(l_orderkey AS INTEGER) AS flightNum, CAST(l_linenumber AS INTEGER) AS airTime, o.n_name AS origin, d.n_name AS dest,
+       CAST(floor(l_extendedprice) AS INTEGER) AS distance, x.airport AS origin_airport, x.city AS origin_city, x.lat AS origin_lat,
+       y.airport AS dest_airport, y.city AS dest_city, y.lat AS dest_lat
+FROM lineitem JOIN nation o ON l_suppkey % 25 = o.n_nationkey JOIN nation d ON l_partkey % 25 = d.n_nationkey
+LEFT JOIN a x ON x.iata = o.n_name LEFT JOIN a y ON y.iata = d.n_name"""
+
+
 def json_file_nested(spark, sf_dir):
     """Nested documents written as JSON lines and read with a declared schema,
     with integer epochs read as timestamps (A6, A11, I13, I17, I18)."""
@@ -863,17 +915,17 @@ _LI_SQL = """SELECT CAST(l_orderkey AS INTEGER) AS l_orderkey, CAST(l_linenumber
 
 
 def csv_infer_header(spark, sf_dir):
-    """CSV with header and inferred types, read back."""
+    """CSV with header, read back with types that are inferred as the rows pass."""
     path = scratch_path(spark, "csv-header")
     write_csv(_t(spark, sf_dir, "lineitem").select(*_LI_COLS), path, header=True)
-    return read_csv(spark, path, header=True, infer_schema=True)
+    return infer_csv(spark, path, scratch_path(spark, "csv-typed"), header=True)
 
 
 def csv_infer_noheader(spark, sf_dir):
     """Header-less CSV with inferred types, read back."""
     path = scratch_path(spark, "csv-plain")
     write_csv(_t(spark, sf_dir, "lineitem").select(*_LI_COLS), path, header=False)
-    return read_csv(spark, path, header=False, infer_schema=True).toDF(*_LI_COLS)
+    return infer_csv(spark, path, scratch_path(spark, "csv-typed")).toDF(*_LI_COLS)
 
 
 def text_sink_roundtrip(spark, sf_dir):
@@ -1017,6 +1069,9 @@ QUERIES: dict[str, Query] = {
     "nested_get": nested_get,
     "visit_log_sessions": visit_log_sessions,
     "flight_file_reports": flight_file_reports,
+    "airport_file_rows": airport_file_rows,
+    "id_json_file_reports": id_json_file_reports,
+    "flight_airports": flight_airports,
     "json_file_nested": json_file_nested,
     "csv_infer_header": csv_infer_header,
     "csv_infer_noheader": csv_infer_noheader,
@@ -1065,6 +1120,9 @@ ORACLES: dict[str, str] = {
     "nested_get": NESTED_GET_SQL,
     "visit_log_sessions": VISIT_LOG_SQL,
     "flight_file_reports": FLIGHT_FILE_SQL,
+    "airport_file_rows": PARSE_QUOTED_SQL,
+    "id_json_file_reports": ID_JSON_FILE_SQL,
+    "flight_airports": FLIGHT_AIRPORTS_SQL,
     "json_file_nested": JSON_FILE_SQL,
     "csv_infer_header": _LI_SQL,
     "csv_infer_noheader": _LI_SQL,

@@ -38,6 +38,22 @@ class Committed:
         return self.outputs[output]
 
 
+def rename_new(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename a file or folder of a Hadoop file system; False, and nothing done, if ``target`` is there."""
+    hadoop, conf = spark.sparkContext._jvm.org.apache.hadoop, spark.sparkContext._jsc.hadoopConfiguration()
+    old, new = hadoop.fs.Path(source), hadoop.fs.Path(target)
+    fs = new.getFileSystem(conf)
+    old, new = fs.makeQualified(old), fs.makeQualified(new)
+    options = spark.sparkContext._gateway.new_array(getattr(hadoop.fs, "Options$Rename"), 0)  # none: do not replace
+    try:
+        hadoop.fs.FileContext.getFileContext(new.toUri(), conf).rename(old, new, options)
+    except Exception:
+        if fs.exists(new):
+            return False
+        raise
+    return True
+
+
 class Run:
     """An open run: ``path`` names the folder of an output, ``commit`` makes all visible."""
 
@@ -101,16 +117,9 @@ class Commits:
             file.write(bytearray(json.dumps(said).encode()))
         finally:
             file.close()
-        context = self._hadoop.fs.FileContext.getFileContext(self._log.toUri(), self._conf())
-        kind = getattr(self._hadoop.fs, "Options$Rename")
-        options = self.spark.sparkContext._gateway.new_array(kind, 0)
-        try:
-            context.rename(self._fs.makeQualified(draft), self._fs.makeQualified(target), options)
-        except Exception as error:
+        if not rename_new(self.spark, draft.toString(), target.toString()):
             self._fs.delete(draft, False)
-            if self._fs.exists(target):
-                raise Conflict(f"commit {number} of {self.base} is there already") from error
-            raise
+            raise Conflict(f"commit {number} of {self.base} is there already")
 
     def read(self, output: str, kind: str = "parquet", schema=None) -> DataFrame:
         """An output of the latest commit."""

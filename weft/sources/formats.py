@@ -13,12 +13,12 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weft import schemas
-from weft.functions.columns import jvm_trim, jvm_trim_sql, lenient_int_sql
+from weft.functions.columns import MISSING_INT, jvm_trim, jvm_trim_sql, lenient_int_sql
 
 # Fixed values of the line formats.
 LOG_COMMENT_PREFIX = "#"
@@ -201,12 +201,12 @@ FLIGHT_TOP_FIELDS = [("uniqueCarrier", 8, "str"), ("flightNum", 9, "int"), ("tai
                      ("securityDelay", 27, "int"), ("lateAircraftDelay", 28, "int")]
 
 
-def flight_columns(fields: str) -> list[Column]:
+def flight_columns(fields: str, missing: int | None = MISSING_INT) -> list[Column]:
     """Nested flight record from the array column ``fields`` of raw fields
-    (A10, B4, C9). Built as SQL text: one expression per output column
-    instead of a few hundred client-side Column calls."""
+    (A10, B4, C9), ``missing`` where an integer is blank or none. Built as SQL text: one
+    expression per output column instead of a few hundred client-side Column calls."""
     def num(i: int) -> str:
-        return lenient_int_sql(f"get(`{fields}`, {i})")
+        return lenient_int_sql(f"get(`{fields}`, {i})", missing)
 
     def text(i: int) -> str:
         return jvm_trim_sql(f"get(`{fields}`, {i})")
@@ -219,15 +219,16 @@ def flight_columns(fields: str) -> list[Column]:
             F.expr(struct(FLIGHT_TIME_FIELDS)).alias("times"), *top]
 
 
-def parse_flights(lines: DataFrame) -> Parsed:
+def parse_flights(lines: DataFrame, missing: int | None = MISSING_INT) -> Parsed:
     """Comma-delimited flight lines (B3): a header line (first field ending in
     ``year``, any case) is skipped; fewer than 29 fields after dropping
-    trailing empties is a reject; integers are lenient (-1 when missing)."""
+    trailing empties is a reject; integers are lenient: ``missing`` where there is none, -1
+    as the format has it, or None for nulls, which statistics leave out."""
     v, f = F.col("value"), F.col(PARTS)
     header = F.lower(F.substring(F.get(f, 0), -4, 4)) == "year"
     reason = (F.when(F.trim(v) == "", F.lit("blank_line"))
                .when(F.size(f) < FLIGHT_MIN_FIELDS, F.lit("short_line")))
-    return _finish(_stage(lines.select("value"), _split_like_jvm(v, ",", ",")), reason, flight_columns(PARTS),
+    return _finish(_stage(lines.select("value"), _split_like_jvm(v, ",", ",")), reason, flight_columns(PARTS, missing),
                    skip=F.coalesce(header, F.lit(False)))
 
 
@@ -276,3 +277,54 @@ def read_csv(spark: SparkSession, path: str | list[str], header: bool = False,
     if schema is not None:
         return r.schema(schema).csv(path)
     return r.option("inferSchema", infer_schema).csv(path)
+
+
+# Shapes of the values that inference tells apart; the whole value must match.
+_DIGITS = r"^[+-]?[0-9]+\z"
+_NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?[dDfF]?\s*\z"
+_SPECIAL = ("NaN", "Inf", "-Inf", "Infinity", "+Infinity", "-Infinity")
+_DAY = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
+_TIME = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?(Z|[+-][0-9]{2}:[0-9]{2})?\z"
+
+
+def _value_types(c: Column) -> dict[str, Column]:
+    """Whether a value fits each type of the lattice, narrowest first; each holds those before
+    it in its own chain (int, bigint, decimal, double; date, timestamp; boolean)."""
+    digits = c.rlike(_DIGITS)
+    whole = F.when(digits & (F.length(c) <= 20), c.try_cast("bigint"))
+    day = c.rlike(_DAY) & c.try_cast("date").isNotNull()
+    return {"int": F.coalesce(whole.between(-(1 << 31), (1 << 31) - 1), F.lit(False)),
+            "bigint": whole.isNotNull(),
+            "decimal": digits & (F.length(c) <= 38),
+            "double": c.rlike(_NUMBER) | c.isin(*_SPECIAL),
+            "date": day,
+            "timestamp": day | (c.rlike(_TIME) & c.try_cast("timestamp").isNotNull()),
+            "boolean": F.lower(c).isin("true", "false")}
+
+
+def infer_csv(spark: SparkSession, path: str | list[str], staged: str, header: bool = False, sep: str = ",") -> DataFrame:
+    """CSV with inferred types from one read of all rows.
+
+    The rows are copied as text to ``staged`` (Parquet), and while they pass each task
+    merges, for each column, which types all its values fit: an aggregate of a few flags a
+    column, gathered with ``observe``. The typed rows are then casts over the copy. A column
+    takes the narrowest of int, bigint, decimal, double, date, timestamp and boolean that
+    fits all its values, else string, as it also is without any value."""
+    raw = spark.read.option("header", header).option("sep", sep).csv(path)
+    cols = [F.col(f"`{n}`") for n in raw.columns]
+    flags = {f"{k}_{name}": F.bool_and(F.when(c.isNotNull(), fits)) for k, c in enumerate(cols) for name, fits in _value_types(c).items()}
+    # for decimals: digits of the whole numbers beyond bigint, and whether any is a bigint but no int
+    for k, c in enumerate(cols):
+        fits = _value_types(c)
+        flags[f"{k}_digits"] = F.max(F.when(fits["decimal"] & ~fits["bigint"], F.length(F.ltrim(F.regexp_replace(c, "^[+-]", ""), F.lit("0")))))
+        flags[f"{k}_wide"] = F.bool_or(F.when(c.isNotNull(), fits["bigint"] & ~fits["int"]))
+    seen = Observation("types")
+    raw.observe(seen, *[v.alias(n) for n, v in flags.items()]).write.mode("overwrite").parquet(staged)
+    merged = seen.get
+    out = []
+    for k, n in enumerate(raw.columns):
+        kind = next((t for t in ("int", "bigint", "decimal", "double", "date", "timestamp", "boolean") if merged[f"{k}_{t}"]), "string")
+        if kind == "decimal":
+            kind = f"decimal({max(merged[f'{k}_digits'], 20 if merged[f'{k}_wide'] else 0)},0)"
+        out.append(F.col(f"`{n}`").cast(kind).alias(n))
+    return spark.read.schema(raw.schema).parquet(staged).select(*out)
