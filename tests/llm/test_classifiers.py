@@ -110,10 +110,10 @@ def test_clear_texts_stay_and_the_model_decides(spark, monkeypatch):
     assert kept == set(range(120))  # three languages in equal parts are no clear text
     fitted = langid.train(*langid.sample(docs, ~langid.third_held_out()))
     assert langid.clear_score(fitted, [], []) == 0.0 and 0 < langid.clear_score(fitted, *langid.sample(docs, langid.third_held_out())) <= langid.CLEAR
-    fitted.dense = -fitted.dense  # another network
+    fitted.dense, fitted.offset = 0 * fitted.dense, 0 * fitted.offset  # a network that tells nothing
     monkeypatch.setattr(langid, "train", lambda *a: fitted)
     monkeypatch.setattr(langid, "clear_score", lambda *a: 0.5)
-    assert {r.doc_id for r in langid.keep_clear(docs).collect()} != kept
+    assert langid.keep_clear(docs).collect() == []
     monkeypatch.setattr(langid, "train", lambda *a: None)
     assert langid.keep_clear(docs).collect() == []
 
