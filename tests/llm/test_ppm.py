@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -82,6 +83,37 @@ def test_small_blocks_and_chunks_give_the_same(spark, monkeypatch):
     _check(ppm.score_texts(df, held_out(), block_bytes=500).collect(), brute(DOCS))
 
 
+@pytest.mark.parametrize("heavy", [0, 3, 40])
+def test_heavy_contexts_give_the_same(spark, heavy):
+    df = spark.createDataFrame(DOCS, "doc_id long, text string")
+    _check(ppm.score_texts(df, held_out(), heavy=heavy).collect(), brute(DOCS))
+
+
+def test_counts_given_out_early_give_the_same(spark, monkeypatch):
+    found = []
+    rows = [pa.RecordBatch.from_pydict({"block": [k % 3], "held_out": [False], "text": [(t or "").encode()]}) for k, (_, t) in enumerate(DOCS)]
+    for held in (ppm.HELD, 40):
+        monkeypatch.setattr(ppm, "HELD", held)
+        total = Counter()
+        batches = list(ppm._counter(ppm.ORDER)(rows))
+        for b in batches:
+            for block, gram, word, n in zip(*[b.column(c).to_pylist() for c in ("block", "gram", "word", "n")], strict=True):
+                total[block, gram, word] += n
+        found.append((total, len(batches)))
+    assert found[0][0] == found[1][0] and found[1][1] > found[0][1]
+
+
+def test_blocks_have_their_size_whatever_the_rows_come_from(spark, tmp_path):
+    rows = [(k, ("word%d " % k) * 40) for k in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    df.coalesce(1).write.parquet(str(tmp_path / "d"))
+    read = spark.read.parquet(str(tmp_path / "d"))
+    for some in (read, read.repartition(4), read.join(df.select("doc_id").distinct(), "doc_id"), df):
+        sizes = ppm._blocks(some.select("doc_id", F.col("text").cast("binary").alias("text")), 20_000).groupBy("block").agg(F.sum(F.length("text")).alias("n"), F.count("*").alias("rows")).collect()
+        assert sum(r.rows for r in sizes) == 600 and len(sizes) >= 6 and max(r.n for r in sizes) < 60_000
+    _check(ppm.score_texts(read.where("doc_id < 12").repartition(4), held_out(), block_bytes=800).collect(), brute(rows[:12]))
+
+
 def test_empty_table_and_no_training_rows(spark):
     df = spark.createDataFrame(DOCS, "doc_id long, text string")
     assert ppm.score_texts(df.where("false"), held_out()).collect() == []

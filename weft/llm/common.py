@@ -66,6 +66,20 @@ def raw_bytes(value) -> bytes:
     return b"" if buffer is None else buffer.to_pybytes()
 
 
+def give_back() -> None:
+    """Return freed memory to the system; a Python worker that has done a large task serves
+    other stages next, and what it keeps counts against its executor."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def by_size(batch, column: str, size: int):
     """Slices of a record batch whose values in a binary column make up about ``size``
     bytes; a value larger than that is a slice of its own."""

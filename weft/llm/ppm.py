@@ -15,13 +15,16 @@ trie alone, and scoring is a lookup per gram.
 
 How it is spread over the cluster:
 
-1. a block is what one input split holds, cut by a hash to parts of about ``BLOCK_BYTES`` (rows
-   that come from no file are dealt by a hash); without moving any text each block gives its
+1. a block is what one input split holds, cut by a hash to parts of about ``BLOCK_BYTES`` of
+   text (the splits' bytes are summed first; rows that come from no file are written to the
+   checkpoint folder and read from there); without moving any text each block gives its
    distinct grams and words with their training counts;
 2. grams are summed and grouped by the two context bytes before the predicted
    byte: such a group holds every context of length two and more that can matter
-   to its grams.  Lengths one and zero come from a table of at most 65,536 sums,
-   the only counts the driver collects;
+   to its grams.  Two bytes that more than ``HEAVY`` rows of the blocks' grams have are
+   grouped with the byte before them, and their own contexts' sums go to each of these groups.
+   Lengths one and zero come from a table of at most 65,536 sums, the only counts
+   the driver collects beside the list of such two bytes;
 3. the probabilities join back to the blocks that asked for them, and each block
    meets its documents and scores them (cogroup, the one shuffle of texts).  A task never holds more than one block and
    its distinct grams, whatever the corpus size.
@@ -42,11 +45,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from weft.llm.common import by_size, canonical_words, materialise, table
+from weft.llm.common import by_size, canonical_words, give_back, materialise, table
 
 ORDER = 5
-BLOCK_BYTES = 48 << 20
+BLOCK_BYTES = 32 << 20
 CHUNK_BYTES = 1 << 20
+HELD = 2_400_000  # distinct grams that a counting task holds before it gives them out
+HEAVY = 4_000_000
 END = 0x0A
 LOG10 = math.log(10.0)
 
@@ -111,12 +116,13 @@ class Level:
 
 
 def log_probabilities(wanted: np.ndarray, keys: np.ndarray, counts: np.ndarray, low: np.ndarray,
-                      order: int = ORDER) -> np.ndarray:
+                      order: int = ORDER, second: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
     """Natural log of the PPM probability (a symbol c of n times: (c - 1/2) / n; escape: distinct / 2n), with exclusion, of each wanted gram.
 
     keys, counts: training grams that share a two-byte context suffix with the
     wanted ones (or all of them). low: 256 x 256 training counts of (previous
-    byte, byte), which give the contexts of length one and zero."""
+    byte, byte), which give the contexts of length one and zero. second: the three-byte
+    grams and counts of contexts of length two, where the keys share three bytes."""
     levels: list[Level] = []
     pairs = np.flatnonzero(low.reshape(-1))
     ones = low.sum(axis=0)
@@ -124,7 +130,7 @@ def log_probabilities(wanted: np.ndarray, keys: np.ndarray, counts: np.ndarray,
     levels.append(Level(zero.astype(np.int64), ones[zero]))
     levels.append(Level(pairs.astype(np.int64), low.reshape(-1)[pairs]))
     for k in range(2, order + 1):
-        levels.append(Level(*_sums(keys & ((1 << (8 * (k + 1))) - 1), counts)))
+        levels.append(Level(*(_sums(*second) if k == 2 and second is not None else _sums(keys & ((1 << (8 * (k + 1))) - 1), counts))))
     # sums, in the next shorter context, over the symbols of each context
     covered: list[np.ndarray] = [np.zeros(0, np.int64)]
     for k in range(1, order + 1):
@@ -168,17 +174,19 @@ class Lookup:
     """Values of 64-bit keys: an open-addressed table that is filled and read in array steps."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
-        self.bits = max(4, int(2 * len(keys)).bit_length())
+        self.bits = max(4, int(1.4 * len(keys)).bit_length())
         size = 1 << self.bits
-        self.keys, self.values = np.full(size, -1), np.zeros(size)
-        left, spot = np.arange(len(keys)), self._spot(keys)
-        while len(left):
-            free = self.keys[spot[left]] == -1
-            self.keys[spot[left[free]]] = keys[left[free]]  # of several the last one stays
-            placed = self.keys[spot[left]] == keys[left]
-            self.values[spot[left[placed]]] = values[left[placed]]
-            left = left[~placed]
-            spot[left] = (spot[left] + 1) & (size - 1)
+        self.keys, self.values = np.full(size, -1), np.zeros(size, values.dtype)
+        for at in range(0, len(keys), 1 << 18):  # some at a time, so that only the table itself is large
+            own, value = keys[at:at + (1 << 18)], values[at:at + (1 << 18)]
+            left, spot = np.arange(len(own)), self._spot(own)
+            while len(left):
+                free = self.keys[spot[left]] == -1
+                self.keys[spot[left[free]]] = own[left[free]]  # of several the last one stays
+                placed = self.keys[spot[left]] == own[left]
+                self.values[spot[left[placed]]] = value[left[placed]]
+                left = left[~placed]
+                spot[left] = (spot[left] + 1) & (size - 1)
 
     def _spot(self, keys: np.ndarray) -> np.ndarray:
         return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
@@ -219,24 +227,29 @@ class BlockCounts:
     """Distinct grams and words of one block, with their training counts."""
 
     def __init__(self, order: int):
-        self.order, self.seen, self.words, self.held = order, [], Counter(), 0
+        self.order, self.seen, self.words, self.held, self.fresh = order, [], Counter(), 0, 0
 
     def add(self, texts: list[bytes | None], train: bool) -> None:
         for part in _chunks(texts):
             keys, counts = _tally(text_grams([p[1] for p in part], self.order)[0])
-            self.seen.append((keys, counts * train))
+            self.seen.append((keys, (counts * train).astype(np.int32)))
             self.held += len(keys)
+            self.fresh += len(keys)
             for _, _, own in part:
                 if train:
                     self.words.update(own)
                 else:
                     self.words.update(dict.fromkeys(own, 0))
-        if self.held > 4_000_000:
-            self.seen = [self.grams()]
-            self.held = len(self.seen[0][0])
+
+    def settle(self) -> None:
+        """Bring what is held to distinct grams."""
+        self.seen = [self.grams()]
+        self.held, self.fresh = len(self.seen[0][0]), 0
 
     def grams(self) -> tuple[np.ndarray, np.ndarray]:
-        return _sums(np.concatenate([k for k, _ in self.seen]), np.concatenate([c for _, c in self.seen]))
+        keys, counts = np.concatenate([k for k, _ in self.seen]), np.concatenate([c for _, c in self.seen])
+        self.seen = []
+        return _sums(keys, counts)
 
     def rows(self, block: int) -> Iterator[pa.RecordBatch]:
         keys, counts = self.grams()
@@ -244,7 +257,7 @@ class BlockCounts:
             some = slice(at, at + (1 << 16))
             n = len(keys[some])
             yield pa.RecordBatch.from_pydict({"block": np.full(n, block, np.int32), "gram": keys[some],
-                                              "word": pa.nulls(n, pa.binary()), "n": counts[some]})
+                                              "word": pa.nulls(n, pa.binary()), "n": counts[some].astype(np.int64)})
         words = list(self.words.items())
         for at in range(0, len(words), 1 << 16):
             some = words[at:at + (1 << 16)]
@@ -266,21 +279,46 @@ def _counter(order: int):
                     split.setdefault((block, out), []).append(text)
                 for (block, out), some in split.items():
                     blocks.setdefault(block, BlockCounts(order)).add(some, not out)
-        for block, counts in blocks.items():
-            yield from counts.rows(block)
+                if sum(b.fresh for b in blocks.values()) > HELD // 4:
+                    for counts in blocks.values():
+                        counts.settle()
+                    if sum(b.held for b in blocks.values()) > HELD:  # a block may give a gram more than once
+                        for block in list(blocks):
+                            yield from blocks.pop(block).rows(block)
+        for block in list(blocks):
+            yield from blocks.pop(block).rows(block)
+        give_back()
     return count
 
 
 def _modeller(low: np.ndarray, order: int):
     def model(rows: pa.Table) -> pa.Table:
-        every = np.asarray(rows.column("gram"))
-        n = np.asarray(rows.column("n"))
+        every, n = np.asarray(rows.column("gram")), np.asarray(rows.column("n"))
+        sums = np.asarray(rows.column("sums"))
+        second = (every[sums], n[sums]) if sums.any() else None
+        every, n = every[~sums], n[~sums]
         known = n > 0
         keys, counts = _sums(every[known], n[known])
-        return pa.table({"gram": every, "value": (log_probabilities(every, keys, counts, low, order) / LOG10).astype(np.float32)})
+        return pa.table({"gram": every, "value": (log_probabilities(every, keys, counts, low, order, second) / LOG10).astype(np.float32)})
     return model
 
 
+def _grouped(counted: DataFrame, crowded: list[int]) -> DataFrame:
+    """Distinct grams (gram, n) with the ``group`` whose trie they need; for ``crowded`` pairs of
+    context bytes each group of three bytes has the sums of the two as well (``sums``)."""
+    pair = F.shiftright("gram", 8).bitwiseAND(0xFFFF)
+    rows = counted.select("gram", "n", F.lit(False).alias("sums"))
+    if not crowded:
+        return rows.withColumn("group", pair)
+    third = F.shiftright("gram", 8).bitwiseAND(0xFFFFFF) + (1 << 24)
+    own = counted.where(pair.isin(crowded))
+    around = own.groupBy(pair.alias("pair")).agg(F.collect_set(third).alias("groups"))  # 256 at most
+    sums = (own.where("n > 0").groupBy(F.col("gram").bitwiseAND(0xFFFFFF).alias("gram")).agg(F.sum("n").alias("n"))
+               .join(F.broadcast(around), pair == F.col("pair"))  # one row for each heavy pair
+               .select("gram", "n", F.lit(True).alias("sums"), F.explode("groups").alias("group")))
+    return rows.withColumn("group", F.when(pair.isin(crowded), third).otherwise(pair)).unionByName(sums)
+
+
 SCORE_COLUMNS = "held_out boolean, n_tokens long, n_known long, base_part double, score double, kinds long"
 
 
@@ -288,7 +326,7 @@ def _scorer(order: int, end_count: int):
     def score(docs: pa.Table, lookup: pa.Table) -> pa.Table:
         value = np.asarray(lookup.column("value"))
         is_gram = np.asarray(lookup.column("gram").is_valid())
-        logs = Lookup(np.asarray(lookup.column("gram").drop_null()), value[is_gram])
+        logs = Lookup(np.asarray(lookup.column("gram").drop_null()), value[is_gram].astype(np.float32))
         count_of = dict(zip(lookup.column("word").drop_null().to_pylist(), value[~is_gram].tolist(), strict=True)).__getitem__
         n = len(docs)
         out = {"n_tokens": np.zeros(n, np.int64), "n_known": np.zeros(n, np.int64),
@@ -309,25 +347,31 @@ def _scorer(order: int, end_count: int):
         kinds = np.zeros(n, np.int64)
         if n:  # words that this block tells of, on one of its rows
             kinds[0] = np.asarray(lookup.column("first").cast(pa.int64()).fill_null(0)).sum()
-        return pa.table({"doc_id": docs.column("doc_id"), "held_out": docs.column("held_out"), **out, "kinds": kinds})
+        found = pa.table({"doc_id": docs.column("doc_id"), "held_out": docs.column("held_out"), **out, "kinds": kinds})
+        del docs, lookup, logs, count_of
+        give_back()
+        return found
     return score
 
 
 def _blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
-    """Adds block: of an input split, or of a hash where the rows come from no file."""
-    spread = F.xxhash64("doc_id", "text")
-    # compressed text takes about a third of its bytes
-    parts = F.ceil(F.input_file_block_length() * 3 / F.lit(block_bytes)).cast("long")
-    split = docs.withColumn("__file", F.input_file_name()).withColumn("__start", F.input_file_block_start()).withColumn("__parts", parts)
-    size = F.lit(1)
-    if not docs.inputFiles():
-        size = F.lit(max(1, math.ceil((docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) / block_bytes)))
-    block = F.when(F.col("__file") != "", F.hash("__file", "__start", F.pmod(spread, F.greatest("__parts", F.lit(1))))).otherwise(F.pmod(spread, size).cast("int"))
-    return split.withColumn("block", block).drop("__file", "__start", "__parts")
+    """Adds block: of an input split, cut by a hash to parts of ``block_bytes`` of text."""
+    def placed(rows: DataFrame) -> DataFrame:
+        name = F.input_file_name()
+        return rows.withColumn("__split", F.when(name != "", F.xxhash64(name, F.input_file_block_start())))
+
+    rows = placed(docs)
+    if rows.where("__split is null").limit(1).count():  # from memory or a shuffle: there are no splits yet
+        rows = placed(materialise(docs, "ppm-texts"))
+    sizes = (rows.groupBy(F.col("__split").alias("__of")).agg(F.ceil(F.sum(F.octet_length("text")) / block_bytes).cast("long").alias("__parts"))
+                 .where("__parts > 1"))  # one row for an input split, at most
+    part = F.pmod(F.xxhash64("doc_id", "text"), F.coalesce("__parts", F.lit(1)))
+    return (rows.join(F.broadcast(sizes), F.col("__split") == F.col("__of"), "left")
+                .withColumn("block", F.hash("__split", part)).drop("__split", "__of", "__parts"))
 
 
 def score_texts(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "text",
-                order: int = ORDER, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                order: int = ORDER, block_bytes: int = BLOCK_BYTES, heavy: int = HEAVY) -> DataFrame:
     """Score every text with a model learned from the rows where ``held_out`` is not true.
 
     Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score (unigram)
@@ -343,9 +387,11 @@ def score_texts(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str
     low = np.zeros((256, 256), np.int64)
     for pair, n in (counted.where("gram is not null").groupBy(F.col("gram").bitwiseAND(0xFFFF).alias("pair")).agg(F.sum("n")).collect()):
         low[pair >> 8, pair & 255] = n  # 65,536 sums at most
-    model = (asked.groupBy("gram").agg(F.sum("n").alias("n"), F.max("block").alias("block")).where("block is not null")
-             .select("gram", "n").groupBy(F.shiftright("gram", 8).bitwiseAND(0xFFFF))
-             .applyInArrow(_modeller(low, order), "gram long, value float"))
+    distinct = (asked.groupBy("gram").agg(F.sum("n").alias("n"), F.max("block").alias("block")).where("block is not null")
+                .select("gram", "n"))
+    pairs = counted.where("gram is not null").groupBy(F.shiftright("gram", 8).bitwiseAND(0xFFFF).alias("pair")).count()
+    crowded = [r.pair for r in pairs.where(F.col("count") > heavy).select("pair").collect()]  # 65,536 at most
+    model = _grouped(distinct, crowded).groupBy("group").applyInArrow(_modeller(low, order), "gram long, value float")
     # n is kept on this side too (a filter on it would go below the exchange and make another one)
     found = asked.join(model, "gram").withColumn("value", F.when(F.col("n") >= 0, F.col("value")))
     word = Window.partitionBy("word")
