@@ -105,6 +105,33 @@ def test_rollup_ignores_a_batch_that_broke_off(spark):
     assert roll.commit("b1", rows) and _totals(roll) == {("a", "en", "t"): (1, 10)}
 
 
+def test_of_two_senders_of_a_batch_one_counts(spark, monkeypatch):
+    folder = scratch_path(spark, "r")
+    roll, other = rollups.Rollup(spark, folder), rollups.Rollup(spark, folder)
+    rows = spark.createDataFrame([("insert", "a", "en", "t", 10, None)], CHANGES)
+    real = rollups.deltas
+
+    def late(changes):  # the other sender commits while this one is at work
+        monkeypatch.setattr(rollups, "deltas", real)
+        assert other.commit("b1", rows)
+        return real(changes)
+
+    monkeypatch.setattr(rollups, "deltas", late)
+    assert not roll.commit("b1", rows)
+    assert _totals(roll) == {("a", "en", "t"): (1, 10)} and set(roll._listed()) == {"batch=b1"}
+
+
+def test_rollup_expires_what_is_folded(spark):
+    roll = rollups.Rollup(spark, scratch_path(spark, "r"))
+    rows = spark.createDataFrame([("insert", "a", "en", "t", 10, None)], CHANGES)
+    for k in range(3):
+        roll.commit(f"b{k}", rows)
+        roll.compact()
+    roll.commit("b3", rows)
+    assert roll.expire() == 3 + 4 and set(roll._listed()) == {"batch=b3", "ids=3", "folded=3"}
+    assert _totals(roll) == {("a", "en", "t"): (4, 40)} and not roll.commit("b1", rows) and roll.expire() == 0
+
+
 def test_rollup_rejects_unknown_changes_and_ids(spark):
     roll = rollups.Rollup(spark, scratch_path(spark, "r"))
     with pytest.raises(Exception):

@@ -6,11 +6,11 @@ or 0 and tokens +n, -n or n - old. A batch is aggregated to one row for each (so
 tokenizer) before it is stored, so storage and reads follow the number of groups and
 batches, not of documents; a source with a third of all rows is summed where it is read.
 
-The log: a folder ``batch=<id>`` for each batch. A batch whose folder was committed (Spark's
-``_SUCCESS`` file) is left alone when it comes again, one that broke off before that is overwritten
-whole; so each batch counts once however often it is sent. Totals are the sums over
-committed batches. ``compact`` folds committed batches into one folder and remembers their ids, so that replays of folded
-batches stay without effect.
+The log: a folder ``batch=<id>`` for each batch. A batch is written aside and put in place by
+a rename that does not replace, so of two senders of one batch one adds it and the other
+is told that it was there; one that breaks off leaves nothing that counts. Totals are the sums over
+committed batches. ``compact`` folds committed batches into one folder and remembers their ids in a table, so that
+replays of folded batches stay without effect; ``expire`` removes what is folded.
 
 Nulls in source or language are groups of their own; null counts are 0; a null op is an error, like any unknown one.
 Groups whose documents and tokens are both zero are left out of the totals. Repeated changes within a
@@ -19,12 +19,14 @@ batch each count; an empty batch commits and changes nothing."""
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weft.llm.common import materialise, open_store, table
 from weft.session import scratch_path
+from weft.sinks.commits import rename_new
 
 KEYS = ["source", "lang", "tokenizer"]
 DELTA_SCHEMA = "source string, lang string, tokenizer string, n_docs long, n_tokens long"
@@ -62,34 +64,70 @@ class Rollup:
         done = {os_path[len(place):].strip("/").rsplit("/", 1)[0] for os_path in (f.path for f in found) if os_path.endswith("/_SUCCESS")}
         return {name: f"{self.folder}/{name}" for name in done if "/" not in name}
 
-    def _folded(self, listed: dict[str, str]) -> tuple[int, set[str]]:
-        """The newest compaction (0: none) and the batches in it."""
-        level = max((int(n.split("=")[1]) for n in listed if n.startswith("folded=")), default=0)
-        ids = {r[0] for r in self.spark.read.schema("batch string").parquet(listed[f"ids={level}"]).collect()} if level else set()
-        return level, ids
+    def _level(self, listed: dict[str, str]) -> int:
+        """The newest compaction (0: none)."""
+        return max((int(n.split("=")[1]) for n in listed if n.startswith("folded=")), default=0)
+
+    def _folded(self, listed: dict[str, str], batches: list[str]) -> set[str]:
+        """Which of some batches the newest compaction holds; only these ids come to the driver."""
+        level = self._level(listed)
+        if not level or not batches:
+            return set()
+        ids = self.spark.read.schema("batch string").parquet(listed[f"ids={level}"])
+        return {r[0] for r in ids.where(F.col("batch").isin(batches)).distinct().collect()}
+
+    @staticmethod
+    def _batches(listed: dict[str, str]) -> list[str]:
+        return sorted(n.split("=", 1)[1] for n in listed if n.startswith("batch="))
 
     def commit(self, batch_id: str, changes: DataFrame) -> bool:
         """Add a batch; False if it was there already."""
         if not re.fullmatch(r"[A-Za-z0-9._-]+", batch_id):
             raise ValueError(f"a batch id has letters, digits and ._- only: {batch_id!r}")
         listed = self._listed()
-        if f"batch={batch_id}" in listed or batch_id in self._folded(listed)[1]:
+        if f"batch={batch_id}" in listed or self._folded(listed, [batch_id]):
             return False
-        deltas(changes).write.mode("overwrite").parquet(f"{self.folder}/batch={batch_id}")
-        return True
+        aside = f"{self.folder}/_aside-{uuid.uuid4().hex}"
+        deltas(changes).write.parquet(aside)
+        target = f"{self.folder}/batch={batch_id}"
+        added = rename_new(self.spark, aside, target)
+        if not added and f"batch={batch_id}" not in self._listed():  # a folder without its mark counts for nothing
+            self._remove(target)
+            added = rename_new(self.spark, aside, target)
+        if not added:
+            self._remove(aside)
+        return added
+
+    def _remove(self, path: str) -> None:
+        store, place = open_store(path)
+        store.delete_dir(place)
 
     def compact(self) -> None:
         """Fold all committed batches into one folder. The ids are written first and the folded
         sums last: before that is committed, readers and writers go by the single batches."""
         listed = self._listed()
-        level, ids = self._folded(listed)
-        fresh = {n.split("=", 1)[1] for n in listed if n.startswith("batch=")} - ids
-        named = self.spark.createDataFrame([(x,) for x in sorted(ids | fresh)], "batch string")
+        level, batches = self._level(listed), self._batches(listed)
+        fresh = sorted(set(batches) - self._folded(listed, batches))
+        named = self.spark.createDataFrame([(x,) for x in fresh], "batch string")
+        if level:
+            named = named.unionByName(self.spark.read.schema("batch string").parquet(listed[f"ids={level}"]))
         named.write.mode("overwrite").parquet(f"{self.folder}/ids={level + 1}")
-        self._sums(listed, level, ids).write.mode("overwrite").parquet(f"{self.folder}/folded={level + 1}")
+        self._sums(listed).write.mode("overwrite").parquet(f"{self.folder}/folded={level + 1}")
 
-    def _sums(self, listed: dict[str, str], level: int, ids: set[str]) -> DataFrame:
-        paths = [p for n, p in listed.items() if n.startswith("batch=") and n.split("=", 1)[1] not in ids]
+    def expire(self) -> int:
+        """Remove the batches that the newest compaction holds and the compactions before it; call
+        it when no reader or writer is at work. Returns how many folders went."""
+        listed = self._listed()
+        level, batches = self._level(listed), self._batches(listed)
+        gone = [f"batch={b}" for b in sorted(self._folded(listed, batches))]
+        gone += [n for n in listed if n.startswith(("ids=", "folded=")) and int(n.split("=")[1]) < level]
+        for name in gone:
+            self._remove(listed[name])
+        return len(gone)
+
+    def _sums(self, listed: dict[str, str]) -> DataFrame:
+        level, batches = self._level(listed), self._batches(listed)
+        paths = [listed[f"batch={b}"] for b in sorted(set(batches) - self._folded(listed, batches))]
         paths += [listed[f"folded={level}"]] if level else []
         read = self.spark.read.schema(DELTA_SCHEMA)
         rows = read.parquet(*sorted(paths)) if paths else self.spark.createDataFrame([], DELTA_SCHEMA)
@@ -97,8 +135,7 @@ class Rollup:
 
     def totals(self) -> DataFrame:
         """source, lang, tokenizer, n_docs, n_tokens over all committed batches."""
-        listed = self._listed()
-        return self._sums(listed, *self._folded(listed)).where("n_docs <> 0 OR n_tokens <> 0")
+        return self._sums(self._listed()).where("n_docs <> 0 OR n_tokens <> 0")
 
 
 def token_count(text: Column, version: str) -> Column:
