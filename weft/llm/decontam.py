@@ -42,13 +42,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm.common import by_place, raw_bytes, table
+from weft.llm.common import by_place, materialise, raw_bytes, table
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 RADIUS = 20
 BLOCKS = 8  # of 64 / BLOCKS bits
 BLOCK_WORDS = 2_000_000
+BLOCK_ITEMS = 10_000
 
 _runs = re.compile(r"\w+").findall
 # Thai and Lao, Burmese, Khmer, kana, Han
@@ -207,10 +208,10 @@ class ItemIndex:
 
 def item_blocks(items: DataFrame, id_col: str = "item_id", text_col: str = "text",
                 block_words: int = BLOCK_WORDS) -> Iterator[list[tuple[int, str | None]]]:
-    """The items, block by block; a block's bytes are bounded by the block size."""
+    """The items, block by block; a block's bytes and items are bounded (an index takes about 7 kB an item)."""
     rows = items.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).alias("text"))
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, math.ceil(size / (6 * block_words)))
+    size, count = rows.agg(F.sum(F.octet_length("text")), F.count("*")).first()
+    n = max(1, math.ceil((size or 0) / (6 * block_words)), math.ceil(count / BLOCK_ITEMS))
     spread = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
     for k in range(n):
         yield [tuple(r) for r in rows.where(spread == k).orderBy("item_id", "text").collect()]
@@ -222,6 +223,8 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     out = None
     for block in item_blocks(items):
+        if out is not None:  # one index at a time: what the blocks before gave is written
+            out = materialise(out, "leaks")
         part = rows.mapInArrow(_leak_finder(ItemIndex(block)),
                                f"doc_id {docs.schema[id_col].dataType.simpleString()}, item_id long, similarity double, "
                                "distance int, first_word long, n_words int")
@@ -249,7 +252,9 @@ def drop_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text") -> Dat
     """The documents that hold no benchmark passage, with all their columns."""
     place, names = docs.columns.index(text_col), docs.columns
     docs, _ = by_place(docs)
-    for block in item_blocks(items):
+    for k, block in enumerate(item_blocks(items)):
+        if k:
+            docs = materialise(docs, "unleaked")
         index = ItemIndex(block)
 
         def run(found: Iterable[pa.RecordBatch], index: ItemIndex = index) -> Iterator[pa.RecordBatch]:
