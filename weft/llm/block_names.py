@@ -30,8 +30,7 @@ from weft.llm.common import materialise, table
 
 BLOCK = 4096      # bytes of a block
 CELL = 64         # rows of a cell, on average
-SPLIT = 10_000    # rows of one content that a task may read
-GROUP = 1_000     # rows of a group of equal texts that meet its summary in a shuffle join
+SPLIT = 1_000     # rows of one content, or of one group of equal texts, that a task may read
 HOT = 10_000      # contents beyond that, at most: what is broadcast is as many rows
 PART_BITS, RANK_BITS = 14, 18
 
@@ -113,13 +112,13 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                      split: int = SPLIT) -> DataFrame:
     """id, keep_id (of the row that stays), group_size, kept and text_sha256 of every row.
 
-    Groups beyond ``GROUP`` rows (``HOT`` of them at most) are broadcast to their rows, the
+    Groups beyond ``split`` rows (``HOT`` of them at most) are broadcast to their rows, the
     others meet theirs in a shuffle join, so no group makes a large task."""
     rows, count = identify(docs, id_col, text_col, block, split)
     groups = rows.groupBy(F.col("level").alias("of"), F.col("name").alias("named")).agg(
         F.count("*").alias("group_size"), F.max(F.struct("id", "row")).alias("keep"))
     same = (F.col("level") == F.col("of")) & (F.col("name") == F.col("named"))
-    limit = _limit(count, min(split, GROUP))
+    limit = _limit(count, split)
     large = rows.join(F.broadcast(groups.where(F.col("group_size") > limit)), same, "left")
     rest = large.where(F.col("of").isNull()).select(rows.columns).join(groups.where(F.col("group_size") <= limit), same)
     return large.where(F.col("of").isNotNull()).unionByName(rest).select(
