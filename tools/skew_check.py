@@ -102,7 +102,7 @@ def main() -> None:
     hot = df.filter(F.col("user_id") == -1).count()
     spec = SessionSpec("user_id", "ts", "event_id", "event_type", pageview="view", click="click")
     plans = {"gap (cells)": lambda: cut_sessions(df, spec, "gap"),
-             "pageview (range slices)": lambda: cut_sessions(df, spec, "pageview"),
+             "pageview (segments)": lambda: cut_sessions(df, spec, "pageview"),
              "naive Window.partitionBy(user)": lambda: naive_window(df, spec)}
     out = {"rows": total, "hot_visitor_rows": hot}
     sc = spark.sparkContext

@@ -817,7 +817,10 @@ def flight_file_reports(spark, sf_dir):
     written as text and parsed (A3, B3, E5, E9, C9)."""
     path = scratch_path(spark, "flight-lines")
     _flight_lines(spark, sf_dir).write.text(path)
-    rows = parse_flights(read_lines(spark, path)).written(scratch_path(spark, "flights")).rows  # parsed once for both reports
+    parsed = scratch_path(spark, "flights")  # parsed once for both reports, which need few fields
+    parse_flights(read_lines(spark, path)).rows.select(
+        F.struct("date.month").alias("date"), F.struct("times.actualElapsedTime").alias("times"), "origin", "dest", "distance", "canceled").write.parquet(parsed)
+    rows = spark.read.parquet(parsed)
     cube = flights.route_cube(rows).select(F.lit("cube").alias("report"), "origin", "dest", F.lit(None).cast("int").alias("month"),
                                            "count", "avg_elapsed", "avg_distance")
     months = stats.cancelled_by_month(rows).toDF("month", "count").select(

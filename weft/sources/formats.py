@@ -287,44 +287,60 @@ _DAY = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
 _TIME = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?(Z|[+-][0-9]{2}:[0-9]{2})?\z"
 
 
-def _value_types(c: Column) -> dict[str, Column]:
-    """Whether a value fits each type of the lattice, narrowest first; each holds those before
-    it in its own chain (int, bigint, decimal, double; date, timestamp; boolean)."""
-    digits = c.rlike(_DIGITS)
-    whole = F.when(digits & (F.length(c) <= 20), c.try_cast("bigint"))
-    day = c.rlike(_DAY) & c.try_cast("date").isNotNull()
-    return {"int": F.coalesce(whole.between(-(1 << 31), (1 << 31) - 1), F.lit(False)),
-            "bigint": whole.isNotNull(),
-            "decimal": digits & (F.length(c) <= 38),
-            "double": c.rlike(_NUMBER) | c.isin(*_SPECIAL),
-            "date": day,
-            "timestamp": day | (c.rlike(_TIME) & c.try_cast("timestamp").isNotNull()),
-            "boolean": F.lower(c).isin("true", "false")}
+# Kinds of values, as bits of what a column has been seen to hold.
+INT, BIGINT, DECIMAL, DOUBLE, DATE, TIMESTAMP, BOOLEAN, TEXT = (1 << k for k in range(8))
+_NUMBER_STARTS = [*"0123456789+-. ", "\t", "\n", "\r", "\x0b", "\f"]
+
+
+def _kind(c: Column) -> Column:
+    """The narrowest kind of a value; null for none. The commonest shapes are told without a pattern."""
+    whole = c.try_cast("bigint")
+    digits = (F.when((F.length(c) <= 20) & whole.between(-(1 << 31), (1 << 31) - 1), INT)
+               .when((F.length(c) <= 20) & whole.isNotNull(), BIGINT)
+               .when(F.length(c) <= 38, DECIMAL).otherwise(DOUBLE))
+    started = (F.when((F.length(c) <= 9) & (F.btrim(c, F.lit("0123456789")) == ""), INT)
+                .when(c.rlike(_DIGITS), digits)
+                .when(c.rlike(_NUMBER) | c.isin(*_SPECIAL), DOUBLE)
+                .when(c.rlike(_DAY) & c.try_cast("date").isNotNull(), DATE)
+                .when(c.rlike(_TIME) & c.try_cast("timestamp").isNotNull(), TIMESTAMP)
+                .otherwise(TEXT))
+    return (F.when(c.isNull(), F.lit(None)).when(F.substring(c, 1, 1).isin(_NUMBER_STARTS), started)
+             .when(c.isin(*_SPECIAL), DOUBLE).when(F.lower(c).isin("true", "false"), BOOLEAN).otherwise(TEXT)).cast("int")
+
+
+def _merged_type(kinds: int, digits: int) -> str:
+    """The narrowest type that holds values of all the kinds; ``digits`` of the longest decimal."""
+    numbers, times = kinds & (INT | BIGINT | DECIMAL | DOUBLE), kinds & (DATE | TIMESTAMP)
+    if not kinds or kinds & TEXT or sum(map(bool, (numbers, times, kinds & BOOLEAN))) > 1:
+        return "string"
+    if times:
+        return "timestamp" if times & TIMESTAMP else "date"
+    if not numbers:
+        return "boolean"
+    if numbers & DOUBLE:
+        return "double"
+    if numbers & DECIMAL:
+        return f"decimal({max(digits, 20 if numbers & BIGINT else 0)},0)"
+    return "bigint" if numbers & BIGINT else "int"
 
 
 def infer_csv(spark: SparkSession, path: str | list[str], staged: str, header: bool = False, sep: str = ",") -> DataFrame:
     """CSV with inferred types from one read of all rows.
 
     The rows are copied as text to ``staged`` (Parquet), and while they pass each task
-    merges, for each column, which types all its values fit: an aggregate of a few flags a
-    column, gathered with ``observe``. The typed rows are then casts over the copy. A column
-    takes the narrowest of int, bigint, decimal, double, date, timestamp and boolean that
-    fits all its values, else string, as it also is without any value."""
+    merges the kinds of values that each column holds: two numbers a column, gathered with
+    ``observe``. The typed rows are then casts over the copy. A column takes the narrowest
+    of int, bigint, decimal, double, date, timestamp and boolean that fits all its
+    values, else string, as it also is without any value."""
     raw = spark.read.option("header", header).option("sep", sep).csv(path)
     cols = [F.col(f"`{n}`") for n in raw.columns]
-    flags = {f"{k}_{name}": F.bool_and(F.when(c.isNotNull(), fits)) for k, c in enumerate(cols) for name, fits in _value_types(c).items()}
-    # for decimals: digits of the whole numbers beyond bigint, and whether any is a bigint but no int
-    for k, c in enumerate(cols):
-        fits = _value_types(c)
-        flags[f"{k}_digits"] = F.max(F.when(fits["decimal"] & ~fits["bigint"], F.length(F.ltrim(F.regexp_replace(c, "^[+-]", ""), F.lit("0")))))
-        flags[f"{k}_wide"] = F.bool_or(F.when(c.isNotNull(), fits["bigint"] & ~fits["int"]))
+    kinds = raw.select("*", *[_kind(c).alias(f"__kind{k}") for k, c in enumerate(cols)])
+    kinds = kinds.select("*", *[F.when(F.col(f"__kind{k}") == DECIMAL, F.length(F.ltrim(F.regexp_replace(c, "^[+-]", ""), F.lit("0")))).alias(f"__digits{k}")
+                                for k, c in enumerate(cols)])
     seen = Observation("types")
-    raw.observe(seen, *[v.alias(n) for n, v in flags.items()]).write.mode("overwrite").parquet(staged)
+    kinds = kinds.observe(seen, *[F.bit_or(f"__kind{k}").alias(f"kinds{k}") for k in range(len(cols))],
+                          *[F.max(f"__digits{k}").alias(f"digits{k}") for k in range(len(cols))])
+    kinds.select(*cols).write.mode("overwrite").parquet(staged)
     merged = seen.get
-    out = []
-    for k, n in enumerate(raw.columns):
-        kind = next((t for t in ("int", "bigint", "decimal", "double", "date", "timestamp", "boolean") if merged[f"{k}_{t}"]), "string")
-        if kind == "decimal":
-            kind = f"decimal({max(merged[f'{k}_digits'], 20 if merged[f'{k}_wide'] else 0)},0)"
-        out.append(F.col(f"`{n}`").cast(kind).alias(n))
-    return spark.read.schema(raw.schema).parquet(staged).select(*out)
+    return spark.read.schema(raw.schema).parquet(staged).select(
+        *[c.cast(_merged_type(merged[f"kinds{k}"] or 0, merged[f"digits{k}"] or 0)).alias(n) for k, (c, n) in enumerate(zip(cols, raw.columns, strict=True))])
