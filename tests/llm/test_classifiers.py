@@ -200,3 +200,35 @@ def test_recognised_texts_stay_whatever_their_score(spark):
     model = langid.train(*langid.sample(docs, ~langid.third_held_out()))
     (name,), (score,) = langid.classify(model, [mixed.encode()])
     assert name != "und" and score < 0.5
+
+
+def test_clear_stage_learns_from_every_byte_of_every_row(spark, monkeypatch):
+    words = {"en": "the water runs under old bridges ", "ru": "вода течёт под старым мостом "}
+    rows = [(k, words[lang] * 100, lang) for k, lang in enumerate([*words] * 9)]
+    learning = [r.k for r in spark.range(18).select(F.col("id").alias("k")).where(~langid.third_held_out("k")).orderBy("k").collect()]
+    found = []
+    monkeypatch.setattr(langid, "keep_known", lambda docs, least, model: found.append(model))
+
+    def frame(parts, changed=None):
+        told = [(k, "zebra quartz " + t[13:] if k == changed else t, lang) for k, t, lang in rows]
+        return spark.createDataFrame(told, "doc_id long, text string, lang string").repartition(parts)
+
+    plain = langid.sample(frame(1), ~langid.third_held_out())
+    changed = next(k for k in learning if langid.sample(frame(1, k), ~langid.third_held_out()) == plain)  # in no excerpt
+    for docs in (frame(1), frame(5), frame(1, changed)):
+        langid.keep_clear(docs)
+    one, five, other = ([p.tobytes() for p in model.parts()] for model in found)
+    assert one == five and one != other
+
+
+def test_clear_score_is_the_exact_place_among_all_texts(spark):
+    rows = [(k, ("the water runs " if k % 2 else "вода течёт ") * (k % 40) + chr(97 + k % 26) * (k % 7), "en" if k % 2 else "ru") for k in range(1500)]
+    docs = spark.createDataFrame([*rows, (1500, None, "en"), (1501, "", "ru"), (1502, "no language", None)], "doc_id long, text string, lang string")
+    model = langid.new_model(["en", "ru", "zz"])
+    for lost in (0.001, 0.3, 0.99):
+        got = langid.clear_score(model, langid.labelled(docs, F.lit(True)), None, lost)
+        assert got == pytest.approx(langid.clear_score(model, [t.encode() for _, t, _ in rows], [x for _, _, x in rows], lost), abs=1e-6)
+    assert langid.clear_score(model, langid.labelled(docs, F.lit(False)), None) == 0.0
+    values = [float(x) for x in np.random.default_rng(3).choice([0.1, 0.25, *np.random.default_rng(4).random(2000)], 4000)]
+    scores = spark.createDataFrame([(x,) for x in values], "score double")
+    assert [langid._smallest(scores, k) for k in (0, 7, 2222, 3999)] == [sorted(values)[k] for k in (0, 7, 2222, 3999)]

@@ -2,8 +2,15 @@
 
 Network: byte embedding, filters of several widths over a window of ``WINDOW`` bytes,
 rectifier, max pooling over the window, softmax. It is written and trained in numpy
-(Adam, hand-derived gradients) on the driver, on a bounded sample of labelled rows: at most
-``SAMPLE_ROWS`` rows of each language, the first by a hash of the id, and of each an
+(Adam, hand-derived gradients).
+
+``keep_clear``, the stage of the pipeline, learns from every window of every labelled row:
+the rows are dealt to groups by a hash, in each of ``PASSES`` passes a task takes the network
+through the windows of a group, and the weights that come out, averaged by windows, begin the
+next pass. The score it asks for is an exact order statistic of all held-out labelled texts.
+
+``identify`` and ``keep_known`` learn on the driver, on a bounded sample of labelled rows: at
+most ``SAMPLE_ROWS`` rows of each language, the first by a hash of the id, and of each an
 excerpt of ``EXCERPT`` bytes from a place that the hash names.
 
 Prediction covers whole texts: a text is cut to consecutive windows (the last is padded),
@@ -25,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from weft.llm.common import by_place, raw_bytes, table
+from weft.llm.common import by_place, materialise, raw_bytes, table
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -36,6 +43,11 @@ EXCERPT = 512
 STEPS = 500
 BATCH = 96
 LEAST_BYTES = 6  # shortest excerpt that training shows
+PASSES = 3       # over all labelled rows
+WHOLE = 64       # windows of a step of these passes; a piece of half of them is shown too
+CHUNK = 65_536   # windows that a task holds at once
+UNIT = 1 << 20   # weights are summed as whole numbers of 1 / UNIT, in any order the same
+BINS = 1024
 WINDOWS_AT_ONCE = 256
 UNKNOWN = "und"
 LOST = 0.001  # share of held-out excerpts of known language that the filtering stage may lose
@@ -98,7 +110,8 @@ def predict_windows(model: ByteCNN, windows: np.ndarray) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros((0, len(model.labels)), np.float32)
 
 
-def _gradients(model: ByteCNN, windows: np.ndarray, wanted: np.ndarray) -> list[np.ndarray]:
+def _gradients(model: ByteCNN, windows: np.ndarray, wanted: np.ndarray, share: np.ndarray | None = None) -> list[np.ndarray]:
+    """Of the mean loss, or of the sum of the windows' losses times their ``share``."""
     columns = _columns(model, windows)
     n, f = len(windows), model.filters.shape[1]
     heard = (columns @ model.filters).reshape(n, -1, f)
@@ -107,7 +120,7 @@ def _gradients(model: ByteCNN, windows: np.ndarray, wanted: np.ndarray) -> list[
     active = np.maximum(pooled, 0)
     error = _softmax(active @ model.dense + model.offset)
     error[np.arange(n), wanted] -= 1
-    error /= n
+    error = error / n if share is None else error * share[:, None]
     back = (error @ model.dense.T) * (pooled > 0)  # (n, f): reaches only the best position
     positions = heard.shape[1]
     seen = columns.reshape(n, positions, -1)[np.arange(n)[:, None], best]  # (n, f, k)
@@ -126,15 +139,34 @@ def as_windows(text: bytes) -> np.ndarray:
     return np.frombuffer(text.ljust(n * WINDOW, b"\0"), np.uint8).reshape(n, WINDOW)
 
 
-def train(excerpts: list[bytes], labels: list[str], steps: int = STEPS, seed: int = 7) -> ByteCNN | None:
-    """Fit on random windows of labelled excerpts, languages in equal shares."""
+class _Adam:
+    """Steps of a network along its gradients; the rate falls over the second half."""
+
+    def __init__(self, model: ByteCNN):
+        self.model, self.step = model, 0
+        self.first = [np.zeros_like(p) for p in model.parts()]
+        self.second = [np.zeros_like(p) for p in model.parts()]
+
+    def take(self, gradients: list[np.ndarray], done: float) -> None:
+        self.step += 1
+        rate = 0.01 * min(1.0, 2 * (1 - done))
+        for part, gradient, m, v in zip(self.model.parts(), gradients, self.first, self.second, strict=True):
+            m += 0.1 * (gradient - m)
+            v += 0.001 * (gradient ** 2 - v)
+            part -= rate * (m / (1 - 0.9 ** self.step)) / (np.sqrt(v / (1 - 0.999 ** self.step)) + 1e-8)
+
+
+def train(excerpts: list[bytes] | DataFrame, labels: list[str] | None, steps: int = STEPS, seed: int = 7) -> ByteCNN | None:
+    """Fit on random windows of labelled excerpts, languages in equal shares; given rows of
+    ``labelled`` instead, on every window of them all."""
+    if isinstance(excerpts, DataFrame):
+        return _train_on_all(excerpts, steps, seed)
     names = sorted({*labels})
     if not names:
         return None
     model, rng = new_model(names, seed), np.random.default_rng(seed)
     by = [[x for x, y in zip(excerpts, labels, strict=True) if y == name and x] or [b""] for name in names]
-    first = [np.zeros_like(p) for p in model.parts()]
-    second = [np.zeros_like(p) for p in model.parts()]
+    adam = _Adam(model)
     for step in range(1, steps + 1):
         wanted = rng.integers(0, len(names), BATCH)
         windows = np.zeros((BATCH, WINDOW), np.uint8)
@@ -143,14 +175,99 @@ def train(excerpts: list[bytes], labels: list[str], steps: int = STEPS, seed: in
             size = min(len(text), int(rng.integers(LEAST_BYTES, WINDOW + 1)) if rng.random() < 0.5 else WINDOW)
             at = int(rng.integers(0, len(text) - size + 1))
             windows[row, :size] = np.frombuffer(text[at:at + size], np.uint8)
-        rate = 0.01 * min(1.0, 2 * (1 - step / (steps + 1)))
-        for part, gradient, m, v in zip(model.parts(), _gradients(model, windows, wanted), first, second, strict=True):
-            m += 0.1 * (gradient - m)
-            v += 0.001 * (gradient ** 2 - v)
-            part -= rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
+        adam.take(_gradients(model, windows, wanted), step / (steps + 1))
     return model
 
 
+def labelled(docs: DataFrame, which: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """doc_id, lang and text (binary) of all rows of ``which`` that have a language and a text."""
+    text = F.col(text_col).cast("binary")
+    return (docs.where(which & F.col(lang_col).isNotNull() & (F.octet_length(text) > 0))
+            .select(F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), text.alias("text")))
+
+
+def study(model: ByteCNN, windows: np.ndarray, sizes: np.ndarray, wanted: np.ndarray, times: int, turn: int, seed: int) -> None:
+    """Take the network ``times`` through all windows (of ``sizes`` bytes of text) in pass ``turn``.
+    In a step its languages have equal shares."""
+    rng, adam = np.random.default_rng(seed), _Adam(model)
+    starts = [(time, at) for time in range(times) for at in range(0, len(windows), WHOLE)]
+    for k, (_, at) in enumerate(starts):
+        if not at:
+            order = rng.permutation(len(windows))
+        rows = order[at:at + WHOLE]
+        cut = rows[::2]
+        pieces = np.zeros((len(cut), WINDOW), np.uint8)
+        for i, row in enumerate(cut):
+            size = int(rng.integers(min(LEAST_BYTES, sizes[row]), sizes[row] + 1))
+            start = int(rng.integers(0, sizes[row] - size + 1))
+            pieces[i, :size] = windows[row, start:start + size]
+        shown, names = np.concatenate([windows[rows], pieces]), np.concatenate([wanted[rows], wanted[cut]])
+        count = np.bincount(names)
+        share = (1 / (np.count_nonzero(count) * count[names])).astype(np.float32)
+        adam.take(_gradients(model, shown, names, share), (turn + k / len(starts)) / PASSES)
+
+
+def _train_on_all(rows: DataFrame, steps: int, seed: int) -> ByteCNN | None:
+    """Fit on every window of all rows of ``labelled``, in tasks of ``steps`` steps or more a pass.
+    Groups and their order hang on the rows alone; few rows are one group, seen several times."""
+    found = rows.groupBy("lang").agg(F.sum(F.ceil(F.octet_length("text") / WINDOW)).alias("n")).collect()
+    names = sorted(r["lang"] for r in found)
+    if not names:
+        return None
+    total = sum(r["n"] for r in found)
+    groups, times = max(1, total // (steps * WHOLE)), -(-steps * WHOLE // (total * PASSES))
+    spread = F.xxhash64("doc_id", "lang", "text")
+    dealt = materialise(rows.select(F.pmod(spread, F.lit(groups)).cast("int").alias("group"), spread.alias("spread"), "lang", "text")
+                        .repartitionByRange(groups, "group").sortWithinPartitions("group", "spread", "lang", "text")
+                        .select("group", "lang", "text"), "language-rows")
+    model = new_model(names, seed)
+    for turn in range(PASSES):
+        model = _one_pass(dealt, model, times, turn, seed)
+    return model
+
+
+def _one_pass(dealt: DataFrame, model: ByteCNN, times: int, turn: int, seed: int) -> ByteCNN:
+    """The mean of the networks that have gone through one group each, by the windows of the group."""
+    place_of = {name: k for k, name in enumerate(model.labels)}
+
+    def run(found: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, parts, sizes, wanted, held = None, [], [], [], 0
+        total = None
+
+        def learned() -> np.ndarray:
+            own = ByteCNN(model.labels, *(p.copy() for p in model.parts()))
+            study(own, np.concatenate(parts), np.concatenate(sizes), np.repeat(wanted, [len(p) for p in parts]), times, turn, seed + group)
+            weights = np.concatenate([p.ravel() for p in own.parts()] + [np.ones(1)]).astype(np.float64)  # the one counts windows
+            weighed = np.rint(weights * UNIT).astype(np.int64) * held
+            return weighed if total is None else total + weighed
+
+        for batch in found:
+            for g, lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                text = raw_bytes(text)
+                for at in range(0, len(text), CHUNK * WINDOW):
+                    part = text[at:at + CHUNK * WINDOW]
+                    new = as_windows(part)
+                    if parts and (g != group or held + len(new) > CHUNK):
+                        total = learned()
+                        parts, sizes, wanted, held = [], [], [], 0
+                    group = g
+                    parts.append(new)
+                    sizes.append(np.minimum(len(part) - WINDOW * np.arange(len(new)), WINDOW))
+                    wanted.append(place_of[lang])
+                    held += len(new)
+        if parts:
+            total = learned()
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total), dtype=np.int32)), pa.array(total)], ["place", "weight"])
+
+    sums = dealt.mapInArrow(run, "place int, weight long").groupBy("place").agg(F.sum("weight").alias("weight")).orderBy("place").collect()
+    mean = np.array([r["weight"] for r in sums], np.float64) / sums[-1]["weight"]
+    out, at = [], 0
+    for part in model.parts():
+        out.append(mean[at:at + part.size].reshape(part.shape).astype(np.float32))
+        at += part.size
+    return ByteCNN(model.labels, *out)
+
+
 def sample(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
            rows: int = SAMPLE_ROWS) -> tuple[list[bytes], list[str]]:
     """Excerpts and labels: at most ``rows`` of each language, of ``EXCERPT`` bytes each."""
@@ -238,8 +355,31 @@ def keep_known(docs: DataFrame, least: float = 0.0, text_col: str = "text", mode
     return rows.mapInArrow(run, rows.schema).toDF(*names)
 
 
-def clear_score(model: ByteCNN | None, excerpts: list[bytes], labels: list[str], lost: float = LOST) -> float:
-    """The score that all but the share ``lost`` of the rightly predicted excerpts reach, ``CLEAR`` at most."""
+def _smallest(scores: DataFrame, place: int) -> float | None:
+    """The value at ``place`` (from 0) of the sorted column ``score``, if it has so many: equal
+    bins are counted, and the bin that holds the place is cut to bins again."""
+    low, high = scores.agg(F.min("score"), F.max("score")).first()
+    while low is not None and low < high:
+        bins = F.least(F.floor((F.col("score") - low) / (high - low) * BINS), F.lit(BINS - 1))
+        found = (scores.where(F.col("score").between(low, high)).groupBy(bins.alias("bin"))
+                 .agg(F.count("*").alias("n"), F.min("score").alias("low"), F.max("score").alias("high")).orderBy("bin").collect())
+        for r in found:
+            if place < r["n"]:
+                low, high = r["low"], r["high"]
+                break
+            place -= r["n"]
+        else:
+            return None
+    return low
+
+
+def clear_score(model: ByteCNN | None, excerpts: list[bytes] | DataFrame, labels: list[str] | None, lost: float = LOST) -> float:
+    """The score that all but the share ``lost`` of the rightly predicted excerpts, or of all
+    texts of ``labelled`` rows, reach, ``CLEAR`` at most."""
+    if isinstance(excerpts, DataFrame):
+        right = materialise(predict(excerpts, model, keep=["lang"]).where("lang_pred = lang").select("score"), "language-scores")
+        n = right.count()
+        return min(CLEAR, _smallest(right, int(lost * (n - 1)))) if n else 0.0
     langs, scores = classify(model, excerpts)
     right = [s for s, x, y in zip(scores, langs, labels, strict=True) if x == y]
     return min(CLEAR, float(np.quantile(right, lost, method="lower"))) if right else 0.0
@@ -247,11 +387,13 @@ def clear_score(model: ByteCNN | None, excerpts: list[bytes], labels: list[str],
 
 def keep_clear(docs: DataFrame, lost: float = LOST) -> DataFrame:
     """The documents in one recognised language, with all their columns: those with a letter
-    whose score reaches ``clear_score`` of held-out excerpts. Learned from the labelled
+    whose score reaches ``clear_score`` of all held-out labelled texts. Learned from all labelled
     documents that are not held out; without labels no language is known and all go."""
     held = F.coalesce(third_held_out(), F.lit(False))
-    model = train(*sample(docs, ~held))
-    return keep_known(docs, clear_score(model, *sample(docs, held), lost), model=model) if model else keep_known(docs)
+    model = train(labelled(docs, ~held), None)
+    if model is None:
+        return docs.where(F.lit(False))
+    return keep_known(docs, clear_score(model, labelled(docs, held), None, lost), model=model)
 
 
 def identify(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text",
